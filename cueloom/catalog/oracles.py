@@ -140,9 +140,9 @@ def _fixed(samples: str) -> str:
 
 
 CUE_LINES = """lines as (
-  select conv_id, turn, role, line, at - 1 as i, turn * 4000 + conv_id * 37 + (at - 1) * 2000 as start_ms
+  select conv_id, turn, role, line, pos - 1 as i, turn * 4000 + conv_id * 37 + (pos - 1) * 2000 as start_ms
   from (select conv_id, turn, role, unnest(string_split(text, chr(10))) as line,
-          generate_subscripts(string_split(text, chr(10)), 1) as at from conversations)),
+          generate_subscripts(string_split(text, chr(10)), 1) as pos from conversations)),
 srt as (
   select conv_id, turn, i + 1 as cue_no, start_ms, start_ms + 1500 as end_ms,
     '<i>' || role || '</i>' || chr(10) || line as text from lines),
@@ -185,10 +185,10 @@ LABELS = f"""doc_words as (
     {_words(_basic("text"))} as words from documents),
 {_vocab("words", "doc_words", VOCAB_SIZE)},
 spread as (
-  select row_id, at, coalesce(id, 3) as id
-  from (select row_id, unnest(words) as word, generate_subscripts(words, 1) as at from doc_words)
+  select row_id, pos, coalesce(id, 3) as id
+  from (select row_id, unnest(words) as word, generate_subscripts(words, 1) as pos from doc_words)
   left join vocab using (word)),
-word_ids as (select row_id, list(id order by at) as ids from spread group by row_id),
+word_ids as (select row_id, list(id order by pos) as ids from spread group by row_id),
 labelled as (
   select d.row_id, d."language", d.input_length,
     list_concat(list_concat([1, {_LANGUAGE_TOKEN}, {4 + VOCAB_SIZE + len(LABEL_LANGUAGES)}]::bigint[],
@@ -257,9 +257,9 @@ def oracle_sql() -> dict[str, str]:
     sql["list_objects"] = (
         """select lang as "language", sum(strlen(text) + 1)::bigint as bytes from documents group by lang"""
     )
-    sql["read_lines"] = """select row_number() over (order by doc_id, at) - 1 as line_no, value
+    sql["read_lines"] = """select row_number() over (order by doc_id, pos) - 1 as line_no, value
       from (select doc_id, unnest(string_split(text, chr(10))) as value,
-              generate_subscripts(string_split(text, chr(10)), 1) as at from documents)"""
+              generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)"""
     sql["read_transcripts"] = """select role, line, count(*) as n
       from (select role, unnest(string_split(text, chr(10))) as line from conversations) group by role, line"""
     sql["load_datasets"] = f"""with {_DATASET}
@@ -385,8 +385,8 @@ def oracle_sql() -> dict[str, str]:
     sql["build_vocab"] = f"with {LABELS} select word, n, id from vocab"
     sql["encode_labels"] = f"""with {LABELS} select row_id, {_JOINED} from labelled"""
     sql["decode_labels"] = f"""with {LABELS}
-      select row_id, coalesce(string_agg(word, ' ' order by at), '') as text
-      from (select row_id, at, v.word from spread s join vocab v using (id)) right join doc_words using (row_id)
+      select row_id, coalesce(string_agg(word, ' ' order by pos), '') as text
+      from (select row_id, pos, v.word from spread s join vocab v using (id)) right join doc_words using (row_id)
       group by row_id"""
     sql["assign_batches"] = f"with {BATCHES} select row_id, batch_id, row_in_batch from batches"
     sql["pad_batches"] = f"with {BATCHES} select row_id, batch_id, row_in_batch, {_JOINED} from padded"

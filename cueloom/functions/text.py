@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -34,7 +36,10 @@ def norm_strict(text: Column) -> Column:
 
 @F.arrow_udf(T.StringType())
 def _compose(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFKC")
+    """NFKC; rows of plain ASCII are passed on untouched."""
+    odd = pc.fill_null(pc.invert(pc.string_is_ascii(text)), False)
+    composed = [unicodedata.normalize("NFKC", t) for t in text.filter(odd).to_pylist()]
+    return pc.replace_with_mask(text, odd, pa.array(composed, text.type))
 
 
 def _class(chars: str) -> str:

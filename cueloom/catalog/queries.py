@@ -18,7 +18,7 @@ from cueloom.constants import SHUFFLE_SEED
 from cueloom.functions import paths, text
 from cueloom.operators import audio, batchmap, checkpoints, cues, dataset, labels, manifest, ordering, pairs, scoring
 from cueloom.plans import acquisition, evaluation, training
-from cueloom.runtime import scratch_path
+from cueloom.runtime import checkpointed, scratch_path
 from cueloom.sources import datasets, lines, listing
 from cueloom.sources import manifest as manifest_source
 from cueloom.streaming import incremental
@@ -46,8 +46,8 @@ def _table(name: str) -> Callable:
     return lambda spark, sf: t.table(spark, sf, name)
 
 
-def _joined(name: str, mark: str = ",") -> Column:
-    return F.array_join(F.transform(name, lambda x: x.cast("string")), mark).alias(name)
+def _joined(name: str) -> Column:
+    return F.array_join(F.col(name).cast("array<string>"), ",").alias(name)
 
 
 def _fixed(name: str = "samples") -> Column:
@@ -232,7 +232,7 @@ def media_kind(spark, sf):
 @_query
 def word_tokens(spark, sf):
     words = t.table(spark, sf, "documents").select("doc_id", text.word_tokens(F.col("text")).alias("words"))
-    return words.select("doc_id", F.size("words").cast("long").alias("n"), _joined("words", "|"))
+    return words.select("doc_id", F.size("words").cast("long").alias("n"), F.array_join("words", "|").alias("words"))
 
 
 # Manifest
@@ -422,14 +422,23 @@ def _vocab(spark: SparkSession, sf: str) -> DataFrame:
     return labels.build_vocab(t.sentences(spark, sf), _label_words(), VOCAB_SIZE)
 
 
+def _kept_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    """The vocabulary, counted once however often it is used."""
+    return checkpointed(_vocab(spark, sf))
+
+
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    rows, vocab = t.sentences(spark, sf), _vocab(spark, sf)
+    rows, vocab = t.sentences(spark, sf), _kept_vocab(spark, sf)
     return training.labelled(rows, vocab, VOCAB_SIZE, LABEL_LANGUAGES).drop("sentence")
 
 
+def _in_range(spark: SparkSession, sf: str) -> DataFrame:
+    rows, vocab = t.sentences(spark, sf), _kept_vocab(spark, sf)
+    return training.labels_in_range(rows, vocab, VOCAB_SIZE, LABEL_LANGUAGES, MAX_LABELS).drop("sentence")
+
+
 def _batches(spark: SparkSession, sf: str) -> DataFrame:
-    kept = dataset.length_range(_labelled(spark, sf), MAX_LABELS)
-    return labels.assign_batches(kept.select("row_id", "labels"), ["row_id"])
+    return labels.assign_batches(_in_range(spark, sf).select("row_id", "labels"), ["row_id"])
 
 
 @_query
@@ -444,15 +453,14 @@ def encode_labels(spark, sf):
 
 @_query
 def decode_labels(spark, sf):
-    rows, vocab = t.sentences(spark, sf), _vocab(spark, sf)
+    rows, vocab = t.sentences(spark, sf), _kept_vocab(spark, sf)
     encoded = labels.encode_labels(rows, _label_words(), vocab)
     return labels.decode_labels(encoded, vocab).select("row_id", "text")
 
 
 @_query
 def length_range(spark, sf):
-    kept = dataset.length_range(_labelled(spark, sf), MAX_LABELS)
-    return kept.select("row_id", "language", "input_length", _joined("labels"))
+    return _in_range(spark, sf).select("row_id", "language", "input_length", _joined("labels"))
 
 
 @_query
@@ -468,7 +476,7 @@ def pad_batches(spark, sf):
 
 @_query
 def strip_bos(spark, sf):
-    stripped = training.training_batches(_labelled(spark, sf).select("row_id", "input_length", "labels"), ["row_id"], MAX_LABELS)
+    stripped = training.training_batches(_in_range(spark, sf).select("row_id", "labels"), ["row_id"])
     return stripped.select("row_id", "batch_id", "row_in_batch", _joined("labels"))
 
 
@@ -481,13 +489,13 @@ def unmask_labels(spark, sf):
 # Metrics
 
 
-def _scored(spark: SparkSession, sf: str, split: bool = False) -> DataFrame:
-    return scoring.with_edits(_strict_pairs(spark, sf), split)
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.score(t.pairs(spark, sf))
 
 
 @_query
 def edit_distance(spark, sf):
-    return _scored(spark, sf).select(*_PAIR_KEY, "ref_words", "edits")
+    return scoring.with_distance(_strict_pairs(spark, sf)).select(*_PAIR_KEY, "ref_words", "edits")
 
 
 _COUNTS = ["ref_words", "edits", "substitutions", "deletions", "insertions", "hits"]
@@ -495,7 +503,7 @@ _COUNTS = ["ref_words", "edits", "substitutions", "deletions", "insertions", "hi
 
 @_query
 def edit_counts(spark, sf):
-    return _scored(spark, sf, split=True).select(*_PAIR_KEY, *_COUNTS)
+    return _scored(spark, sf).select(*_PAIR_KEY, *_COUNTS)
 
 
 @_query
@@ -505,7 +513,7 @@ def corpus_wer(spark, sf):
 
 @_query
 def corpus_edit_totals(spark, sf):
-    return scoring.corpus_edit_totals(_scored(spark, sf, split=True))
+    return scoring.corpus_edit_totals(_scored(spark, sf))
 
 
 @_query
@@ -518,7 +526,7 @@ def train_metric_wer(spark, sf):
     """References and hypotheses as padded label ids, as a training step sees them."""
     rows = t.pairs(spark, sf)
     normal = [text.word_tokens(text.norm_basic(F.col(c))) for c in ("reference", "hypothesis")]
-    vocab = labels.build_vocab(rows, normal[0], PAIR_VOCAB_SIZE)
+    vocab = checkpointed(labels.build_vocab(rows, normal[0], PAIR_VOCAB_SIZE))
     encode = labels.word_encoder(vocab)
     ids = rows.select(
         *_PAIR_KEY,

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cueloom.runtime import spread
+
 LANGUAGE_OF_ID = "case {0} % 4 when 0 then 'en' when 1 then 'fi' when 2 then 'sv' else 'da' end"
 
 _MEDIA_EXT = (
@@ -18,8 +20,13 @@ _TEXT_EXT = "case page_id % 3 when 0 then '.srt' when 1 then '.vtt' else '.txt'
 _HOST = "regexp_extract(url, '//([^/]+)', 1)"
 
 
+# Long texts: work per row far outweighs moving the row.
+_TEXT_TABLES = ("documents", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in _TEXT_TABLES else rows
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Shared words become code points from the first supplementary plane on, words
-# of only one side become one plain letter per side: they can match nothing.
-_FIRST_CODE = 0x10000
-_REFERENCE_ONLY, _HYPOTHESIS_ONLY = 0x41, 0x42
+from cueloom.functions.python import once
+
+# Each word becomes one code point of five hex digits. Words of only one side
+# share one code per side, as they can match nothing; shared words follow.
+_REFERENCE_ONLY, _HYPOTHESIS_ONLY, _BEFORE_SHARED = 0x10000, 0x10001, 0x10001
 
 EDIT_COUNTS_TYPE = T.StructType(
     [T.StructField(name, T.LongType()) for name in ("edits", "substitutions", "deletions", "insertions", "hits")]
@@ -40,8 +41,8 @@ def _as_text(words: Column, shared: Column, lone_code: int) -> Column:
 
     def code(word: Column) -> Column:
         position = F.array_position(shared, word)
-        point = F.when(position > 0, position + _FIRST_CODE).otherwise(F.lit(lone_code).cast("long"))
-        return F.lpad(F.hex(point), 8, "0")
+        point = F.when(position > 0, position + _BEFORE_SHARED).otherwise(F.lit(lone_code).cast("long"))
+        return F.concat(F.lit("000"), F.hex(point))
 
     return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
 
@@ -50,7 +51,8 @@ def edit_distance(reference: Column, hypothesis: Column) -> Column:
     """Fewest word edits between two word arrays, without leaving the JVM.
 
     Words are recoded as characters so that the built-in ``levenshtein`` counts
-    words. Exact as long as a pair shares under a million distinct words.
+    words. Exact as long as a pair shares under 980,000 distinct words. For bulk
+    scoring ``edit_counts`` costs less: it aligns pairs together and bands long ones.
     """
     return _let(
         F.struct(reference.alias("r"), hypothesis.alias("h")),
@@ -147,6 +149,7 @@ def _padded(values: np.ndarray, offsets: np.ndarray, block: np.ndarray, filler:
     return out
 
 
+@once
 @F.arrow_udf(EDIT_COUNTS_TYPE)
 def _edit_counts(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     words = pa.concat_arrays([reference.flatten(), hypothesis.flatten()]).dictionary_encode()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cueloom.constants import STRICT_PUNCTUATION
+from cueloom.functions.python import once
 
 # White_Space plus the four information separators.
-_UNICODE_SPACE = r"[\s\x1c-\x1f]"
+UNICODE_SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Spans whose content is not speech: (opening, closing, shortest content).
 ANNOTATION_SPANS = (("[<", "]>", 0), ("(", ")", 1))
@@ -25,15 +29,20 @@ def fold_newlines(body: Column) -> Column:
 
 
 def strip_ws(text: Column) -> Column:
-    """Drop Unicode whitespace at both ends (``trim`` drops only spaces)."""
-    return F.regexp_replace(text, rf"(?U)\A{_UNICODE_SPACE}+|{_UNICODE_SPACE}+\z", "")
+    """Drop Unicode whitespace at both ends (plain ``trim`` drops only spaces)."""
+    return F.trim(text, F.lit(UNICODE_SPACES))
+
+
+def _class(chars: str) -> str:
+    return "[" + "".join("\\" + c for c in chars) + "]"
 
 
 def norm_strict(text: Column) -> Column:
     """Lower-case and delete the strict punctuation set, joining what it separated."""
-    return F.translate(F.lower(text), STRICT_PUNCTUATION, "")
+    return F.regexp_replace(F.lower(text), _class(STRICT_PUNCTUATION), "")
 
 
+@once
 @F.arrow_udf(T.StringType())
 def _compose(text: pa.Array) -> pa.Array:
     """NFKC; rows of plain ASCII are passed on untouched."""
@@ -42,26 +51,30 @@ def _compose(text: pa.Array) -> pa.Array:
     return pc.replace_with_mask(text, odd, pa.array(composed, text.type))
 
 
-def _class(chars: str) -> str:
-    return "".join("\\" + c for c in chars)
+def _without_spans(text: Column, spans) -> Column:
+    """Lower-cased text without annotation spans; text that opens none is not searched."""
+    out = lowered = F.lower(text)
+    for opening, closing, shortest in spans:
+        inner = _class(closing)
+        out = F.regexp_replace(out, f"{_class(opening)}{inner.replace('[', '[^', 1)}{{{shortest},}}{inner}", "")
+    opens = [text.contains(mark) for opening, _, _ in spans for mark in opening]
+    return F.when(reduce(lambda a, b: a | b, opens, F.lit(False)), out).otherwise(lowered)
 
 
 def norm_basic(text: Column, compose: bool = True, spans=ANNOTATION_SPANS) -> Column:
     """Standardise text for training labels and the training metric.
 
-    Drops annotation spans, composes to NFKC, turns marks, symbols and
-    punctuation into spaces, lower-cases, collapses whitespace and strips.
+    Drops annotation spans, composes to NFKC, turns marks, symbols, punctuation
+    and every kind of whitespace into spaces, lower-cases, collapses and strips.
     ``compose=False`` skips the one step Spark has no built-in for; use it when
     the input is known to be NFKC already, and the plan stays in the JVM.
     """
-    out = F.lower(text)
-    for opening, closing, shortest in spans:
-        inner = _class(closing)
-        out = F.regexp_replace(out, f"[{_class(opening)}][^{inner}]{{{shortest},}}[{inner}]", "")
+    out = _without_spans(text, spans)
     if compose:
         out = _compose(out)
-    out = F.lower(F.regexp_replace(out, r"[\p{M}\p{S}\p{P}]", " "))
-    return F.trim(F.regexp_replace(out, f"(?U){_UNICODE_SPACE}+", " "))
+    # Letters, numbers and control characters stay; the rest separates words.
+    out = F.regexp_replace(out, r"[[^\p{L}\p{N}\p{C} ][\t-\r\x1c-\x1f\x85]]", " ")
+    return F.trim(F.regexp_replace(F.lower(out), " {2,}", " "))
 
 
 def word_tokens(text: Column) -> Column:

@@ -24,17 +24,23 @@ def build_dataset(
     )
 
 
-def length_range(
-    rows: DataFrame,
-    max_label_length: int,
-    min_seconds: float = MIN_CLIP_SECONDS,
-    max_seconds: float = MAX_CLIP_SECONDS,
+def duration_range(
+    rows: DataFrame, min_seconds: float = MIN_CLIP_SECONDS, max_seconds: float = MAX_CLIP_SECONDS
 ) -> DataFrame:
+    """Rows strictly inside the duration bounds. Needs no labels: apply it before encoding."""
+    seconds = F.col("input_length")
+    return rows.where((seconds > min_seconds) & (seconds < max_seconds))
+
+
+def label_range(rows: DataFrame, max_label_length: int) -> DataFrame:
+    """Rows with at least one label and fewer than ``max_label_length``."""
+    labels = F.size("labels")
+    return rows.where((labels > 0) & (labels < max_label_length))
+
+
+def length_range(rows: DataFrame, max_label_length: int) -> DataFrame:
     """Rows strictly inside the duration and label length bounds."""
-    seconds, labels = F.col("input_length"), F.size("labels")
-    return rows.where(
-        (seconds > min_seconds) & (seconds < max_seconds) & (labels > 0) & (labels < max_label_length)
-    )
+    return label_range(duration_range(rows), max_label_length)
 
 
 def train_eval_split(rows: DataFrame, key: list[str], train_percent: int, seed: int = 0) -> DataFrame:

@@ -21,6 +21,7 @@ from cueloom.constants import (
     SHUFFLE_SEED,
     UNKNOWN_ID,
 )
+from cueloom.functions.python import once
 from cueloom.operators.ordering import seeded_shuffle
 
 # A vocabulary is shipped to every Python worker, so its size is bounded.
@@ -59,6 +60,7 @@ def word_encoder(vocab: DataFrame) -> Callable[[Column], Column]:
     """
     shared = vocab.sparkSession.sparkContext.broadcast(_collected_words(vocab))
 
+    @once
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(words: pa.Array) -> pa.Array:
         found = pc.index_in(words.flatten(), value_set=shared.value)
@@ -74,6 +76,7 @@ def word_decoder(vocab: DataFrame) -> Callable[[Column], Column]:
     """Column function from label ids to text; ids that are no word are dropped."""
     shared = vocab.sparkSession.sparkContext.broadcast(_collected_words(vocab))
 
+    @once
     @F.arrow_udf(T.StringType())
     def decode(labels: pa.Array) -> pa.Array:
         words = shared.value

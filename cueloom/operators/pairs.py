@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cueloom.constants import PROGRESS_EVERY, PROGRESS_OFFSET
 from cueloom.errors import AlignmentError
 from cueloom.functions.paths import path_basename, path_stem, strip_extension, url_unquote
+from cueloom.functions.text import strip_ws
 from cueloom.operators.ordering import with_position
 
 
@@ -63,17 +64,23 @@ def audio_exists(pairs: DataFrame, listing: DataFrame, path: str = "audio_path")
     return pairs.join(listing.select(F.col("path").alias(path)).distinct(), path, "left_semi").select(*pairs.columns)
 
 
+def is_scorable(
+    reference: str = "reference", hypothesis: str = "hypothesis", blank_is_empty: bool = True
+) -> Column:
+    """Neither side null, empty or (by default) blank."""
+
+    def filled(name: str) -> Column:
+        text = F.col(name)
+        return F.coalesce(strip_ws(text) != "" if blank_is_empty else text != "", F.lit(False))
+
+    return filled(reference) & filled(hypothesis)
+
+
 def nonempty_pairs(
     pairs: DataFrame, reference: str = "reference", hypothesis: str = "hypothesis", blank_is_empty: bool = True
 ) -> DataFrame:
-    """Pairs worth scoring: neither side null, empty or (by default) blank."""
-
-    def filled(name: str):
-        if blank_is_empty:
-            return F.col(name).rlike(r"(?U)[^\s\x1c-\x1f]")
-        return F.col(name) != ""
-
-    return pairs.where(filled(reference) & filled(hypothesis))
+    """Pairs worth scoring."""
+    return pairs.where(is_scorable(reference, hypothesis, blank_is_empty))
 
 
 def progress_sample(scored: DataFrame, order: list[str], by: str = "language") -> DataFrame:

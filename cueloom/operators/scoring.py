@@ -9,35 +9,45 @@ from pyspark.sql import functions as F
 
 from cueloom.functions.scoring import edit_counts, edit_distance
 from cueloom.functions.text import norm_strict, word_tokens
-from cueloom.operators.pairs import nonempty_pairs
+from cueloom.operators.pairs import is_scorable, nonempty_pairs
 
 Normaliser = Callable[[Column], Column]
 
 
+def _normalised(pairs: DataFrame, normalise: Normaliser) -> DataFrame:
+    return pairs.withColumns({c: normalise(F.col(c)) for c in ("reference", "hypothesis")})
+
+
 def normalised(pairs: DataFrame, normalise: Normaliser = norm_strict) -> DataFrame:
     """Both sides normalised, pairs with an empty side dropped.
 
     The two normalisers give error rates that cannot be compared, so the choice
     is an argument.
     """
-    return nonempty_pairs(
-        pairs.withColumn("reference", normalise(F.col("reference"))).withColumn(
-            "hypothesis", normalise(F.col("hypothesis"))
-        )
-    )
+    return nonempty_pairs(_normalised(pairs, normalise))
+
+
+def with_edits(pairs: DataFrame) -> DataFrame:
+    """Add ``ref_words``, ``edits``, the edits by kind, and ``hits``, from one alignment."""
+    words = [word_tokens(F.col(c)) for c in ("reference", "hypothesis")]
+    counted = pairs.withColumn("ref_words", F.size(words[0]).cast("long")).withColumn("_counts", edit_counts(*words))
+    return counted.select(*pairs.columns, "ref_words", "_counts.*")
 
 
-def with_edits(pairs: DataFrame, split: bool = False) -> DataFrame:
-    """Add ``ref_words`` and ``edits``; with ``split`` also the edits by kind, and hits.
+def score(pairs: DataFrame, normalise: Normaliser = norm_strict) -> DataFrame:
+    """``with_edits`` of ``normalised`` pairs, normalising each text once.
 
-    Without the split everything stays in the JVM.
+    Empty pairs leave after the alignment, which costs them nothing; a filter
+    before it would be pushed below the normalising and repeat it.
     """
+    ready = _normalised(pairs, normalise).withColumn("_kept", is_scorable())
+    return with_edits(ready).where("_kept").drop("_kept")
+
+
+def with_distance(pairs: DataFrame) -> DataFrame:
+    """Add ``ref_words`` and ``edits`` alone, by built-in expressions only."""
     words = [word_tokens(F.col(c)) for c in ("reference", "hypothesis")]
-    sized = pairs.withColumn("ref_words", F.size(words[0]).cast("long"))
-    if not split:
-        return sized.withColumn("edits", edit_distance(*words))
-    counted = sized.withColumn("_counts", edit_counts(*words))
-    return counted.select(*sized.columns, "_counts.*")
+    return pairs.withColumn("ref_words", F.size(words[0]).cast("long")).withColumn("edits", edit_distance(*words))
 
 
 def _error_rate() -> Column:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cueloom.functions.text import norm_basic
+from cueloom.functions.text import norm_basic, norm_strict
 from cueloom.operators.batchmap import map_batches
 from cueloom.operators.labels import unmask_labels, word_decoder
 from cueloom.operators.pairs import audio_exists
-from cueloom.operators.scoring import Normaliser, corpus_wer, norm_strict, normalised, with_edits
+from cueloom.operators.scoring import Normaliser, corpus_wer, score
 
 
 def transcribe(
@@ -34,17 +34,18 @@ def transcribe_and_score(
     partitions: int | None = None,
 ) -> DataFrame:
     """Transcribe, normalise, drop empty pairs and count edits by kind."""
-    return with_edits(normalised(transcribe(pairs, listing, transcriber, partitions=partitions), normalise), split=True)
+    return score(transcribe(pairs, listing, transcriber, partitions=partitions), normalise)
 
 
-def train_metric_wer(predictions: DataFrame, vocab: DataFrame, compose: bool = True) -> DataFrame:
+def train_metric_wer(predictions: DataFrame, vocab: DataFrame, compose: bool = False) -> DataFrame:
     """Corpus error rate of ``predicted`` against masked ``labels``.
 
-    Unmasks, decodes, normalises as in training, drops blank pairs.
+    Unmasks, decodes, normalises as in training, drops blank pairs. A vocabulary
+    of normalised words decodes to composed text, hence ``compose=False``.
     """
     decode = word_decoder(vocab)
     pairs = predictions.select(
         decode(unmask_labels(F.col("labels"))).alias("reference"),
         decode(F.col("predicted")).alias("hypothesis"),
     )
-    return corpus_wer(with_edits(normalised(pairs, lambda text: norm_basic(text, compose))))
+    return corpus_wer(score(pairs, lambda text: norm_basic(text, compose)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cueloom.constants import BATCH_SIZE, SHUFFLE_SEED
 from cueloom.functions.text import norm_basic, word_tokens
-from cueloom.operators.dataset import length_range
+from cueloom.operators.dataset import duration_range, label_range
 from cueloom.operators.labels import assign_batches, encode_labels, language_prefix, pad_batches, strip_bos
 
 
@@ -17,9 +17,15 @@ def labelled(rows: DataFrame, vocab: DataFrame, vocab_size: int, languages: list
     return encode_labels(rows, words, vocab, language_prefix(F.col("language"), languages, vocab_size))
 
 
+def labels_in_range(
+    rows: DataFrame, vocab: DataFrame, vocab_size: int, languages: list[str], max_label_length: int
+) -> DataFrame:
+    """``length_range`` over labels yet to be made: only clips of fitting duration are encoded."""
+    return label_range(labelled(duration_range(rows), vocab, vocab_size, languages), max_label_length)
+
+
 def training_batches(
-    labels: DataFrame, key: list[str], max_label_length: int, size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED
+    labels: DataFrame, key: list[str], size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED
 ) -> DataFrame:
-    """Length filter, seeded batches, padding, and the shared begin token cut."""
-    kept = length_range(labels, max_label_length)
-    return strip_bos(pad_batches(assign_batches(kept, key, size, seed)))
+    """Seeded batches, padded, with the shared begin token cut."""
+    return strip_bos(pad_batches(assign_batches(labels, key, size, seed)))

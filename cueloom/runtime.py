@@ -76,3 +76,14 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     row_bytes = reduce(lambda a, b: a + b, widths, F.lit(16))
     size = df.agg(F.sum(row_bytes.cast("long")).alias("bytes")).first()["bytes"]
     return (size or 0) <= max_bytes
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores.
+
+    A small file is one split, however much work each of its rows is. Scans that
+    already fill the cluster are returned as they are. Only for plain scans:
+    counting the partitions of a plan with shuffles would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

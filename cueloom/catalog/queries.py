@@ -155,10 +155,10 @@ def write_clips(spark, sf):
 @_query
 def write_pair_lists(spark, sf):
     out = scratch_path(spark, "lists")
-    rows = t.pairs(spark, sf)
+    languages = ["da", "en", "fi", "sv"]
+    lines.write_pair_lists(t.pairs(spark, sf), out, languages, _PAIR_KEY, "audio_path", "reference")
     back = []
-    for language in ("da", "en", "fi", "sv"):
-        lines.write_pair_lists(rows, out, language, _PAIR_KEY, "audio_path", "reference")
+    for language in languages:
         zipped = pairs.zip_lines(
             lines.read_lines(spark, f"{out}/media_{language}"),
             lines.read_lines(spark, f"{out}/transcription_{language}"),

@@ -13,7 +13,7 @@ from cueloom.constants import SAMPLE_RATE
 from cueloom.functions.signal import mixdown
 
 # A clip up to this long is one row; a longer one continues in further rows.
-PART_MS = 600_000
+PART_MS = 300_000
 
 
 def mixdown_mono(frames: DataFrame) -> DataFrame:

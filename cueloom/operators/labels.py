@@ -120,7 +120,7 @@ def assign_batches(
     """Shuffle rows and add ``batch_id`` and ``row_in_batch``; only the last batch may be short."""
     return (
         seeded_shuffle(rows, key, seed)
-        .withColumn("batch_id", F.floor(F.col("position") / size))
+        .withColumn("batch_id", F.expr(f"position div {size}"))
         .withColumn("row_in_batch", F.col("position") % size)
         .drop("position")
     )

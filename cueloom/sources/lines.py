@@ -33,15 +33,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.join(starts, _SPLIT).select((F.col("row_id") + F.col("shift")).alias("line_no"), "value")
 
 
-def write_pair_lists(pairs: DataFrame, out: str, language: str, key: list[str], media: str, text: str) -> None:
-    """Write ``media_<language>`` and ``transcription_<language>`` line-aligned.
-
-    Both lists are projections of one checkpointed order, so line *i* of one
-    belongs to line *i* of the other. Line breaks inside a text must be folded
-    before.
+def write_pair_lists(
+    pairs: DataFrame, out: str, languages: list[str], key: list[str], media: str, text: str
+) -> None:
+    """Write line-aligned lists ``media_<language>`` and ``transcription_<language>``.
+
+    Both lists of a language are projections of one checkpointed order, so line
+    *i* of one belongs to line *i* of the other. Line breaks inside a text must
+    be folded before.
     """
     ordered = checkpointed(
-        pairs.where(F.col("language") == language).select(*key, media, text).orderBy(*key)
+        pairs.where(F.col("language").isin(languages)).select("language", *key, media, text).orderBy("language", *key)
     )
-    ordered.select(F.col(media).alias("value")).write.mode("overwrite").text(f"{out}/media_{language}")
-    ordered.select(F.col(text).alias("value")).write.mode("overwrite").text(f"{out}/transcription_{language}")
+    for language in languages:
+        rows = ordered.where(F.col("language") == language)
+        rows.select(F.col(media).alias("value")).write.mode("overwrite").text(f"{out}/media_{language}")
+        rows.select(F.col(text).alias("value")).write.mode("overwrite").text(f"{out}/transcription_{language}")

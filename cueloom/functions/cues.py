@@ -25,7 +25,7 @@ def is_cue(block: Column, timing: str) -> Column:
 def subtitle_blocks(body: Column) -> Column:
     """The blank-line separated blocks of a subtitle text, in order."""
     plain = F.regexp_replace(F.regexp_replace(body, "\\A\ufeff", ""), "\r\n?", "\n")
-    blocks = F.split(F.regexp_replace(plain, r"\A(?:[ \t]*\n)+|\s+\z", ""), r"\n(?:[ \t]*\n)+")
+    blocks = F.split(F.trim(plain, F.lit(" \t\n")), r"\n[ \t\n]*\n")
     return F.array_remove(blocks, "")
 
 
@@ -51,4 +51,5 @@ def cue_text(block: Column, timing: str) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, "<[^>]*>", "")
+    """Text without ``<…>``; an unclosed ``<`` stays."""
+    return F.regexp_replace(text, r"<[^>]*>|(<[^>]*\z)", "$1")

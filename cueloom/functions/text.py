@@ -55,8 +55,10 @@ def _without_spans(text: Column, spans) -> Column:
     """Lower-cased text without annotation spans; text that opens none is not searched."""
     out = lowered = F.lower(text)
     for opening, closing, shortest in spans:
-        inner = _class(closing)
-        out = F.regexp_replace(out, f"{_class(opening)}{inner.replace('[', '[^', 1)}{{{shortest},}}{inner}", "")
+        start, inside = _class(opening), _class(closing).replace("[", "[^", 1)
+        # An unclosed span is kept, and matched to the end so that it is read once.
+        span = f"{start}{inside}{{{shortest},}}{_class(closing)}|({start}{inside}*\\z)"
+        out = F.regexp_replace(out, span, "$1")
     opens = [text.contains(mark) for opening, _, _ in spans for mark in opening]
     return F.when(reduce(lambda a, b: a | b, opens, F.lit(False)), out).otherwise(lowered)
 

@@ -10,27 +10,37 @@ from pyspark.sql import functions as F
 from cueloom.constants import DEFAULT_DATASET_DIR
 
 
-def _write_by_language(df: DataFrame, out: str) -> None:
-    """Replace only the languages ``df`` holds; other languages stay as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("language")
-        .parquet(out)
-    )
+def _by_language(rows: DataFrame) -> DataFrame:
+    """Rows of a language together, in tasks of even size.
+
+    Without it every task writes a file per language. A rebalance, unlike a
+    repartition, splits a language too big for one task.
+    """
+    return rows.hint("rebalance", "language")
 
 
 def write_clips(clips: DataFrame, out: str) -> None:
     """Append clips and their texts, one folder per language.
 
-    Pass clips through ``skip_done_clips`` first to leave finished ones alone.
+    Pass cues through ``skip_done_clips`` before cutting to leave finished ones
+    alone. Clips are not rebalanced: they are the bulk of the data, and cutting
+    has just shuffled them.
     """
     clips.write.mode("append").partitionBy("language").parquet(out)
 
 
 def write_dataset(dataset: DataFrame, out: str = DEFAULT_DATASET_DIR) -> None:
-    """``(audio, sentence, language)`` as Parquet, one folder per language."""
-    _write_by_language(dataset, out)
+    """``(audio, sentence, language)`` as Parquet, one folder per language.
+
+    Replaces only the languages ``dataset`` holds; others stay as they are.
+    """
+    (
+        _by_language(dataset)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("language")
+        .parquet(out)
+    )
 
 
 def write_results(results: DataFrame, out: str) -> None:
@@ -38,8 +48,13 @@ def write_results(results: DataFrame, out: str) -> None:
 
     Quotes are doubled inside quoted cells, as spreadsheets expect.
     """
-    results.write.mode("overwrite").partitionBy("language").option("header", True).option("escape", '"').csv(
-        f"{out}/transcription_results"
+    (
+        _by_language(results)
+        .write.mode("overwrite")
+        .partitionBy("language")
+        .option("header", True)
+        .option("escape", '"')
+        .csv(f"{out}/transcription_results")
     )
 
 

@@ -61,6 +61,12 @@ def test_numbers_follow_the_file_for_any_number_of_cues(spark):
     assert found.count() == 2000
 
 
+def test_long_runs_of_blank_lines(spark):
+    cue = "00:00:01,000 --> 00:00:02,000\nx"
+    body = "\n" * 100_000 + cue + "\n" + " \n" * 100_000 + cue + "\n" * 100_000
+    assert cues.srt_cues(spark.createDataFrame([("a.srt", body)], "path string, body string")).count() == 2
+
+
 def test_done_clips_are_skipped_by_recording(spark):
     found = cues.srt_cues(files(spark).where("path = 'd/a.srt'"))
     done = spark.createDataFrame([("d/a.srt", 1), ("other/a.srt", 2)], "path string, cue_no long")

@@ -79,6 +79,9 @@ def test_basic_normaliser(spark):
         "tab\tline\r\nend  ",
         "İstanbul naïve coöp €5 + 3 = 8",
         "हिन्दी",
+        "a (b) (" + "(" * 200_000 + "c",
+        "[x] <<" + "<" * 200_000,
+        "((a) b) ()c) (\n)",
         "",
     ]
     assert apply(spark, samples, text.norm_basic) == [_basic(s) for s in samples]
@@ -89,6 +92,11 @@ def test_word_tokens(spark):
     assert apply(spark, ["  A b\t\nC ", "", "  "], text.word_tokens) == [["a", "b", "c"], [], []]
 
 
+def test_tags(spark):
+    values = ["<v Ann>a <b>c</b>", "x < y", "<" * 100_000, "a<>b"]
+    assert apply(spark, values, cues.strip_tags) == ["a c", "x < y", "<" * 100_000, "ab"]
+
+
 def test_clock(spark):
     values = ["01:02:03,004", "02:03.004", "100:00:00.000"]
     assert apply(spark, values, cues.clock_ms) == [3723004, 123004, 360000000]

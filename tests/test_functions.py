@@ -79,8 +79,8 @@ def test_basic_normaliser(spark):
         "tab\tline\r\nend  ",
         "İstanbul naïve coöp €5 + 3 = 8",
         "हिन्दी",
-        "a (b) (" + "(" * 200_000 + "c",
-        "[x] <<" + "<" * 200_000,
+        "a (b) (((c",
+        "[x] <<y",
         "((a) b) ()c) (\n)",
         "",
     ]
@@ -88,6 +88,12 @@ def test_basic_normaliser(spark):
     assert apply(spark, [samples[0]], lambda c: text.norm_basic(c, compose=False)) == ["hello world x"]
 
 
+def test_unclosed_spans_are_read_once(spark):
+    many = 300_000
+    samples = ["a (b) " + "(" * many + "c", "[x] y" + "<" * many, "(" * many + ") z"]
+    assert apply(spark, samples, text.norm_basic) == ["a c", "y", "z"]
+
+
 def test_word_tokens(spark):
     assert apply(spark, ["  A b\t\nC ", "", "  "], text.word_tokens) == [["a", "b", "c"], [], []]
 

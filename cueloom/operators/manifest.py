@@ -33,7 +33,7 @@ def exclude_names(rows: DataFrame, columns: list[str], emails: list[str] = (), d
     return rows.where(~F.coalesce(hit, F.lit(False)))
 
 
-def _resolved(names: DataFrame, listing: DataFrame, max_bytes: int) -> tuple[DataFrame, bool]:
+def _resolved(names: DataFrame, listing: DataFrame, max_bytes: int) -> DataFrame:
     """``(name, path)``: the smallest listed path that ends with each name.
 
     "Ends with" is turned into equality: each path is cut to its last ``k``
@@ -49,11 +49,18 @@ def _resolved(names: DataFrame, listing: DataFrame, max_bytes: int) -> tuple[Dat
         .where(F.col("k") <= F.length("path"))
         .select("path", F.right("path", F.col("k")).alias("name"))
     )
-    small = fits_broadcast(names, max_bytes)
-    if small:
-        cuts = cuts.join(F.broadcast(names), "name", "left_semi")
-    best = cuts.groupBy("name").agg(F.min("path").alias("path"))
-    return (best if small else best.join(names, "name", "left_semi")), small
+    best = F.min("path").alias("path")
+    if fits_broadcast(names, max_bytes):
+        return cuts.join(F.broadcast(names), "name", "left_semi").groupBy("name").agg(best)
+    return cuts.groupBy("name").agg(best).join(names, "name", "left_semi")
+
+
+def _looked_up(manifest: DataFrame, best: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Left join each name column to ``(name, path)``; one path per name, so no row multiplies."""
+    out = manifest
+    for column, new in columns.items():
+        out = out.join(best.select(F.col("name").alias(column), F.col("path").alias(new)), column, "left")
+    return out.select(*manifest.columns, *columns.values())
 
 
 def resolve_names(
@@ -69,14 +76,7 @@ def resolve_names(
     """
     names = reduce(DataFrame.union, [manifest.select(F.col(c).alias("name")) for c in columns])
     names = names.where("name is not null").distinct()
-    best, small = _resolved(names, listing, max_bytes)
-    if small:
-        best = F.broadcast(best)  # at most one row per name, each with one path
-    out = manifest
-    for column, new in columns.items():
-        found = best.select(F.col("name").alias(column), F.col("path").alias(new))
-        out = out.join(found, column, "left")
-    return out.select(*manifest.columns, *columns.values())
+    return _looked_up(manifest, _resolved(names, listing, max_bytes), columns)
 
 
 def resolve_exact(manifest: DataFrame, listing: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -86,11 +86,7 @@ def resolve_exact(manifest: DataFrame, listing: DataFrame, columns: dict[str, st
         .groupBy("name")
         .agg(F.min("path").alias("path"))
     )
-    out = manifest
-    for column, new in columns.items():
-        found = best.select(F.col("name").alias(column), F.col("path").alias(new))
-        out = out.join(found, column, "left")
-    return out.select(*manifest.columns, *columns.values())
+    return _looked_up(manifest, best, columns)
 
 
 def listed_names(listing: DataFrame, name: str) -> DataFrame:

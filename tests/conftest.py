@@ -18,9 +18,9 @@ TABLES = (
 def spark():
     spark = session(
         "cueloom-tests",
-        "local[8]",
+        "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

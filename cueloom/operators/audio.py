@@ -88,4 +88,7 @@ def cut_frames(frames: DataFrame, cues: DataFrame, part_ms: int = PART_MS) -> Da
         ).alias("_piece"),
     )
     ordered = F.sort_array(F.collect_list(F.when(F.col("_piece").isNotNull(), F.struct("frame_no", "_piece"))))
-    return pieces.groupBy(*cue_key, "part_no").agg(F.flatten(ordered["_piece"]).alias("samples"))
+    # Shuffled before grouping: collecting cannot shrink the pieces, so a
+    # map-side half of it would only sort and spill the audio once more.
+    grouped = pieces.repartition(*cue_key, "part_no").groupBy(*cue_key, "part_no")
+    return grouped.agg(F.flatten(ordered["_piece"]).alias("samples"))

@@ -139,9 +139,10 @@ def pad_batches(rows: DataFrame, filler: int = IGNORED_LABEL) -> DataFrame:
 def strip_bos(rows: DataFrame, bos: int = BOS_ID) -> DataFrame:
     """Drop the first label of a batch if every row of it begins with ``bos``."""
     begins = F.coalesce(F.get("labels", F.lit(0)) == bos, F.lit(False))
+    rest = F.slice("labels", F.lit(2), F.size("labels"))
     return (
         rows.withColumn("_all", _over_batch(F.bool_and(begins)))
-        .withColumn("labels", F.when(F.col("_all"), F.slice("labels", F.lit(2), F.size("labels"))).otherwise(F.col("labels")))
+        .withColumn("labels", F.when(F.col("_all"), rest).otherwise(F.col("labels")))
         .drop("_all")
     )
 

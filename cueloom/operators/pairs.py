@@ -51,10 +51,10 @@ def zip_lines(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("medi
     Lists of different length are refused: every pair after a missing line
     would be wrong.
     """
-    sides = [side.agg(F.count("*").alias("n")).select(F.lit(name).alias("side"), "n") for side, name in zip((left, right), names)]
-    counts = {row["side"]: row["n"] for row in sides[0].union(sides[1]).collect()}
-    if counts[names[0]] != counts[names[1]]:
-        raise AlignmentError(f"line counts differ: {counts}")
+    sizes = [side.agg(F.count("*").alias("n"), F.lit(i).alias("side")) for i, side in enumerate((left, right))]
+    counts = {row["side"]: row["n"] for row in sizes[0].union(sizes[1]).collect()}
+    if counts[0] != counts[1]:
+        raise AlignmentError(f"{counts[0]} {names[0]} lines but {counts[1]} {names[1]} lines")
     return left.select("line_no", F.col("value").alias(names[0])).join(
         right.select("line_no", F.col("value").alias(names[1])), "line_no"
     )

@@ -11,7 +11,9 @@ from cueloom.operators.dataset import duration_range, label_range
 from cueloom.operators.labels import assign_batches, encode_labels, language_prefix, pad_batches, strip_bos
 
 
-def labelled(rows: DataFrame, vocab: DataFrame, vocab_size: int, languages: list[str], compose: bool = True) -> DataFrame:
+def labelled(
+    rows: DataFrame, vocab: DataFrame, vocab_size: int, languages: list[str], compose: bool = True
+) -> DataFrame:
     """Add ``labels`` to rows with ``sentence`` and ``language``."""
     words = word_tokens(norm_basic(F.col("sentence"), compose))
     return encode_labels(rows, words, vocab, language_prefix(F.col("language"), languages, vocab_size))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cueloom.runtime import checkpointed
+from cueloom.runtime import checkpointed, fits_broadcast
 
 _SPLIT = ["file", "block"]
 
+# About a million and a half splits, or 200 TB of text.
+_MAX_SPLIT_BYTES = 256 * 1024 * 1024
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, value)`` of a text list, numbered from 0.
@@ -17,7 +20,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     part files: numbering runs through them in name order. Files are read in
     splits. A line's number is its rank in its split, which its row id gives,
     plus the lines of all earlier splits, so only the one-row-per-split table is
-    ever ordered.
+    ever ordered. That table is counted at once; the lines are read lazily.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -27,9 +30,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     splits = lines.groupBy(*_SPLIT).agg(F.count("*").alias("n"), F.min("row_id").alias("first_id"))
     before = Window.orderBy(*_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        *_SPLIT, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_id")).alias("shift")
+    starts = checkpointed(
+        splits.select(*_SPLIT, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_id")).alias("shift"))
     )
+    if fits_broadcast(starts, _MAX_SPLIT_BYTES):
+        starts = F.broadcast(starts)
     return lines.join(starts, _SPLIT).select((F.col("row_id") + F.col("shift")).alias("line_no"), "value")
 
 

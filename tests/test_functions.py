@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cueloom.functions import cues, paths, signal, text
 
-NAMES = ["a.wav", ".wav", "a.tar.gz", "nodot", "..a.b", "...", "a.", "d.x/b", "d/.hidden", "d/a.b.c", "", "/x/y.mp4", "ä ö.srt"]
+NAMES = ["a.wav", ".wav", "a.tar.gz", "nodot", "..a.b", "...", "a.", "d.x/b", "d/.hidden", "d/a.b.c", "", "/x/y.mp4"]
+NAMES += ["ä ö.srt", "two\nlines.srt"]
 
 
 def apply(spark, values, function, schema="string"):

@@ -37,7 +37,8 @@ def test_vocabulary_orders_by_count_then_word(spark):
 def test_encode_and_decode(spark):
     vocab = labels.build_vocab(sentences(spark), words(), 3)
     encoded = labels.encode_labels(sentences(spark), words(), vocab)
-    assert {r.row_id: r.labels for r in encoded.collect()} == {1: [1, 5, 4, 4, 2], 2: [1, 4, 6, 2], 3: [1, 2], 4: [1, 3, 5, 2]}
+    expected = {1: [1, 5, 4, 4, 2], 2: [1, 4, 6, 2], 3: [1, 2], 4: [1, 3, 5, 2]}
+    assert {r.row_id: r.labels for r in encoded.collect()} == expected
     decoded = labels.decode_labels(encoded, vocab)
     assert {r.row_id: r.text for r in decoded.collect()} == {1: "b a a", 2: "a c", 3: "", 4: "b"}
     prefixed = labels.encode_labels(
@@ -75,7 +76,7 @@ def test_one_row_without_begin_keeps_the_batch(spark):
 
 
 def test_filters_run_before_encoding_and_python_once(spark):
-    rows = sentences(spark).withColumn("language", F.lit("en")).withColumn("input_length", F.col("row_id").cast("double"))
+    rows = sentences(spark).selectExpr("*", "'en' as language", "cast(row_id as double) as input_length")
     vocab = labels.build_vocab(sentences(spark), words(), 3)
     kept = training.labels_in_range(rows, vocab, 3, ["en"], 7)
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
@@ -115,7 +116,8 @@ def test_dataset_round_trip_keeps_copies(spark, tmp_path):
     assert {r.audio.path for r in loaded.collect()} == {"a.wav", "b.wav"}
     assert {r.sentence for r in loaded.collect()} == {"one", "two"}
     datasets.write_dataset(built.where("language = 'fi'").limit(1), out)
-    assert {r.language: r["count"] for r in spark.read.parquet(out).groupBy("language").count().collect()} == {"en": 1, "fi": 1}
+    left = spark.read.parquet(out).groupBy("language").count().collect()
+    assert {r.language: r["count"] for r in left} == {"en": 1, "fi": 1}
 
 
 def test_clips_are_appended(spark, tmp_path):
@@ -127,9 +129,10 @@ def test_clips_are_appended(spark, tmp_path):
 
 def test_results_keep_text_as_text(spark, tmp_path):
     texts = ["007", 'say "hi", ok', "two\nlines", "1e5", "true", 'ends with \\']
-    rows = spark.createDataFrame([(t, t, "a.wav", "en") for t in texts], "Reference string, Result string, Audio_File string, language string")
+    schema = "Reference string, Result string, Audio_File string, language string"
+    rows = spark.createDataFrame([(t, t, "a.wav", "en") for t in texts], schema)
     datasets.write_results(rows, str(tmp_path))
-    back = datasets.read_results(spark, str(tmp_path), "Reference string, Result string, Audio_File string, language string")
+    back = datasets.read_results(spark, str(tmp_path), schema)
     assert sorted(r.Reference for r in back.collect()) == sorted(texts)
 
 

@@ -33,7 +33,8 @@ def build_vocab(rows: DataFrame, words: Column, size: int) -> DataFrame:
 
     Ids rise from ``FIRST_WORD_ID`` by falling count, then by word. Counting is
     partial before the shuffle, and only the ``size`` kept words are ranked in
-    one place.
+    one place. Checkpoint or save the result if it is used more than once, or
+    each use counts the corpus again.
     """
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"vocabulary size must be in 1..{MAX_VOCABULARY}")

@@ -35,10 +35,13 @@ def with_position(df: DataFrame, order: list[str], by: str) -> DataFrame:
         "_part", F.shiftright("_id", _PLACE_BITS)
     )
     counts = ranged.groupBy("_part", by).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    shifts = counts.select("_part", by, (_running("_n", ["_part"], [by]) - F.col("_first")).alias("_shift"))
-    return ranged.join(shifts, ["_part", by]).select(
-        *df.columns, (F.col("_id") + F.col("_shift")).alias("position")
+    shifts = counts.select(
+        F.col("_part").alias("_in"),
+        F.col(by).alias("_of"),
+        (_running("_n", ["_part"], [by]) - F.col("_first")).alias("_shift"),
     )
+    same = (F.col("_part") == F.col("_in")) & F.col(by).eqNullSafe(F.col("_of"))
+    return ranged.join(shifts, same).select(*df.columns, (F.col("_id") + F.col("_shift")).alias("position"))
 
 
 def hash_order(key: list[str], seed: int) -> Column:

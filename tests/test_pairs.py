@@ -94,10 +94,12 @@ def hot(spark, n=20_000):
 
 
 def test_positions_are_dense_per_group(spark):
-    got = ordering.with_position(hot(spark).repartition(5), ["key"], "language")
+    rows = hot(spark).withColumn("language", F.when(F.col("language") != "rare", F.col("language")))
+    got = ordering.with_position(rows.repartition(5), ["key"], "language")
     by_language = {}
     for r in got.collect():
         by_language.setdefault(r.language, []).append((r.position, r.key))
+    assert {k: len(v) for k, v in by_language.items()} == {None: 400, "hot": 19_600}
     for rows in by_language.values():
         rows.sort()
         assert [p for p, _ in rows] == list(range(len(rows)))
@@ -119,6 +121,18 @@ def test_shuffle_is_a_stable_permutation(spark):
     assert sorted(first.values()) == list(range(4000))
 
 
+def test_one_stem_may_own_most_files(spark):
+    ids = spark.range(9000)
+    media, texts = (
+        ids.selectExpr(f"concat('{side}', id, if(id % 3 = 0, '/all', concat('/c', id)), '{ending}') as path")
+        for side, ending in (("m", ".wav"), ("t", ".txt"))
+    )
+    found = pairs.pair_clips(media, texts)
+    assert found.count() == 9000
+    shared = found.where("media_path like '%/all.wav'").select("transcript_path").distinct().collect()
+    assert [r.transcript_path for r in shared] == ["t0/all.txt"]
+
+
 def test_audio_exists(spark):
     rows = spark.createDataFrame([("a.wav", 1), ("b.wav", 2)], "audio_path string, n int")
     assert [r.n for r in pairs.audio_exists(rows, paths(spark, "b.wav", "b.wav")).collect()] == [2]

@@ -160,6 +160,11 @@ cues as (
   from embeddings),
 signals as (select audio_id, flatten(list(samples order by frame_no)) as signal from frames group by audio_id)"""
 
+_STEREO_DOWN = """list_transform(range(len(samples) // 2), lambda i:
+    ((samples[2 * i + 1]::double + samples[2 * i + 2]::double) / 2)::float::double)"""
+_MIXED_DOWN = f"""case when channels = 1 then list_transform(samples, lambda x: x::double)
+  else {_STEREO_DOWN} end"""
+
 VOCAB_SIZE = 2000
 PAIR_VOCAB_SIZE = 3000
 LABEL_LANGUAGES = ["de", "en", "es", "fr"]
@@ -338,6 +343,17 @@ def oracle_sql() -> dict[str, str]:
       select audio_id, cue_no, 0::bigint as part_no,
         {_fixed("signal[start_ms * 64 // 1000 + 1 : end_ms * 64 // 1000]")} as samples
       from cues join signals using (audio_id)"""
+    sql["cut_clips"] = f"""with {CUE_LINES}, {FRAMES},
+      mono_signals as (
+        select audio_id, flatten(list({_STEREO_DOWN} order by frame_no)) as mono from frames group by audio_id)
+      select concat('rec_', conv_id, '_', cue_no) as clip_id, {_language("conv_id")} as "language",
+        concat('conv_', conv_id, '_', turn, case role when 'user' then '.srt' else '.vtt' end) as transcript_file,
+        text, 0::bigint as part_no, {_fixed("mono[start_ms * 64 // 1000 + 1 : end_ms * 64 // 1000]")} as samples
+      from mixed join (select conv_id, turn, role from conversations) using (conv_id, turn)
+      join mono_signals on audio_id = conv_id"""
+    sql["paired_dataset"] = f"""select concat('media/conv ', conv_id, '+', turn, '.wav') as audio_path,
+      16000::bigint as sample_rate, replace(text, chr(10), ' ') as sentence, {_language("conv_id")} as "language"
+      from conversations where {_NOT_SYSTEM}"""
     sql["pair_clips"] = f"""with {PAIRED}
       select m.media_path, min(t.transcript_path) as transcript_path
       from media_keys m join text_keys t using (k) group by m.media_path"""
@@ -358,10 +374,7 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_new_cues"] = f"with {CUE_LINES} select concat('conv_', conv_id, '_', turn, '_', cue_no) as clip_id, start_ms::bigint as start_ms, text from mixed"
 
     # Signals
-    mixed_down = """case when channels = 1 then list_transform(samples, lambda x: x::double)
-      else list_transform(range(len(samples) // 2), lambda i:
-        ((samples[2 * i + 1]::double + samples[2 * i + 2]::double) / 2)::float::double) end"""
-    sql["mixdown_mono"] = f"with {FRAMES} select audio_id, frame_no, {_fixed(mixed_down)} as samples from frames"
+    sql["mixdown_mono"] = f"with {FRAMES} select audio_id, frame_no, {_fixed(_MIXED_DOWN)} as samples from frames"
     sql["clip_duration"] = f"""with {FRAMES}
       select audio_id, 64::bigint as sample_rate, sum(len(samples) // channels) / 64::double as input_length
       from frames group by audio_id"""

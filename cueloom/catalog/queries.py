@@ -17,7 +17,7 @@ from cueloom.catalog.oracles import LABEL_LANGUAGES, MAX_LABELS, PAIR_VOCAB_SIZE
 from cueloom.constants import SHUFFLE_SEED
 from cueloom.functions import paths, text
 from cueloom.operators import audio, batchmap, checkpoints, cues, dataset, labels, manifest, ordering, pairs, scoring
-from cueloom.plans import acquisition, evaluation, training
+from cueloom.plans import acquisition, clips, evaluation, training
 from cueloom.runtime import checkpointed, scratch_path
 from cueloom.sources import datasets, lines, listing
 from cueloom.sources import manifest as manifest_source
@@ -152,6 +152,20 @@ def write_clips(spark, sf):
     return spark.read.parquet(out).select("audio_id", "cue_no", "language", _fixed())
 
 
+@_query
+def cut_clips(spark, sf):
+    cues_to_cut = clips.manifest_cues(
+        t.turn_manifest(spark, sf), t.recordings(spark, sf), t.subtitle_files(spark, sf).select("path", "body")
+    )
+    cut = clips.cut_clips(t.named_frames(spark, sf), cues_to_cut)
+    return cut.select("clip_id", "language", "transcript_file", "text", F.col("part_no").cast("long"), _fixed())
+
+
+@_query
+def paired_dataset(spark, sf):
+    return _flat(clips.paired_dataset(t.turn_media(spark, sf), t.turn_texts(spark, sf)))
+
+
 @_query
 def write_pair_lists(spark, sf):
     out = scratch_path(spark, "lists")

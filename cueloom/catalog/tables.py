@@ -167,6 +167,53 @@ def frame_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stereo recordings under file names: 64 values are half a second of two channels."""
+    return frames(spark, sf_dir).selectExpr(
+        "concat('rec_', audio_id, '.wav') as audio_id",
+        "frame_no",
+        "500 as frame_ms",
+        "sample_rate",
+        "2 as channels",
+        "samples",
+    )
+
+
+def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of the recordings there are frames of."""
+    names = frames(spark, sf_dir).select("audio_id").distinct()
+    return names.selectExpr("concat('audio/rec_', audio_id, '.wav') as path")
+
+
+def turn_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per turn: its conversation's recording and its own subtitle file."""
+    files = subtitle_files(spark, sf_dir)
+    return files.selectExpr(
+        "conv_id * 100 + turn as manifest_id",
+        "concat('rec_', conv_id, '.mp4') as media_file",
+        "substring_index(path, '/', -1) as transcript_file",
+        f"{LANGUAGE_OF_ID.format('conv_id')} as language",
+    )
+
+
+def turn_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text file per turn, named with escapes."""
+    return table(spark, sf_dir, "conversations").selectExpr(
+        f"{LANGUAGE_OF_ID.format('conv_id')} as language",
+        "concat('text/conv%20', conv_id, '+', turn, '.txt') as path",
+        "text as body",
+    )
+
+
+def turn_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips of all turns but the system's."""
+    spoken = table(spark, sf_dir, "conversations").where("role <> 'system'")
+    return spoken.selectExpr(
+        f"{LANGUAGE_OF_ID.format('conv_id')} as language",
+        "concat('media/conv ', conv_id, '+', turn, '.wav') as path",
+    )
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole turns as references; a fixed edit pattern makes the hypotheses."""
     words = table(spark, sf_dir, "conversations").withColumn("w", F.split("text", "[ \n]"))

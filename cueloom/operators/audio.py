@@ -42,7 +42,8 @@ def rate_check(frames: DataFrame, target: int = SAMPLE_RATE) -> DataFrame:
 def cut_frames(frames: DataFrame, cues: DataFrame, part_ms: int = PART_MS) -> DataFrame:
     """Mono samples ``[start_ms, end_ms)`` of every cue.
 
-    Returns the cue columns plus ``part_no`` and ``samples``. The interval join
+    Returns the cue columns, which must tell cues apart, plus ``part_no`` and
+    ``samples``. The interval join
     becomes an equi-join: a cue is spread over the frames it touches and meets
     each on ``(audio_id, frame_no)``, so a recording's cues spread over all
     tasks however many there are. Cues are clamped to the recording first, so a

@@ -22,12 +22,17 @@ EDIT_COUNTS_TYPE = T.StructType(
 
 # Costs pack (edits, deletions) in one integer, so the minimum is the fewest
 # edits and, among those, the fewest deletions.
-_EDIT = 1 << 32
+_BITS = 32
+_EDIT = 1 << _BITS
 _DELETION = _EDIT + 1
 _FAR = 1 << 62
 
+# Pairs of fewer words than this, both sides together, fit a 32-bit packing.
+_SHORT_BITS = 15
+_SHORT_WORDS = 1 << _SHORT_BITS
+
 # Cells of one vectorised step, and of one pair above which it is banded alone.
-_STEP_CELLS = 1 << 17
+_STEP_CELLS = 1 << 15
 _LONE_PAIR_CELLS = 1 << 20
 
 
@@ -69,15 +74,19 @@ def edit_distance(reference: Column, hypothesis: Column) -> Column:
 def _padded_costs(ref: np.ndarray, hyp: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Packed cost of every pair of a padded block; rows are sorted by ``n``."""
     width = hyp.shape[1]
-    ramp = np.arange(width + 1, dtype=np.int64) * _EDIT
+    short = ref.shape[1] + width < _SHORT_WORDS
+    bits, kind = (_SHORT_BITS, np.int32) if short else (_BITS, np.int64)
+    edit, deletion = kind(1 << bits), kind((1 << bits) + 1)
+    ramp = np.arange(width + 1, dtype=kind) * edit
     row = np.broadcast_to(ramp, (len(n), width + 1)).copy()
-    costs = np.where(n == 0, m * _EDIT, 0)
+    costs = np.where(n == 0, m << bits, 0)
     done = int(np.searchsorted(n, 0, side="right"))
     for i in range(ref.shape[1]):
         row = row[max(done - (len(n) - len(row)), 0) :]
         live = slice(len(n) - len(row), None)
-        diagonal = row[:, :-1] + np.where(hyp[live] != ref[live, i : i + 1], _EDIT, 0)
-        row = row + _DELETION
+        diagonal = (hyp[live] != ref[live, i : i + 1]) * edit
+        diagonal += row[:, :-1]
+        row = row + deletion
         np.minimum(row[:, 1:], diagonal, out=row[:, 1:])
         row -= ramp
         np.minimum.accumulate(row, axis=1, out=row)
@@ -87,7 +96,7 @@ def _padded_costs(ref: np.ndarray, hyp: np.ndarray, n: np.ndarray, m: np.ndarray
             pick = np.arange(done, ended)
             costs[pick] = row[pick - live.start, m[pick]]
             done = ended
-    return costs
+    return (costs >> bits << _BITS) + (costs & ((1 << bits) - 1))
 
 
 def _banded_cost(ref: np.ndarray, hyp: np.ndarray) -> int:
@@ -114,7 +123,7 @@ def _banded_cost(ref: np.ndarray, hyp: np.ndarray) -> int:
             column += 1
             row[(column < 0) | (column > m)] = _FAR
         cost = int(row[m - n + band])
-        if cost >> 32 <= band or band >= max(n, m):
+        if cost >> _BITS <= band or band >= max(n, m):
             return cost
         band *= 2
 
@@ -144,7 +153,7 @@ def _padded(values: np.ndarray, offsets: np.ndarray, block: np.ndarray, filler:
     sizes = offsets[block + 1] - offsets[block]
     column = np.arange(int(sizes.max(initial=0)))
     inside = column < sizes[:, None]
-    out = np.full(inside.shape, filler, dtype=np.int64)
+    out = np.full(inside.shape, filler, dtype=values.dtype)
     out[inside] = values[(offsets[block][:, None] + column)[inside]]
     return out
 
@@ -153,12 +162,12 @@ def _padded(values: np.ndarray, offsets: np.ndarray, block: np.ndarray, filler:
 @F.arrow_udf(EDIT_COUNTS_TYPE)
 def _edit_counts(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     words = pa.concat_arrays([reference.flatten(), hypothesis.flatten()]).dictionary_encode()
-    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = words.indices.to_numpy(zero_copy_only=False)
     sizes = [np.asarray(side.value_lengths().fill_null(0)) for side in (reference, hypothesis)]
     ref_at, hyp_at = (np.concatenate(([0], np.cumsum(s))).astype(np.int64) for s in sizes)
     cost = _pair_costs(codes[: ref_at[-1]], ref_at, codes[ref_at[-1] :], hyp_at)
     n, m = np.diff(ref_at), np.diff(hyp_at)
-    edits, deletions = cost >> 32, cost & (_EDIT - 1)
+    edits, deletions = cost >> _BITS, cost & (_EDIT - 1)
     insertions = deletions - n + m
     substitutions = edits - deletions - insertions
     fields = {

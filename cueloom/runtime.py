@@ -22,6 +22,7 @@ SESSION_CONF = {
     # Split a hot join partition even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -67,6 +67,15 @@ def test_small_steps_change_nothing(monkeypatch):
     assert costs(pairs) == whole == [brute(*p) for p in pairs]
 
 
+def test_wide_packing_changes_nothing(monkeypatch):
+    random = np.random.default_rng(4)
+    words = lambda: list(random.integers(0, 30, random.integers(0, 90)))
+    pairs = [(words(), words()) for _ in range(40)]
+    narrow = costs(pairs)
+    monkeypatch.setattr(kernel, "_SHORT_WORDS", 0)
+    assert costs(pairs) == narrow == [brute(*p) for p in pairs]
+
+
 def pairs_frame(spark, rows):
     return spark.createDataFrame(rows, "language string, reference string, hypothesis string")
 

@@ -26,6 +26,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, _rest``: all other columns in one, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*(rest or [F.lit(0).alias("none")])).alias("_rest"))
+
+
+def put_back(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The columns that ``set_aside`` was given, in their order, then ``more``."""
+    return df.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.`{c}`").alias(c) for c in columns], *more)
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows of equal doc_id apart by their text. Null texts share one key."""
     return F.xxhash64(text)

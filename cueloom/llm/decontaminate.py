@@ -16,7 +16,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cueloom.llm.common import stored, text_key
+from cueloom.llm.common import put_back, set_aside, stored, text_key
 
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -143,7 +143,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, span: int = 10, gram: i
     """``docs`` without the rows in which a window of an item occurs. All columns are kept."""
     _, spans = _matches(docs, items, span, gram)
     hit = spans.select("_id", "_k")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & text_key().eqNullSafe(F.col("_k")), "left_anti")
+    keyed = set_aside(docs).withColumn("_key", text_key())
+    return put_back(keyed.join(hit, _same("doc_id", "_id", "_key", "_k"), "left_anti"), docs.columns)
 
 
 def _same(*names: str) -> Column:

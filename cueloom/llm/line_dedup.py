@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from cueloom.llm.common import as_bytes, as_list, pieces_of, stored, text_key
+from cueloom.llm.common import as_bytes, as_list, pieces_of, put_back, set_aside, stored, text_key
 from cueloom.llm.components import bucket_links, components
 
 SHINGLE = 8
@@ -207,16 +207,13 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     _, drops = repeated_lines(docs, similarity)
     docs = docs.drop("n_lines", "n_removed")
-    joined = docs.withColumn("_key", text_key()).join(drops, _same_doc(), "left")
+    joined = set_aside(docs).withColumn("_key", text_key()).join(drops, _same_doc(), "left")
     parts = joined.withColumn("_parts", F.split("text", "\n"))
     # The kept numbers are a set difference, linear in the number of lines.
-    left = parts.withColumn(
-        "_left", F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "drops")
-    )
+    left = parts.withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "drops"))
     text = F.array_join(F.transform("_left", lambda i: F.get(F.col("_parts"), i)), "\n")
-    removed = F.coalesce(F.size("drops"), F.lit(0))
-    return left.select(
-        *[F.when(F.col("drops").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_parts")).cast("long").alias("n_lines"),
-        F.when(F.col("drops").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"),
-    )
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("_parts")).cast("long")
+    removed = F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long")
+    counted = left.withColumns({"n_lines": lines, "n_removed": removed})
+    shorter = counted.withColumn("text", F.when(F.col("drops").isNull(), F.col("text")).otherwise(text))
+    return put_back(shorter, docs.columns, F.col("n_lines"), F.col("n_removed"))

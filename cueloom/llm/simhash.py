@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cueloom.llm.common import as_bytes, as_list, pieces_of, stored
+from cueloom.llm.common import as_bytes, as_list, pieces_of, put_back, set_aside, stored
 from cueloom.llm.components import bucket_links, components
 
 BITS = 64
@@ -124,7 +124,6 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     texts the smallest text. Rows of a null doc_id in a component of their own stay as one.
     """
     groups = simhash_groups(docs, **options).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(groups.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = kept.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_row"))
-    return first.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    kept = set_aside(docs).join(groups.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    first = kept.groupBy("doc_id").agg(F.min(F.struct("text", "_rest")).alias("_row"))
+    return put_back(first.select("doc_id", "_row.text", "_row._rest"), docs.columns)

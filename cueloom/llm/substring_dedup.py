@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cueloom.llm.common import as_bytes, as_list, pieces_of, stored
+from cueloom.llm.common import as_bytes, as_list, pieces_of, stored, text_key
 
 LENGTH = 400
+_DOC = ["doc", "key"]
+_NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -123,18 +125,19 @@ def _batch(names: list[str], columns: list[list[np.ndarray]]) -> pa.RecordBatch:
 
 
 def _places(base: DataFrame, length: int, cover: str) -> DataFrame:
-    """``name, context, row, low, high``: every sampled place and the hash of all it serves."""
-    names = ["name", "context", "row", "low", "high"]
+    """``name, context, doc, key, low, high``: every sampled place and the hash of all it serves."""
+    names = ["name", "context", "doc", "key", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 128):
             columns: list[list[np.ndarray]] = [[] for _ in names]
-            for row, text in zip(as_list(batch, "row"), as_bytes(batch, "text"), strict=True):
+            for doc, key, text in zip(as_list(batch, "doc"), as_list(batch, "key"), as_bytes(batch, "text"), strict=True):
                 for start, part in _segments(text or b"", length):
                     hashes = Hashes(part)
                     at, low, high, name = COVERS[cover](hashes, len(part), length)
                     context = _paired(hashes.between(low, high + length), (at - low).astype(np.uint64))
-                    found = [_signed(name), _signed(context), np.full(len(at), row, np.int64), low + start, high + start]
+                    whose = [np.full(len(at), x, np.int64) for x in (doc, key)]
+                    found = [_signed(name), _signed(context), *whose, low + start, high + start]
                     for column, values in zip(columns, found, strict=True):
                         column.append(values)
             yield _batch(names, columns)
@@ -143,14 +146,14 @@ def _places(base: DataFrame, length: int, cover: str) -> DataFrame:
 
 
 def _strings(asked: DataFrame, length: int) -> DataFrame:
-    """``name, string, row, at, weight``: the hash of each string that starts in a row's ``parts``."""
-    names = ["name", "string", "row", "at", "weight"]
+    """``name, string, doc, key, at, weight``: the hash of each string that starts in a text's ``parts``."""
+    names = ["name", "string", "doc", "key", "at", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 64):
             columns: list[list[np.ndarray]] = [[] for _ in names]
-            rows = zip(as_list(batch, "row"), as_bytes(batch, "text"), as_list(batch, "parts"), strict=True)
-            for row, text, parts in rows:
+            ids = (as_list(batch, c) for c in ("doc", "key"))
+            for doc, key, text, parts in zip(*ids, as_bytes(batch, "text"), as_list(batch, "parts"), strict=True):
                 for start, part in _segments(text, length):
                     count = len(part) - length + 1
                     name, weight = np.zeros(count, np.int64), np.zeros(count, np.int64)
@@ -161,7 +164,8 @@ def _strings(asked: DataFrame, length: int) -> DataFrame:
                     at = np.flatnonzero(weight)
                     if len(at):
                         string = Hashes(part).of(length)[at]
-                        found = [name[at], _signed(string), np.full(len(at), row, np.int64), at + start, weight[at]]
+                        whose = [np.full(len(at), x, np.int64) for x in (doc, key)]
+                        found = [name[at], _signed(string), *whose, at + start, weight[at]]
                         for column, values in zip(columns, found, strict=True):
                             column.append(values)
             yield _batch(names, columns)
@@ -170,32 +174,33 @@ def _strings(asked: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_starts(base: DataFrame, length: int = LENGTH, cover: str = "minimum") -> DataFrame:
-    """``row, low, high``: ranges of starts of strings of ``length`` bytes that occur elsewhere too.
+    """``doc, key, low, high``: ranges of starts of strings of ``length`` bytes that occur elsewhere too.
 
-    ``base`` has ``row`` (unique) and ``text``. Ranges may overlap and repeat.
+    ``base`` has ``doc, key, text``; rows of equal ``doc`` and ``key`` have equal
+    texts, repeat each other and share their ranges. Ranges may overlap.
     """
-    places = stored(_places(base.select("row", "text"), length, cover), "places")
+    places = stored(_places(base.select(*_DOC, "text"), length, cover), "places")
     contexts = places.groupBy("name", "context").agg(F.count("*").alias("same"))
     contexts = stored(contexts, "contexts")
     named = contexts.groupBy("name").agg(F.sum("same").alias("all"), F.min("same").alias("least"))
     named = stored(named.where("all > 1").select("name", (F.col("least") == 1).alias("open")), "names")
     met = stored(places.join(named, "name"), "met-places")
     twice = stored(contexts.where("same > 1").join(named, "name", "left_semi"), "twice")
-    met = met.join(twice, ["name", "context"], "left").select("row", "name", "context", "low", "high", "open", "same")
+    met = met.join(twice, ["name", "context"], "left").select(*_DOC, "name", "context", "low", "high", "open", "same")
     met = stored(met, "judged-places")
-    sure = met.where("same > 1").select("row", "low", "high")
+    sure = met.where("same > 1").select(*_DOC, "low", "high")
     # A neighbourhood that repeats speaks once for all its copies.
-    one = met.where("open and same > 1").groupBy("name", "context").agg(F.min(F.struct("row", "low", "high")).alias("p"))
-    asked = met.where("open and same is null").select("row", "low", "high", "name", F.lit(1).alias("weight")).unionByName(
-        one.select("p.row", "p.low", "p.high", "name", F.lit(2).alias("weight"))
+    one = met.where("open and same > 1").groupBy("name", "context").agg(F.min(F.struct(*_DOC, "low", "high")).alias("p"))
+    asked = met.where("open and same is null").select(*_DOC, "low", "high", "name", F.lit(1).alias("weight")).unionByName(
+        one.select("p.doc", "p.key", "p.low", "p.high", "name", F.lit(2).alias("weight"))
     )
     if cover == "difference":  # a start has many places there, so its string alone names it
         asked = asked.withColumn("name", F.lit(0).cast("long"))
-    asked = asked.groupBy("row").agg(F.collect_list(F.struct("low", "high", "name", "weight")).alias("parts"))  # of one row
-    strings = _strings(base.select("row", "text").join(asked, "row"), length)
+    asked = asked.groupBy(*_DOC).agg(F.collect_list(F.struct("low", "high", "name", "weight")).alias("parts"))  # of one text
+    strings = _strings(base.select(*_DOC, "text").join(asked, _DOC), length)
     equal = Window.partitionBy("name", "string")
     again = strings.withColumn("_all", F.sum("weight").over(equal)).where("weight = 1 and _all > 1")
-    return stored(sure.unionByName(again.select("row", F.col("at").alias("low"), F.col("at").alias("high"))), "starts")
+    return stored(sure.unionByName(again.select(*_DOC, F.col("at").alias("low"), F.col("at").alias("high"))), "starts")
 
 
 def covered(size: int, lows: np.ndarray, highs: np.ndarray, length: int) -> np.ndarray:
@@ -213,13 +218,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, cover: str = "minimum"
     else, in the same or another row, is removed; strings are judged on the input
     and never cross rows. ``spans`` are the maximal removed byte ranges as
     ``(start, end)``, ``kept`` the remaining bytes. Null and empty texts have no
-    bytes. Rows are numbered for this, so repeated ids, null ids and repeated rows
-    are rows like any other: equal rows of enough bytes remove each other. Other columns are ignored.
+    bytes. Rows are told apart by id and text; repeated ids, null ids and repeated
+    rows are rows like any other: equal rows of enough bytes remove each other. Other columns are ignored.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = stored(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    base = narrow.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("key", text_key())
     ranges = repeated_starts(base, length, cover)
-    ranges = ranges.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))  # of one row
+    ranges = ranges.groupBy(*_DOC).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))  # of one text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 128):
@@ -242,5 +247,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, cover: str = "minimum"
             arrays += [pa.array(spans, span), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "spans", "kept"])
 
-    joined = base.join(ranges, "row", "left").select("doc_id", "text", "ranges")
+    joined = base.join(ranges, _DOC, "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -169,8 +169,8 @@ class RegionWeights:
     tag: dict[bool, float] = field(default_factory=dict)
 
     def word(self, marked: bool, segment: Segment) -> float:
-        if segment.side:  # left out anyway; inside an article it does not part what is around it
-            return 0.0 if segment.landmark else -0.1
+        if segment.side:  # left out anyway; it does not part what is around it
+            return 0.0
         kind = (marked, marked and segment.landmark, segment.place)
         default = 1.0 if segment.landmark else -1.0 if marked else -0.3 if segment.place == "a" else 1.0
         return self.words.get(kind, default)

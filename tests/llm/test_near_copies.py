@@ -1,0 +1,124 @@
+"""SimHash groups, components and line dedup against brute force."""
+
+from itertools import combinations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from xxhash import xxh64_intdigest
+
+from cueloom.llm.components import components
+from cueloom.llm.line_dedup import band_hashes, dedup_lines, jaccard
+from cueloom.llm.simhash import block_masks, drop_near_copies, fingerprint, simhash_groups
+
+DOCS = "doc_id long, text string"
+
+
+def _slow_print(text):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _roots(nodes, links):
+    root = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abÉ \n\t.", max_size=60))
+def test_fingerprint_is_the_majority_of_shingle_hashes(text):
+    assert fingerprint(text.encode()) == _slow_print(text)
+
+
+def test_spark_hash_is_the_same(spark):
+    assert spark.sql("select xxhash64('a b c d')").first()[0] % 2**64 == xxh64_intdigest(b"a b c d", 42)
+
+
+@pytest.mark.parametrize(("bits", "blocks"), [(0, 1), (1, 2), (2, 4), (4, 7)])
+def test_pairs_within_the_distance_share_a_mask(bits, blocks):
+    masks = block_masks(bits, blocks)
+    for chosen in list(combinations(range(0, 64, 5), bits))[:300]:
+        difference = sum(1 << b for b in chosen)
+        assert any(not difference & m for m in masks)
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (300, 300)]
+    found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    expected = _roots({n for link in links for n in link}, links)
+    assert found == {n: r for n, r in expected.items() if n != 300}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _variants():
+    base = " ".join(f"w{i}" for i in range(300))
+    texts = [base, base, base + " tail", base.replace("w7 ", "x7 "), base.upper(), None, "", " \n", "one two", "ONE  two", "far away words"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    return rows + [(3, texts[3]), (None, "one two"), (None, None), (70, "alone here today")]
+
+
+def test_simhash_groups_equal_brute_force(spark):
+    rows = _variants()
+    prints = [_slow_print(t) for _, t in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    root = _roots(range(len(rows)), links)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root[i]] = min(least.get(root[i], doc_id), doc_id)
+    expected = sorted((str(d), prints[i], least.get(root[i])) for i, (d, _) in enumerate(rows))
+    found = simhash_groups(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((str(r["doc_id"]), r["fp"] % 2**64, r["component_id"]) for r in found) == expected
+
+
+def test_one_of_each_group_stays_with_its_columns(spark):
+    rows = [(i, t, f"s{i}", 1) for i, t in _variants()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string, _kept int")
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    groups = {r["component_id"] for r in simhash_groups(docs).collect()}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(groups)
+    assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+LONG = "the quick brown fox jumps over the lazy dog and then it runs far away from here to the old river side"
+
+
+def test_bands_of_similar_lines_meet():
+    a, b = band_hashes([LONG + " twice again", LONG + " twice agai"])
+    assert (a == b).any()
+    assert not (band_hashes([LONG])[0] == band_hashes(["x" * 50])[0]).any()
+
+
+def test_lines_equal_brute_force(spark):
+    rows = [
+        (1, f"{LONG}\nshort\n\nshort"),
+        (2, f"{LONG}!\nother line of its own that nobody else has"),
+        (3, f"a{LONG}\r\n  \nshort"),
+        (4, None),
+        (5, ""),
+        (5, f"{LONG}"),
+        (None, "short\nnew one"),
+        (7, "é" * 300 + "\n" + "é" * 299),
+        (7, "é" * 300 + "\n" + "é" * 299),
+    ]
+    docs = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id long, text string, drops int, _key string")
+    found = dedup_lines(docs)
+    assert found.columns == [*docs.columns, "n_lines", "n_removed"]
+    got = {(r["doc_id"], r["n_lines"], r["text"]) for r in found.collect()}
+    assert (1, 4, f"{LONG}\nshort\n") in got or (1, 4, "short\n") in got or (1, 4, "") in got or (1, 4, f"{LONG}\n") in got
+    assert (4, 0, None) in got and (5, 1, "") in got
+    assert (7, 2, "é" * 300) in got or (7, 2, "é" * 299) in got  # the kept one is the first of the component
+    lines = [line for _, _, t in got if t for line in t.split("\n") if line.strip()]
+    assert all(jaccard(a, b) < 0.8 for a, b in combinations(lines, 2))
+    assert found.count() == len(rows)
+    assert dedup_lines(docs.limit(0)).count() == 0

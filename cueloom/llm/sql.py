@@ -1,7 +1,47 @@
-"""SQL of the corpus queries that SQL can express at whole-table size."""
+"""SQL of the corpus queries that SQL can express over whole tables."""
 
 from __future__ import annotations
 
+from cueloom.llm.chat import END, START
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(table: str, key: str) -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lower = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+    return f"select {key}, regexp_extract_all({lower}, '{pattern}') as w from {table}"
+
+
+def _windows(words: str, key: str, size: str) -> str:
+    return f"""select {key}, {size} as n, i, array_to_string(w[i:i + {size} - 1], ' ') as gram
+      from (select *, unnest(range(1, len(w) - {size} + 2)) as i from {words})"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    decontaminate = f"""with doc_words as ({_words("documents", "doc_id")}),
+      item_words as (select *, least(10, len(w)) as size from ({_words("benchmark", "item_id")}) where len(w) > 0),
+      item_windows as (select distinct item_id, n, gram from ({_windows("item_words", "item_id", "size")})),
+      sized as (select doc_id, w, size from doc_words, (select distinct n as size from item_windows)),
+      hits as (select doc_id, i, n, item_id from ({_windows("sized", "doc_id", "size")}) join item_windows using (n, gram)),
+      places as (select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+      met as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+        from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
+      select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+        coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 as contaminated
+      from doc_words left join places using (doc_id) left join met using (doc_id)"""
+    said = f"{END}{START}assistant ok"
+    escaped = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+    frame = len(START) + 1 + len(END) + 1
+    chat = f"""with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -1, 0, 'user', '{said}' union all select -1, 1, 'assistant', '{said}')
+      select conv_id, count(*)::bigint as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+        sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+        sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn)) as loss_sha256,
+        sum(length({escaped.format("role")}) + length({escaped.format("text")}) + {frame})::bigint as formatted_chars
+      from turns group by conv_id"""
+    return {"op4_decontaminate": decontaminate, "op7_chat": chat}

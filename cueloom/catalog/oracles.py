@@ -417,7 +417,8 @@ def oracle_sql() -> dict[str, str]:
       select sum(substitutions)::bigint as substitutions, sum(deletions)::bigint as deletions,
         sum(insertions)::bigint as insertions from counts"""
     sql["wer_by_language"] = f"""with recursive {SCORED}
-      select "language", count(*) as pairs, sum(ref_words)::bigint as ref_words, sum(edits)::bigint as edits, {_WER}
+      select "language", grouping("language") = 1 as is_corpus, count(*) as pairs,
+        sum(ref_words)::bigint as ref_words, sum(edits)::bigint as edits, {_WER}
       from counts join strict_pairs using (conv_id, turn) group by rollup("language")"""
     sql["result_rows"] = sql["write_results"]
     sql["train_metric_wer"] = f"with recursive {IN_VOCAB}, {_aligned('known_pairs')} select {_WER} from counts"

@@ -29,4 +29,3 @@ PROGRESS_OFFSET = 10
 PAD_ID, BOS_ID, EOS_ID, UNKNOWN_ID, FIRST_WORD_ID = 0, 1, 2, 3, 4
 
 AUDIO_EXTENSION = ".wav"
-DEFAULT_DATASET_DIR = "op_data_dir"

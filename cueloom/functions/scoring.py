@@ -35,6 +35,9 @@ _SHORT_WORDS = 1 << _SHORT_BITS
 _STEP_CELLS = 1 << 15
 _LONE_PAIR_CELLS = 1 << 20
 
+# Shared words that one character each can stand for.
+_MOST_SHARED = 980_000
+
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
@@ -56,17 +59,22 @@ def edit_distance(reference: Column, hypothesis: Column) -> Column:
     """Fewest word edits between two word arrays, without leaving the JVM.
 
     Words are recoded as characters so that the built-in ``levenshtein`` counts
-    words. Exact as long as a pair shares under 980,000 distinct words. For bulk
+    words. Characters run out beyond 980,000 distinct shared words; such a pair
+    raises, and ``edit_counts`` aligns it. For bulk
     scoring ``edit_counts`` costs less: it aligns pairs together and bands long ones.
     """
     return _let(
         F.struct(reference.alias("r"), hypothesis.alias("h")),
         lambda pair: _let(
             F.array_intersect(pair["r"], pair["h"]),
-            lambda shared: F.levenshtein(
-                _as_text(pair["r"], shared, _REFERENCE_ONLY),
-                _as_text(pair["h"], shared, _HYPOTHESIS_ONLY),
-            ).cast("long"),
+            lambda shared: F.when(
+                F.size(shared) >= _MOST_SHARED, F.raise_error(F.lit("too many shared words; use edit_counts"))
+            ).otherwise(
+                F.levenshtein(
+                    _as_text(pair["r"], shared, _REFERENCE_ONLY),
+                    _as_text(pair["h"], shared, _HYPOTHESIS_ONLY),
+                ).cast("long")
+            ),
         ),
     )
 

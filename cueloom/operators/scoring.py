@@ -65,8 +65,9 @@ def corpus_edit_totals(scored: DataFrame) -> DataFrame:
 
 
 def wer_by_language(scored: DataFrame) -> DataFrame:
-    """One row per language and one, with a null language, for the corpus."""
+    """One row per language, a null one included, and one for the corpus, which ``is_corpus`` marks."""
     return scored.rollup("language").agg(
+        (F.grouping("language") == 1).alias("is_corpus"),
         F.count("*").alias("pairs"),
         F.sum("ref_words").alias("ref_words"),
         F.sum("edits").alias("edits"),

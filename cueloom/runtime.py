@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -24,6 +26,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,6 +64,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/cueloom/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables below the scratch folder.
+
+    For the end of a run: results that were not written yet may still read them.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/cueloom")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster that does not have it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(os.path.join(folder, "cueloom"), "zip", root, "cueloom")
+        spark.sparkContext.addPyFile(archive)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later readers see the same rows in the same partitions."""
     scratch_dir(df.sparkSession)

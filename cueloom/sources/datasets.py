@@ -6,8 +6,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cueloom.constants import DEFAULT_DATASET_DIR
+# Blanks at the ends of a text are part of it.
+_SHEET = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def _by_language(rows: DataFrame) -> DataFrame:
@@ -29,7 +31,7 @@ def write_clips(clips: DataFrame, out: str) -> None:
     clips.write.mode("append").partitionBy("language").parquet(out)
 
 
-def write_dataset(dataset: DataFrame, out: str = DEFAULT_DATASET_DIR) -> None:
+def write_dataset(dataset: DataFrame, out: str) -> None:
     """``(audio, sentence, language)`` as Parquet, one folder per language.
 
     Replaces only the languages ``dataset`` holds; others stay as they are.
@@ -46,14 +48,15 @@ def write_dataset(dataset: DataFrame, out: str = DEFAULT_DATASET_DIR) -> None:
 def write_results(results: DataFrame, out: str) -> None:
     """Result sheet as CSV with a header, one folder per language.
 
-    Quotes are doubled inside quoted cells, as spreadsheets expect.
+    Quotes are doubled inside quoted cells, as spreadsheets expect. Replaces only
+    the languages ``results`` holds; others stay as they are.
     """
     (
         _by_language(results)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("language")
-        .option("header", True)
-        .option("escape", '"')
+        .options(**_SHEET)
         .csv(f"{out}/transcription_results")
     )
 
@@ -62,16 +65,18 @@ def read_results(spark: SparkSession, out: str, schema: str) -> DataFrame:
     """Result sheet with declared types: text is never type-inferred."""
     return (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**_SHEET)
         .option("multiLine", True)
         .csv(f"{out}/transcription_results")
     )
 
 
-def load_datasets(spark: SparkSession, paths: list[str]) -> DataFrame:
+def load_datasets(spark: SparkSession, paths: list[str], split: str | None = None) -> DataFrame:
     """All rows of all saved datasets, repeated ones included.
 
+    ``split`` names them, as ``train``, in a column of that name, so that splits
+    loaded apart can be told apart. ``language`` is always text.
+
     ``dataset_no`` is the position in ``paths``; it keeps rows apart that occur
     in several datasets. A path may be a whole dataset or one language of it.
     """
@@ -80,8 +85,11 @@ def load_datasets(spark: SparkSession, paths: list[str]) -> DataFrame:
     parts = []
     for number, path in enumerate(paths):
         base = path.split("/language=")[0]
-        part = spark.read.option("basePath", base).parquet(path)
-        parts.append(part.withColumn("dataset_no", F.lit(number).cast("long")))
+        found = spark.read.option("basePath", base).parquet(path).schema
+        typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "language" else f for f in found])
+        part = spark.read.option("basePath", base).schema(typed).parquet(path)
+        part = part.withColumn("dataset_no", F.lit(number).cast("long"))
+        parts.append(part if split is None else part.withColumn("split", F.lit(split)))
     return concat_datasets(*parts)
 
 

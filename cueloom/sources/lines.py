@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cueloom.runtime import checkpointed, fits_broadcast
+from cueloom.functions.text import fold_newlines
+from cueloom.runtime import checkpointed
 
 _SPLIT = ["file", "block"]
 
-# About a million and a half splits, or 200 TB of text.
-_MAX_SPLIT_BYTES = 256 * 1024 * 1024
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, value)`` of a text list, numbered from 0.
 
     Blank lines count; a final newline starts no line. A list may be a folder of
-    part files: numbering runs through them in name order. Files are read in
-    splits. A line's number is its rank in its split, which its row id gives,
-    plus the lines of all earlier splits, so only the one-row-per-split table is
-    ever ordered. That table is counted at once; the lines are read lazily.
+    part files: numbering runs through them in name order. The files are read
+    once: the lines are checkpointed with file, place of their split and row id, and
+    everything else comes from that copy, so it does not matter how another read
+    would split the files. A line's number is its rank in its split plus the lines
+    of all earlier splits; the table of splits is summed up by ranges.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -28,13 +27,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
     )
+    lines = checkpointed(lines)
     splits = lines.groupBy(*_SPLIT).agg(F.count("*").alias("n"), F.min("row_id").alias("first_id"))
-    before = Window.orderBy(*_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = checkpointed(
-        splits.select(*_SPLIT, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_id")).alias("shift"))
-    )
-    if fits_broadcast(starts, _MAX_SPLIT_BYTES):
-        starts = F.broadcast(starts)
+    ranged = checkpointed(splits.repartitionByRange(*_SPLIT).withColumn("range", F.spark_partition_id()))
+    # Ranges are as many as partitions; splits are only ordered inside their range.
+    sums = ranged.groupBy("range").agg(F.sum("n").alias("in_range"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("range", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("before_range"))
+    inside = Window.partitionBy("range").orderBy(*_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(sums, "range")
+    starts = before.select(*_SPLIT, (F.col("before_range") + F.col("before") - F.col("first_id")).alias("shift"))
     return lines.join(starts, _SPLIT).select((F.col("row_id") + F.col("shift")).alias("line_no"), "value")
 
 
@@ -44,13 +46,15 @@ def write_pair_lists(
     """Write line-aligned lists ``media_<language>`` and ``transcription_<language>``.
 
     Both lists of a language are projections of one checkpointed order, so line
-    *i* of one belongs to line *i* of the other. Line breaks inside a text must
-    be folded before.
+    *i* of one belongs to line *i* of the other. Line breaks inside a path or text
+    become spaces.
     """
     ordered = checkpointed(
-        pairs.where(F.col("language").isin(languages)).select("language", *key, media, text).orderBy("language", *key)
+        pairs.where(F.col("language").isin(languages))
+        .select("language", *key, *[fold_newlines(F.col(c)).alias(f"_{i}") for i, c in enumerate((media, text))])
+        .orderBy("language", *key)
     )
     for language in languages:
         rows = ordered.where(F.col("language") == language)
-        rows.select(F.col(media).alias("value")).write.mode("overwrite").text(f"{out}/media_{language}")
-        rows.select(F.col(text).alias("value")).write.mode("overwrite").text(f"{out}/transcription_{language}")
+        rows.select(F.col("_0").alias("value")).write.mode("overwrite").text(f"{out}/media_{language}")
+        rows.select(F.col("_1").alias("value")).write.mode("overwrite").text(f"{out}/transcription_{language}")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
@@ -17,6 +18,9 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_transcripts(spark: SparkSession, root: str) -> DataFrame:
-    """One row ``(path, body)`` per subtitle or text file below ``root``."""
-    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
-    return files.selectExpr("_metadata.file_path as path", "value as body")
+    """One row ``(path, body)`` per subtitle or text file below ``root``.
+
+    Paths are those of ``list_objects``, as they are on disk: nothing is percent-encoded.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", F.col("content").cast("string").alias("body"))

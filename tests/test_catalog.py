@@ -5,8 +5,9 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as entry_point
+from cueloom.catalog import oracles, queries
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +37,10 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert _rows(result.columns, result.collect()) == _rows(names, cursor.fetchall())
 
 
+def test_entry_lists_them():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_entry_runs(spark):
     assert entry_point.entry(spark).count() > 0

@@ -108,3 +108,14 @@ def test_read_manifest(spark, rows, tmp_path):
         read_manifest(spark, str(tmp_path / "none"), "parquet")
     with pytest.raises(ManifestError):
         read_manifest(spark, str(tmp_path / "missing"))
+
+
+def test_manifest_columns_go_by_name(spark, tmp_path):
+    sheet = 'Language,Audio/Video,Transcript\nen,"my, ""talk"".wav",a.srt\nfi,b.mp4,"two\nlines.srt"\n'
+    (tmp_path / "m.csv").write_text(sheet)
+    names = {"media_file": "Audio/Video", "transcript_file": "Transcript", "language": "Language"}
+    rows = read_manifest(spark, str(tmp_path / "m.csv"), columns=names).collect()
+    assert {r[1:] for r in rows} == {('my, "talk".wav', "a.srt", "en"), ("b.mp4", "two\nlines.srt", "fi")}
+    assert len({r.manifest_id for r in rows}) == 2
+    with pytest.raises(ManifestError):
+        read_manifest(spark, str(tmp_path / "m.csv"))

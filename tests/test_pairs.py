@@ -136,3 +136,27 @@ def test_one_stem_may_own_most_files(spark):
 def test_audio_exists(spark):
     rows = spark.createDataFrame([("a.wav", 1), ("b.wav", 2)], "audio_path string, n int")
     assert [r.n for r in pairs.audio_exists(rows, paths(spark, "b.wav", "b.wav")).collect()] == [2]
+
+
+def test_lines_survive_other_splits(spark, tmp_path):
+    """Reading in other splits after the call changes neither number nor count of lines."""
+    path = write(tmp_path / "big", b"".join(b"line %d\n" % i for i in range(60_000)))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[1], "1024")
+        spark.conf.set(keys[0], "200000")
+        found = lines.read_lines(spark, path)
+        spark.conf.set(keys[0], "70000")
+        rows = found.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.line_no for r in rows) == list(range(60_000))
+    assert all(r.value == f"line {r.line_no}" for r in rows)
+
+
+def test_pair_lists_fold_line_breaks(spark, tmp_path):
+    rows = spark.createDataFrame([("en", 1, "a.wav", "two\nlines"), ("en", 2, "b.wav", "x")], "language string, key int, media string, text string")
+    lines.write_pair_lists(rows, str(tmp_path), ["en"], ["key"], "media", "text")
+    assert [r.value for r in lines.read_lines(spark, f"{tmp_path}/transcription_en").orderBy("line_no").collect()] == ["two lines", "x"]

@@ -144,7 +144,22 @@ def test_listing_reads_no_content(spark, tmp_path):
     plan = found._jdf.queryExecution().toString()
     assert "content" not in plan.split("ReadSchema:")[1]
     body = listing.read_transcripts(spark, str(tmp_path)).first()
-    assert body.body == "hello\n"
+    assert body.body == "hello\n" and body.path == found.first().path
+
+
+def test_results_of_other_languages_stay(spark, tmp_path):
+    schema = "Reference string, Result string, Audio_File string, language string"
+    for language in ("en", "fi", "fi", "1"):
+        datasets.write_results(spark.createDataFrame([("  a ", "b", "a.wav", language)], schema), str(tmp_path))
+    back = datasets.read_results(spark, str(tmp_path), schema).collect()
+    assert sorted((r.Reference, r.language) for r in back) == [("  a ", "1"), ("  a ", "en"), ("  a ", "fi")]
+
+
+def test_language_is_text(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "s", "1"), ("b", "t", "2")], "audio string, sentence string, language string")
+    datasets.write_dataset(rows, str(tmp_path / "d"))
+    loaded = datasets.load_datasets(spark, [str(tmp_path / "d")], split="train")
+    assert sorted((r.language, r.split) for r in loaded.collect()) == [("1", "train"), ("2", "train")]
 
 
 def test_factory_runs_once_per_task(spark):

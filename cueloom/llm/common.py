@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,14 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage, survives lost executors, and makes every later reader see
-    the same rows.
+    the same rows. ``free`` is for large shuffles: with their result written,
+    their files are garbage, which Spark's cleaner removes once the driver has
+    collected its own; this asks for that now.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if free:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -67,7 +67,7 @@ def components(links: DataFrame) -> DataFrame:
 def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
     """All links ``a, b`` that decide connectivity among nodes sharing a bucket.
 
-    ``members`` has ``bucket`` columns, ``node`` and ``weight``, each once.
+    ``members`` has ``bucket`` columns, ``node`` and ``weight``; a node may repeat.
     ``linked(pairs)`` takes a frame ``a, b`` of candidate pairs and returns those
     that are links. Pairs within a group are not enumerated: every node is
     compared with its bucket's heaviest node, and what is then connected counts
@@ -78,8 +78,8 @@ def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
     pivots = members.groupBy(*bucket).agg(
         F.count("*").alias("_n"), F.max(F.struct("weight", "node"))["node"].alias("pivot")
     )
-    pivots = stored(pivots.where("_n > 1").drop("_n"), "pivots")
-    shared = stored(members.join(pivots, bucket).select(*bucket, "node", "pivot"), "shared")
+    pivots = stored(pivots.where("_n > 1").drop("_n"), "pivots", free=True)
+    shared = stored(members.join(pivots, bucket).select(*bucket, "node", "pivot"), "shared", free=True)
     first = stored(linked(shared.where("node != pivot").select(*_ordered("node", "pivot")).distinct()), "pivot-links")
     classes = components(first)
     named = shared.join(classes, "node", "left").select(*bucket, "node", F.coalesce("root", "node").alias("class"))

@@ -212,7 +212,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         paragraphs(F.col("edit")).alias("edit"),
         F.col("next_own").alias("next"),
     )
-    base = stored(base, "digests")
+    base = stored(base, "digests", free=True)
     pair = lambda name, other: F.struct(F.lit(name).alias("pair"), F.col("own").alias("a"), F.col(other).alias("b"))
     work = base.select("row", F.explode(F.array(pair(0, "edit"), pair(1, "next"))).alias("p")).select("row", "p.*")
     found = differences(work)

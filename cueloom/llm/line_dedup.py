@@ -88,10 +88,11 @@ _LINES = T.StructType(
         T.StructField("line_no", T.IntegerType()),
         T.StructField("line", T.LongType()),
         T.StructField("check", T.LongType()),
+        T.StructField("here", T.IntegerType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
-_LINE_FIELDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+_LINE_FIELDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
 
 
 def _signed(values) -> np.ndarray:
@@ -99,7 +100,8 @@ def _signed(values) -> np.ndarray:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line that is not blank: place, two 64-bit hashes, and bands at its first place in a batch."""
+    """A row for each line that is not blank: place, two 64-bit hashes, and at its first place in a batch
+    how often it is there and its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -115,11 +117,13 @@ def _lines(docs: DataFrame) -> DataFrame:
             names = _signed([xxh64_intdigest(x, 1) for x in lines])
             checks = _signed([xxh64_intdigest(x, 2) for x in lines])
             bands = band_hashes([x.decode("utf-8", "surrogatepass") for x in lines]).view(np.int64)
-            first = set(np.unique(whose, return_index=True)[1].tolist())
+            _, at, times = np.unique(whose, return_index=True, return_counts=True)
+            first = dict(zip(at.tolist(), times.tolist(), strict=True))
             columns = [
                 *zip(*places, strict=True),
                 names[whose],
                 checks[whose],
+                [first.get(i) for i in range(len(whose))],
                 [bands[x] if i in first else None for i, x in enumerate(whose)],
             ] if places else [[] for _ in _LINE_FIELDS]
             arrays = [pa.array(c, t) for c, t in zip(columns, _LINE_FIELDS, strict=True)]
@@ -139,7 +143,7 @@ def _similar(lines: DataFrame, similarity: float):
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "line-pairs")
         ends = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-        texts = stored(lines(ends), "line-texts")
+        texts = stored(lines(ends), "line-texts", free=True)
         met = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("left")), "a")
         met = met.join(texts.select(F.col("line").alias("b"), F.col("content").alias("right")), "b")
         return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
@@ -164,11 +168,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     known = placed.groupBy("line").agg(
         F.count("*").alias("weight"),
         F.min(place).alias("first"),
-        F.first("bands", ignorenulls=True).alias("bands"),
         (F.min("check") == F.max("check")).alias("sure"),
     )
     # Two different lines of one 64-bit hash, if they ever meet, are both left alone.
-    known = stored(known.where("sure").drop("sure"), "distinct-lines")
+    known = stored(known.where("sure").drop("sure"), "distinct-lines", free=True)
 
     def texts(ends: DataFrame) -> DataFrame:
         wanted = known.join(ends, "line").groupBy(F.col("first.doc_id").alias("_id"), F.col("first._key").alias("_k")).agg(
@@ -178,7 +181,9 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
         one = F.transform("wanted", lambda w: F.struct(w["line"].alias("line"), F.get(F.col("_all"), w["no"]).alias("content")))
         return found.select(F.size("_all").alias("_n"), F.explode(one).alias("t")).select("t.line", "t.content").distinct()
 
-    members = known.select(F.col("line").alias("node"), "weight", F.explode("bands").alias("band"))
+    # Batches speak for their lines; the line most frequent in one becomes a pivot.
+    spoken = placed.where("here is not null").select(F.col("line").alias("node"), F.col("here").alias("weight"), "bands")
+    members = spoken.select("node", "weight", F.explode("bands").alias("band"))
     links = bucket_links(members, ["band"], _similar(texts, similarity))
     roots = components(links)
     kept = known.join(roots, F.col("line") == F.col("node"), "left").select(
@@ -186,14 +191,14 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     )
     kept = stored(kept, "line-roots")
     best = kept.groupBy("root").agg(F.min("first").alias("keep"), F.sum("weight").alias("rows")).where("rows > 1")
-    losing = stored(kept.join(best, "root").select("line", "keep"), "keepers")
+    losing = stored(kept.join(best, "root").select("line", "keep"), "keepers", free=True)
     drops = (
         placed.join(losing, "line")
         .where(~place.eqNullSafe(F.struct("keep.doc_id", "keep._key", "keep.line_no")))
         .groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
         .agg(F.collect_set("line_no").alias("drops"))  # within one document
     )
-    return base, stored(drops, "line-drops")
+    return base, stored(drops, "line-drops", free=True)
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -181,13 +181,13 @@ def repeated_starts(base: DataFrame, length: int = LENGTH, cover: str = "minimum
     """
     places = stored(_places(base.select(*_DOC, "text"), length, cover), "places")
     contexts = places.groupBy("name", "context").agg(F.count("*").alias("same"))
-    contexts = stored(contexts, "contexts")
+    contexts = stored(contexts, "contexts", free=True)
     named = contexts.groupBy("name").agg(F.sum("same").alias("all"), F.min("same").alias("least"))
-    named = stored(named.where("all > 1").select("name", (F.col("least") == 1).alias("open")), "names")
-    met = stored(places.join(named, "name"), "met-places")
+    named = stored(named.where("all > 1").select("name", (F.col("least") == 1).alias("open")), "names", free=True)
+    met = stored(places.join(named, "name"), "met-places", free=True)
     twice = stored(contexts.where("same > 1").join(named, "name", "left_semi"), "twice")
     met = met.join(twice, ["name", "context"], "left").select(*_DOC, "name", "context", "low", "high", "open", "same")
-    met = stored(met, "judged-places")
+    met = stored(met, "judged-places", free=True)
     sure = met.where("same > 1").select(*_DOC, "low", "high")
     # A neighbourhood that repeats speaks once for all its copies.
     one = met.where("open and same > 1").groupBy("name", "context").agg(F.min(F.struct(*_DOC, "low", "high")).alias("p"))
@@ -200,7 +200,7 @@ def repeated_starts(base: DataFrame, length: int = LENGTH, cover: str = "minimum
     strings = _strings(base.select(*_DOC, "text").join(asked, _DOC), length)
     equal = Window.partitionBy("name", "string")
     again = strings.withColumn("_all", F.sum("weight").over(equal)).where("weight = 1 and _all > 1")
-    return stored(sure.unionByName(again.select(*_DOC, F.col("at").alias("low"), F.col("at").alias("high"))), "starts")
+    return stored(sure.unionByName(again.select(*_DOC, F.col("at").alias("low"), F.col("at").alias("high"))), "starts", free=True)
 
 
 def covered(size: int, lows: np.ndarray, highs: np.ndarray, length: int) -> np.ndarray:

@@ -76,9 +76,9 @@ def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
     lost.
     """
     pivots = members.groupBy(*bucket).agg(
-        F.count("*").alias("_n"), F.max(F.struct("weight", "node"))["node"].alias("pivot")
+        F.min("node").alias("_low"), F.max("node").alias("_high"), F.max(F.struct("weight", "node"))["node"].alias("pivot")
     )
-    pivots = stored(pivots.where("_n > 1").drop("_n"), "pivots", free=True)
+    pivots = stored(pivots.where("_low != _high").drop("_low", "_high"), "pivots", free=True)
     shared = stored(members.join(pivots, bucket).select(*bucket, "node", "pivot"), "shared", free=True)
     first = stored(linked(shared.where("node != pivot").select(*_ordered("node", "pivot")).distinct()), "pivot-links")
     classes = components(first)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,20 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage, survives lost executors, and makes every later reader see
-    the same rows. ``free`` is for large shuffles: with their result written,
-    their files are garbage, which Spark's cleaner removes once the driver has
-    collected its own; this asks for that now.
+    the same rows. The shuffle files behind it go when the write is done, as
+    nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    if free:
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def set_aside(docs: DataFrame) -> DataFrame:

@@ -75,11 +75,12 @@ def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
     group of copies costs a comparison a member, and no link between classes is
     lost.
     """
-    pivots = members.groupBy(*bucket).agg(
-        F.min("node").alias("_low"), F.max("node").alias("_high"), F.max(F.struct("weight", "node"))["node"].alias("pivot")
-    )
-    pivots = stored(pivots.where("_low != _high").drop("_low", "_high"), "pivots", free=True)
-    shared = stored(members.join(pivots, bucket).select(*bucket, "node", "pivot"), "shared", free=True)
+    ends = members.groupBy(*bucket).agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
+    several = stored(ends.where("_low != _high").select(*bucket), "buckets")
+    members = stored(members.join(several, bucket).select(*bucket, "node", "weight"), "members")
+    pivots = members.groupBy(*bucket).agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"))
+    pivots = stored(pivots, "pivots")
+    shared = stored(members.join(pivots, bucket).select(*bucket, "node", "pivot").distinct(), "shared")
     first = stored(linked(shared.where("node != pivot").select(*_ordered("node", "pivot")).distinct()), "pivot-links")
     classes = components(first)
     named = shared.join(classes, "node", "left").select(*bucket, "node", F.coalesce("root", "node").alias("class"))

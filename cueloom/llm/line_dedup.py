@@ -19,6 +19,8 @@ SIMILARITY = 0.8
 #: A pair at similarity 0.8 shares one of 10 bands of 3 with probability 0.9992.
 BANDS, ROWS = 10, 3
 _HASHED_AT_ONCE = 1 << 15
+#: Characters of lines whose shingle sets a task holds, some 100 bytes each.
+_CACHED = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.random.default_rng(7).integers(1, 2**63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -75,10 +77,40 @@ def _bands_of(lines: list[str]) -> np.ndarray:
     return bands * np.uint64(16) + np.arange(BANDS, dtype=np.uint64)
 
 
-def jaccard(a: str, b: str) -> float:
-    """Exact similarity of two lines' sets of 8-character shingles."""
-    left, right = ({x[i : i + SHINGLE] for i in range(max(1, len(x) - SHINGLE + 1))} for x in (a, b))
-    return len(left & right) / len(left | right)
+def shingles(line: str) -> set[str]:
+    """A line's 8-character shingles; a shorter line is one shingle."""
+    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+
+
+def jaccard(left: set[str], right: set[str]) -> float:
+    """Exact similarity of two lines' shingle sets."""
+    both = len(left & right)
+    return both / (len(left) + len(right) - both)
+
+
+class ShingleCache:
+    """Shingle sets of the lines asked for last; forgets all of them when they hold too many characters."""
+
+    def __init__(self, characters: int = _CACHED) -> None:
+        self._characters, self._held = characters, 0
+        self._sets: dict[str, set[str]] = {}
+
+    def __getitem__(self, line: str) -> set[str]:
+        found = self._sets.get(line)
+        if found is None:
+            if self._held > self._characters:
+                self._sets, self._held = {}, 0
+            found = self._sets[line] = shingles(line)
+            self._held += len(line)
+        return found
+
+
+def are_similar(a: str, b: str, similarity: float, sets: ShingleCache) -> bool:
+    left, right = sets[a], sets[b]
+    # Sets whose sizes differ by more than the similarity allows need no comparison.
+    if min(len(left), len(right)) < similarity * max(len(left), len(right)):
+        return False
+    return jaccard(left, right) >= similarity
 
 
 _LINES = T.StructType(
@@ -136,9 +168,11 @@ def _similar(lines: DataFrame, similarity: float):
     """Filter for pairs ``a, b`` of line hashes by the exact similarity of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleCache()
         for batch in batches:
             texts = zip(as_list(batch, "left"), as_list(batch, "right"), strict=True)
-            yield batch.select(["a", "b"]).filter(pa.array([jaccard(x, y) >= similarity for x, y in texts], pa.bool_()))
+            kept = [are_similar(x, y, similarity, sets) for x, y in texts]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "line-pairs")

@@ -3,27 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from cueloom.llm.common import as_bytes, as_list, pieces_of, put_back, set_aside, stored, text_key
-from cueloom.llm.components import bucket_links, components
+from cueloom.llm.components import components
 
 SHINGLE = 8
 SIMILARITY = 0.8
-#: A pair at similarity 0.8 shares one of 10 bands of 3 with probability 0.9992.
-BANDS, ROWS = 10, 3
+#: A pair at similarity 0.8 shares one of 14 bands of 4 with probability 0.9994.
+BANDS, ROWS = 14, 4
+#: Bits of a minimum that a band keeps; below the band's number.
+_FIELD = 14
+#: 64-bit words of a line's bitmap.
+_WORDS = 32
 _HASHED_AT_ONCE = 1 << 15
 #: Characters of lines whose shingle sets a task holds, some 100 bytes each.
 _CACHED = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.random.default_rng(7).integers(1, 2**63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.default_rng(11).integers(1, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -40,7 +45,9 @@ def _shingle_hashes(points: np.ndarray) -> np.ndarray:
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
-    """A row of ``BANDS`` hashes for each (non-empty) line; lines agree on a band if ROWS minima agree.
+    """A row of ``BANDS`` numbers for each (non-empty) line; lines agree on a band if ROWS minima agree.
+
+    A number is the band's own, then 14 bits of each minimum.
 
     A line shorter than a shingle is one shingle.
     """
@@ -56,7 +63,8 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     return out
 
 
-def _bands_of(lines: list[str]) -> np.ndarray:
+def _hashes_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of all lines, one after the other, and how many each line has."""
     # Padding gives a short line its one shingle.
     points = np.frombuffer("".join(x.ljust(SHINGLE, "\0") for x in lines).encode("utf-32-le", "surrogatepass"), "<u4")
     lengths = np.array([max(len(x), SHINGLE) for x in lines])
@@ -65,16 +73,30 @@ def _bands_of(lines: list[str]) -> np.ndarray:
     inside = np.ones(len(hashes), bool)
     for back in range(1, SHINGLE):
         inside[ends[:-1] - back] = False
-    hashes = hashes[inside]
-    counts = lengths - SHINGLE + 1
+    return (hashes[inside] >> np.uint64(32)).astype(np.uint32), lengths - SHINGLE + 1
+
+
+def _bands_of(lines: list[str]) -> np.ndarray:
+    hashes, counts = _hashes_of(lines)
     starts = np.cumsum(counts) - counts
-    minima = np.empty((len(lines), BANDS * ROWS), np.uint64)
+    bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(lines), 0)
     for k, multiplier in enumerate(_MULTIPLIERS):
-        minima[:, k] = np.minimum.reduceat(hashes * multiplier, starts)
-    bands = np.zeros((len(lines), BANDS), np.uint64)
-    for row in range(ROWS):
-        bands = _mixed(bands * _ODD + minima[:, row::ROWS])
-    return bands * np.uint64(16) + np.arange(BANDS, dtype=np.uint64)
+        minima = np.minimum.reduceat(hashes * multiplier, starts) * np.uint32(0x9E3779B1)
+        bands[:, k // ROWS] = bands[:, k // ROWS] << np.uint64(_FIELD) | minima >> np.uint32(32 - _FIELD)
+    return bands
+
+
+def bitmaps(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each line, 64 x ``_WORDS`` bits, those of its shingles set, and its number of shingles, repeats included.
+
+    A bit that one line has and another has not stands for a shingle that only one of them has.
+    """
+    bits, sizes = np.zeros((len(lines), 64 * _WORDS), np.uint8), np.empty(len(lines), np.int64)
+    for at in range(0, len(lines), 64):
+        hashes, counts = _hashes_of(lines[at : at + 64])
+        sizes[at : at + 64] = counts
+        bits[at + np.repeat(np.arange(len(counts)), counts), hashes % np.uint32(64 * _WORDS)] = 1
+    return np.packbits(bits, axis=1).view(np.int64), sizes
 
 
 def shingles(line: str) -> set[str]:
@@ -124,7 +146,7 @@ _LINES = T.StructType(
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
-_LINE_FIELDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+_LINE_FIELDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
 
 def _signed(values) -> np.ndarray:
@@ -150,39 +172,79 @@ def _lines(docs: DataFrame) -> DataFrame:
             checks = _signed([xxh64_intdigest(x, 2) for x in lines])
             bands = band_hashes([x.decode("utf-8", "surrogatepass") for x in lines]).view(np.int64)
             _, at, times = np.unique(whose, return_index=True, return_counts=True)
-            first = dict(zip(at.tolist(), times.tolist(), strict=True))
-            columns = [
-                *zip(*places, strict=True),
-                names[whose],
-                checks[whose],
-                [first.get(i) for i in range(len(whose))],
-                [bands[x] if i in first else None for i, x in enumerate(whose)],
-            ] if places else [[] for _ in _LINE_FIELDS]
+            here = np.zeros(len(whose), np.int32)
+            here[at] = times
+            whose, seldom = np.array(whose, np.int64), here == 0
+            offsets = np.concatenate([[0], np.cumsum(np.where(seldom, 0, BANDS))]).astype(np.int32)
+            own = bands[whose[~seldom]].ravel()
+            columns = [*zip(*places, strict=True), names[whose], checks[whose]] if places else [[] for _ in _LINE_FIELDS[:5]]
             arrays = [pa.array(c, t) for c, t in zip(columns, _LINE_FIELDS, strict=True)]
+            arrays.append(pa.array(here, pa.int32(), mask=seldom))
+            arrays.append(pa.ListArray.from_arrays(offsets, own, mask=pa.array(seldom)))
             yield pa.RecordBatch.from_arrays(arrays, _LINES.names)
 
     return docs.mapInArrow(run, _LINES)
 
 
-def _similar(lines: DataFrame, similarity: float):
-    """Filter for pairs ``a, b`` of line hashes by the exact similarity of their texts."""
+def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs ``a, b`` of line hashes, those whose texts (``line, content``) are similar by the exact measure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleCache()
         for batch in batches:
-            texts = zip(as_list(batch, "left"), as_list(batch, "right"), strict=True)
-            kept = [are_similar(x, y, similarity, sets) for x, y in texts]
+            both = zip(as_list(batch, "left"), as_list(batch, "right"), strict=True)
+            kept = [are_similar(x, y, similarity, sets) for x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "line-pairs")
-        ends = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-        texts = stored(lines(ends), "line-texts")
-        met = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("left")), "a")
-        met = met.join(texts.select(F.col("line").alias("b"), F.col("content").alias("right")), "b")
-        return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    met = pairs.join(texts.select(F.col("line").alias("b"), F.col("content").alias("right")), "b")
+    met = met.join(texts.select(F.col("line").alias("a"), F.col("content").alias("left")), "a")
+    return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
-    return linked
+
+def _with_bitmaps(texts: DataFrame) -> DataFrame:
+    """``node, bits, size`` of ``line, content``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches):
+            words, sizes = bitmaps(as_list(batch, "content"))
+            lists = pa.ListArray.from_arrays(np.arange(len(words) + 1, dtype=np.int32) * _WORDS, words.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("line"), lists, pa.array(sizes)], ["node", "bits", "size"])
+
+    return texts.mapInArrow(run, "node long, bits array<long>, size long")
+
+
+def line_links(members: DataFrame, texts, similarity: float) -> DataFrame:
+    """All links ``a, b`` that decide connectivity among lines that share a band.
+
+    ``members`` has ``node, weight, band``, a node perhaps several times;
+    ``texts(nodes)`` gives ``line, content``. Every line is compared with its band's
+    heaviest one, ties falling differently in each band. Only lines that then are in
+    different classes are paired, and of these only such whose bitmaps differ in no more bits
+    than similar lines may: differing bits are at most the shingles that
+    only one of two lines has, so no link is lost and what remains is nearly all links.
+    """
+    ends = members.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
+    several = stored(ends.where("_low != _high").select("band"), "buckets")
+    members = stored(members.join(several, "band").groupBy("band", "node").agg(F.sum("weight").alias("weight")), "members")
+    found = stored(texts(members.select(F.col("node").alias("line")).distinct()), "line-texts")
+    order = F.struct("weight", F.xxhash64("node", "band"), "node")
+    pivots = stored(members.groupBy("band").agg(F.max(order)["node"].alias("pivot")), "pivots")
+    shared = members.join(pivots, "band").where("node != pivot")
+    star = shared.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    first = stored(_linked(star, found, similarity), "pivot-links")
+    named = members.join(components(first), "node", "left").select("band", "node", F.coalesce("root", "node").alias("class"))
+    named = stored(named, "classes")
+    mixed = named.groupBy("band").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    mixed = stored(mixed.where("_low != _high").select("band"), "mixed")
+    open_ = stored(named.join(mixed, "band").join(_with_bitmaps(found), "node"), "open")
+    left = open_.select("band", *[F.col(c).alias(f"_{c}1") for c in ("node", "class", "bits", "size")])
+    right = open_.select("band", *[F.col(c).alias(f"_{c}2") for c in ("node", "class", "bits", "size")])
+    differing = [F.bit_count(F.get("_bits1", F.lit(i)).bitwiseXOR(F.get("_bits2", F.lit(i)))) for i in range(_WORDS)]
+    # Similarity s of sets with m and n members leaves (m + n) (1 - s) / (1 + s) that only one of them has.
+    most = (F.col("_size1") + F.col("_size2")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
+    across = left.join(right, "band").where((F.col("_class1") < F.col("_class2")) & (reduce(Column.__add__, differing) <= most))
+    pairs = across.select(F.col("_node1").alias("a"), F.col("_node2").alias("b")).distinct()
+    return first.unionByName(_linked(stored(pairs, "line-pairs"), found, similarity))
 
 
 def _same_doc(id_: str = "_id", key: str = "_k"):
@@ -218,7 +280,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     # Batches speak for their lines; the line most frequent in one becomes a pivot.
     spoken = placed.where("here is not null").select(F.col("line").alias("node"), F.col("here").alias("weight"), "bands")
     members = spoken.select("node", "weight", F.explode("bands").alias("band"))
-    links = bucket_links(members, ["band"], _similar(texts, similarity))
+    links = line_links(members, texts, similarity)
     roots = components(links)
     kept = known.join(roots, F.col("line") == F.col("node"), "left").select(
         "line", "first", "weight", F.coalesce("root", "line").alias("root")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cueloom.llm.common import as_bytes, as_list, pieces_of, put_back, set_aside, stored
+from cueloom.llm.common import as_bytes, as_list, pieces_of, put_back, set_aside, stored, text_key
 from cueloom.llm.components import bucket_links, components
 
 BITS = 64
@@ -46,17 +46,26 @@ def fingerprint(text: bytes | None, shingle_words: int = 4) -> int:
     return int(np.packbits(ones * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long), a row for each row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle_words: int = 4, keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long), a row for each row of ``docs``.
+
+    ``keyed`` adds ``_key``, the hash of the text (``text_key``), before ``fp``.
+    """
+    names = ["doc_id", "_key"] if keyed else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             prints = [fingerprint(text, shingle_words) for text in as_bytes(batch, "text")]
             signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(as_list(batch, "doc_id"), pa.int64()), signed], ["doc_id", "fp"])
+            own = [pa.array(as_list(batch, n), pa.int64()) for n in names]
+            yield pa.RecordBatch.from_arrays([*own, signed], [*names, "fp"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    columns = {
+        "doc_id": F.col("doc_id").cast("long").alias("doc_id"),
+        "_key": text_key().alias("_key"),
+    }
+    narrow = docs.select(*[columns[n] for n in names], F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "fp"]))
 
 
 def block_masks(max_bits: int, blocks: int) -> list[int]:
@@ -90,6 +99,12 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, b
     rows has a null id. Repeated rows get equal results. Other columns are ignored.
     """
     prints = stored(fingerprints(docs, shingle_words), "fingerprints")
+    named = _named(prints, max_bits, blocks)
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(prints: DataFrame, max_bits: int, blocks: int, *more: str) -> DataFrame:
+    """``fp, component_id`` of every fingerprint of ``prints``; ``more`` can ask for ``root``, which no two components share."""
     nodes = prints.groupBy("fp").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least_id"))
     nodes = stored(nodes, "nodes")
     keys = [
@@ -109,21 +124,25 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, b
     )
     rooted = stored(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = stored(rooted.join(named, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return stored(rooted.join(named, "root").select("fp", *more, "component_id"), "named")
 
 
 def fingerprint_hex(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each component: the one whose doc_id is the component's id.
+def drop_near_copies(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, blocks: int = 7) -> DataFrame:
+    """``docs`` with one row of each component of ``simhash_groups``, whatever ids its rows have.
 
-    Of equal rows with that id one stays; of rows with that id and different
-    texts the smallest text. Rows of a null doc_id in a component of their own stay as one.
+    It is the row of the smallest doc_id, null last, and of these the one of the
+    smallest text, then of the smallest other columns. Components that share a
+    doc_id, and such as have only null ones, keep a row each.
     """
-    groups = simhash_groups(docs, **options).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = set_aside(docs).join(groups.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    first = kept.groupBy("doc_id").agg(F.min(F.struct("text", "_rest")).alias("_row"))
-    return put_back(first.select("doc_id", "_row.text", "_row._rest"), docs.columns)
+    prints = stored(fingerprints(docs, shingle_words, keyed=True), "fingerprints")
+    named = _named(prints, max_bits, blocks, "root")
+    places = prints.join(named, "fp").where("doc_id <=> component_id")
+    places = places.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "root").distinct()
+    keyed = set_aside(docs).withColumn("_key", text_key())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_key").eqNullSafe(F.col("_k"))
+    first = keyed.join(places, same).groupBy("root").agg(F.min(F.struct("doc_id", "text", "_rest")).alias("_row"))
+    return put_back(first.select("_row.doc_id", "_row.text", "_row._rest"), docs.columns)

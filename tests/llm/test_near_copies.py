@@ -90,6 +90,33 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     assert drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    def text(name, n=80):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [
+        (None, text("a")), (None, text("a")), (None, text("a").upper()),  # only null ids, texts of one fingerprint
+        (None, text("b")),
+        (None, text("c")), (9, text("c")),
+        (1, text("d")), (1, text("e")), (5, text("e")), (6, text("d")),  # one id, two groups
+        (2, text("f")), (2, text("f").upper()),
+        (None, None), (None, ""),
+    ]
+    prints = [_slow_print(t) for _, t in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    root = _roots(range(len(rows)), links)
+    best = {}
+    for i, (doc_id, t) in enumerate(rows):
+        own = (doc_id is None, doc_id or 0, t is not None, t or "")
+        best[root[i]] = min(best.get(root[i], own), own)
+    expected = sorted((str(None if none else d), t if some else None) for none, d, some, t in best.values() if some)
+    docs = spark.createDataFrame(rows, DOCS)
+    found = drop_near_copies(docs).collect()
+    assert len(found) == len(set(root.values())) == 7
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found if r["text"] is not None) == expected
+    assert [r["doc_id"] for r in found if r["text"] is None] == [None]
+
+
 LONG = "the quick brown fox jumps over the lazy dog and then it runs far away from here to the old river side"
 
 

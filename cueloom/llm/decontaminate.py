@@ -68,10 +68,8 @@ def _prints(df: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _item_windows(items: DataFrame, span: int) -> DataFrame:
-    """``item_id, gram`` (words joined by a space) and ``words_in`` (its length): every window of every item."""
-    listed = items.where("item_id is not null").select(
-        F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w")
-    )
+    """``item_id, gram`` (words joined by a space) and ``words_in`` (its length): every window of every item, null ids included."""
+    listed = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
     sized = listed.withColumn("n", F.size("w")).where("n > 0")
     sized = sized.withColumn("words_in", F.least("n", F.lit(span)))
     starts = sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.expr("n - words_in + 1"))))
@@ -122,10 +120,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = 10, gram: int =
     A window is ``span`` consecutive words of an item; an item of fewer words, but
     not none, is one window. Returns ``doc_id, n_words, n_hit`` (words inside any
     occurrence of a window), ``spans`` (merged ``(start, end)`` word ranges, in
-    order) and ``item_ids`` (text, ascending) of the items whose windows occur.
+    order), ``item_ids`` (text, ascending) of the items whose windows occur and
+    ``n_items``, their number. Items with a null id match as others do; they are in no
+    ``item_ids`` and together count as one in ``n_items``.
     Documents are told apart by doc_id and text: repeated rows get equal results,
-    one row each. Null and empty texts have no words. Items with a null id or
-    without a word match nothing; items may repeat ids. Other columns are ignored.
+    one row each. Null and empty texts have no words. Items without a word match
+    nothing; items may repeat ids. Other columns are ignored.
     """
     counted, spans = _matches(docs, items, span, gram)
     no_spans = F.array().cast("array<struct<start:int,end:int>>")
@@ -136,6 +136,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = 10, gram: int =
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("spans", no_spans).alias("spans"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
     )
 
 
@@ -179,6 +180,7 @@ def _spans(hits: DataFrame) -> DataFrame:
     by_doc = hits.groupBy("doc_id", "_key").agg(
         F.array_sort(F.collect_set(F.struct(F.col("at").alias("start"), F.col("until").alias("end")))).alias("_all"),
         F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+        F.max(F.col("item_id").isNull().cast("int")).alias("_nameless"),
     )
     empty = F.array().cast("array<struct<start:int,end:int>>")
 
@@ -203,4 +205,5 @@ def _spans(hits: DataFrame) -> DataFrame:
         lambda s: F.concat(s["done"], F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))),
     )
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
-    return by_doc.withColumn("spans", merged).withColumn("n_hit", covered).drop("_all")
+    n_items = F.size("item_ids") + F.col("_nameless")
+    return by_doc.withColumn("spans", merged).withColumns({"n_hit": covered, "n_items": n_items}).drop("_all", "_nameless")

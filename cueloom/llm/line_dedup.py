@@ -297,21 +297,38 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     return base, stored(drops, "line-drops")
 
 
+def _spares(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, _key, text, _rest) with ``_spare``: false for one of the rows of equal doc_id and text, true for the others."""
+    places = rows.groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).agg(F.count("*").alias("_times"))
+    repeated = stored(places.where("_times > 1").drop("_times"), "repeated")
+    once = rows.join(repeated, _same_doc(), "left_anti").withColumn("_spare", F.lit(False))
+    # Stored, so that a row's number is the same wherever it is read.
+    numbered = rows.join(repeated, _same_doc()).drop("_id", "_k").withColumn("_number", F.monotonically_increasing_id())
+    numbered = stored(numbered, "repeated-rows")
+    firsts = numbered.groupBy("doc_id", "_key").agg(F.min(F.struct("_rest", "_number"))["_number"].alias("_number"))
+    marked = numbered.join(firsts.select("_number", F.lit(False).alias("_spare")), "_number", "left")
+    return once.unionByName(marked.drop("_number").withColumn("_spare", F.coalesce("_spare", F.lit(True))))
+
+
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with repeated and nearly repeated lines removed from ``text``, all columns and rows kept.
 
     Adds ``n_lines`` and ``n_removed``. Lines are what line feeds separate; blank
     lines are never compared and stay. A null text stays null and has no lines;
-    an empty one has one, blank, line. Documents are told apart by doc_id and text, so
-    repeated rows are treated as one and get equal results. A text that loses all
-    its lines becomes empty.
+    an empty one has one, blank, line. Of rows with equal doc_id and text one, of the
+    smallest other columns, keeps lines; the others lose all but their blank ones.
+    A text that loses all its lines becomes empty.
     """
     _, drops = repeated_lines(docs, similarity)
     docs = docs.drop("n_lines", "n_removed")
-    joined = set_aside(docs).withColumn("_key", text_key()).join(drops, _same_doc(), "left")
+    joined = _spares(set_aside(docs).withColumn("_key", text_key())).join(drops, _same_doc(), "left")
     parts = joined.withColumn("_parts", F.split("text", "\n"))
+    numbers = F.sequence(F.lit(0), F.size("_parts") - 1)
+    solid = F.filter(numbers, lambda i: F.length(F.translate(F.get(F.col("_parts"), i), " \t\r\x0b\f", "")) > 0)
+    every = F.when(F.size(solid) > 0, solid)
+    parts = parts.withColumn("drops", F.when(F.col("_spare") & F.col("text").isNotNull(), every).otherwise(F.col("drops")))
     # The kept numbers are a set difference, linear in the number of lines.
-    left = parts.withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "drops"))
+    left = parts.withColumn("_left", F.array_except(numbers, F.col("drops")))
     text = F.array_join(F.transform("_left", lambda i: F.get(F.col("_parts"), i)), "\n")
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("_parts")).cast("long")
     removed = F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long")

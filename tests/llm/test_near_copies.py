@@ -149,3 +149,48 @@ def test_lines_equal_brute_force(spark):
     assert all(jaccard(shingles(a), shingles(b)) < 0.8 for a, b in combinations(lines, 2))
     assert found.count() == len(rows)
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def _slow_dedup(rows, similarity=0.8):
+    """All pairs of lines, their components, and one line kept of each; a copy of a row comes after it."""
+    lines, seen = {}, {}
+    for row, (doc_id, text) in enumerate(rows):
+        copy = seen[doc_id, text] = seen.get((doc_id, text), 0) + 1
+        for number, line in enumerate([] if text is None else text.split("\n")):
+            if line.strip():
+                key = xxh64_intdigest(text.encode(), 42)  # as Spark's xxhash64
+                key -= (key >> 63) << 64
+                lines[row, number] = (line, (copy > 1, doc_id is not None, doc_id or 0, key, copy, number))
+    links = [(a, b) for a, b in combinations(lines, 2) if jaccard(shingles(lines[a][0]), shingles(lines[b][0])) >= similarity]
+    root, least = _roots(lines, links), {}
+    for place, (_, order) in lines.items():
+        least[root[place]] = min(least.get(root[place], order), order)
+    out = []
+    for row, (doc_id, text) in enumerate(rows):
+        parts = [] if text is None else text.split("\n")
+        left = [i for i in range(len(parts)) if (row, i) not in lines or lines[row, i][1] == least[root[row, i]]]
+        kept = None if text is None else "\n".join(parts[i] for i in left)
+        out.append((str(doc_id), str(kept), len(parts), len(parts) - len(left)))
+    return sorted(out)
+
+
+def test_one_copy_of_a_repeated_row_keeps_its_lines(spark):
+    rows = [
+        (1, f"{LONG}\n \t\r\nown line of the first"),
+        (1, f"{LONG}\n \t\r\nown line of the first"),
+        (1, f"{LONG}\n \t\r\nown line of the first"),
+        (2, f"{LONG}!\nanother"),
+        (None, "nobody's line\nanother"),
+        (None, "nobody's line\nanother"),
+        (3, ""),
+        (3, ""),
+        (4, None),
+        (4, None),
+        (5, "\n \n"),
+        (5, "\n \n"),
+        (6, "single"),
+    ]
+    found = dedup_lines(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], DOCS + ", n int"))
+    got = found.collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(rows)
+    assert [r["n"] for r in got if r["doc_id"] == 1 and r["text"] != " \t\r"] == [0]

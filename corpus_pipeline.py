@@ -45,7 +45,8 @@ STAGES = [
     ("best_fit_packing", packing),
 ]
 
-#: SQL has no tokenizer, no votes and no MinHash; the stages are tested against brute force instead.
+#: SQL has no tokenizer, no votes and no MinHash. Line dedup, SimHash and decontamination are each compared with
+#: plain Python in the tests, the classifier is tested on separable texts, packing by its bins and ids; the chain is not compared.
 ORACLE_SQL = None
 
 

@@ -194,3 +194,25 @@ def test_one_copy_of_a_repeated_row_keeps_its_lines(spark):
     got = found.collect()
     assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(rows)
     assert [r["n"] for r in got if r["doc_id"] == 1 and r["text"] != " \t\r"] == [0]
+
+
+def test_removed_lines_equal_all_pairs(spark):
+    def sentence(seed, n=120):
+        return " ".join(f"{chr(97 + (seed * 7 + i * i) % 26)}{(seed * 31 + i) % 97}" for i in range(n // 4))
+
+    def edited(line, at):
+        return line[:at] + "#" + line[at + 1 :]
+
+    first, second, third = (sentence(s) for s in (1, 2, 3))
+    chain = [first, edited(first, 40), edited(edited(first, 40), 70), edited(edited(edited(first, 40), 70), 20)]
+    rows = [
+        (8, f"{chain[3]}\n{second}\nclean line of eight"),
+        (3, f"{third}\n\n{chain[1]}\n{third}x"),
+        (5, f"clean line of five\n{chain[0]}\n{edited(second, 3)}"),
+        (4, chain[2]),
+        (None, f"clean line of nobody\n{edited(third, 60)}"),
+        (6, f"{sentence(6)}\n{sentence(7)}\n{sentence(8)}"),
+    ]
+    got = dedup_lines(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(rows)
+    assert 4 <= sum(r["n_removed"] for r in got) < sum(r["n_lines"] for r in got) - 4

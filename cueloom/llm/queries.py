@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cueloom.llm.centroids import centroid_digest, cluster_vectors
 from cueloom.llm.chat import END, START, format_chat, read_back, text_parts
 from cueloom.llm.common import id_remainder, table
 from cueloom.llm.decontaminate import decontaminate
@@ -14,6 +15,7 @@ from cueloom.llm.fingerprints import fingerprint_edits
 from cueloom.llm.html_extract import extract_text, train_region_weights
 from cueloom.llm.language_id import identify_language, train_language_id
 from cueloom.llm.line_dedup import dedup_lines
+from cueloom.llm.negatives import labelled_vectors, mine_negatives
 from cueloom.llm.packing import assign_sequences, token_pieces
 from cueloom.llm.quality import score_quality, train_quality
 from cueloom.llm.simhash import fingerprint_hex, simhash_groups
@@ -109,6 +111,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    next_label = (F.col("label").cast("long") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, next_label).otherwise(F.col("label"))
+    vectors = labelled_vectors(table(spark, sf_dir, "embeddings"), label=label)
+    return mine_negatives(vectors, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid_digest().alias("centroid_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_html_extract,
@@ -121,5 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_quality,
         op10_simhash,
+        op11_hard_negatives,
+        op12_centroids,
     ]
     return {f.__name__: f for f in own}

@@ -20,6 +20,7 @@ from cueloom.llm.packing import assign_sequences, token_pieces
 from cueloom.llm.quality import score_quality, train_quality
 from cueloom.llm.simhash import fingerprint_hex, simhash_groups
 from cueloom.llm.substring_dedup import remove_repeats
+from cueloom.llm.toxicity import score_toxicity, train_toxicity
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -126,6 +127,16 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 0
+    known = table(spark, sf_dir, "labels").where(~held_out)
+    model = train_toxicity(docs, known.select("doc_id", F.col("toxic").alias("label")))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_html_extract,
@@ -140,5 +151,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_simhash,
         op11_hard_negatives,
         op12_centroids,
+        op13_toxicity,
     ]
     return {f.__name__: f for f in own}

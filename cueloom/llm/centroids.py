@@ -108,7 +108,7 @@ def first_centroids(vectors: DataFrame, k: int = CENTROIDS, salt: str = "1") ->
     """
     key = F.sha2(F.concat(F.lit(f"{salt}:"), F.col("vec_id").cast("string")), 256)
     rows = vectors.select(key.alias("_key"), "q").orderBy(F.asc_nulls_last("_key"), "q").limit(k).collect()
-    return np.array([r["q"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["q"] for r in rows], np.int64)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:

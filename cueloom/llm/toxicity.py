@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cueloom.llm.common import hash_sample, pieces_of, stored
 
-# Tokens are runs of letters (with their marks), lower-cased.
-_TOKEN = regex.compile(r"[\p{L}\p{M}]+")
+# Tokens are runs of letters, lower-cased.
+_TOKEN = re.compile(r"[^\W\d_]+")
 
 #: A token is known by itself and by its first 4 to 8 letters, so that inflected forms share their evidence.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -33,7 +33,9 @@ CHANCE_SHARE = 0.75
 COST = 0.05
 #: Features of a model, the ones of the most toxic documents if there are more. They are broadcast.
 FEATURES = 100_000
-#: Labelled documents, about, from which the extreme-value law and the final odds are fitted.
+#: Labelled documents that teach, about; chosen by a hash of their id if there are more.
+TRAINING_ROWS = 40_000
+#: Those of them, about, from which the extreme-value law and the final odds are fitted.
 CALIBRATION_ROWS = 20_000
 #: Each of these parts of the labelled documents is judged, for that fit, by what the other parts teach.
 PARTS = 4
@@ -80,6 +82,20 @@ def without_main(counts: dict[str, np.ndarray], others: dict[str, np.ndarray]) -
     return found
 
 
+class _TokenScores(dict):
+    """Score of every token met: that of its feature that speaks most for label 1; zero if none does."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+
+    def __missing__(self, token: str) -> float:
+        value = max((self.weights.get(f, 0.0) for f in features(token)), default=0.0)
+        if len(self) >= _FLUSH:
+            self.clear()
+        self[token] = value
+        return value
+
+
 @dataclass
 class ToxicityModel:
     """Scores of features above zero, the law of chance segments, and how evidence becomes a probability."""
@@ -89,54 +105,31 @@ class ToxicityModel:
     scale: float = 1.0
     slope: float = 0.0
     offset: float = 0.0
-    _known: dict[str, float] = field(default_factory=dict, repr=False, compare=False)
-
-    def token_score(self, token: str) -> float:
-        """Score of the feature that speaks most for the label, less the cost."""
-        value = self._known.get(token)
-        if value is None:
-            weights = self.weights
-            value = max((weights.get(f, 0.0) for f in features(token)), default=0.0)
-            if len(self._known) >= _FLUSH:
-                self._known.clear()
-            self._known[token] = value
-        return value - COST
 
-    def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens, and every maximal scoring segment as (start, end, score), in text order.
+    def __post_init__(self):
+        self.scores = _TokenScores(self.weights)
+
+    def token_scores(self, tokens: list[str]) -> np.ndarray:
+        """Score of each token, less the cost. The k-th occurrence of a token earns a k-th of its score.
 
-        One pass (Ruzzo and Tompa): each positive token starts a segment, which is
-        joined to the nearest earlier one that it extends to a higher score. The
-        running total is kept at both ends of each segment. The k-th occurrence of
-        a token earns a k-th of its score, as a text that repeats one word over
-        and over says little more by it.
+        A text that repeats one word over and over says little more by it.
         """
-        if not self.weights:
-            return sum(1 for _ in _TOKEN.finditer(text)), []
-        total, count, score, seen = 0.0, 0, self.token_score, {}
-        # start, end, total before, total after
-        stack: list[tuple[int, int, float, float]] = []
-        for match in _TOKEN.finditer(text):
-            count += 1
-            token = match.group()
-            value = score(token)
-            if value > 0:
-                times = seen[token] = seen.get(token, 0) + 1
-                value = (value + COST) / times - COST
-            if value > 0:
-                start, end, left, right = match.start(), match.end(), total, total + value
-                while stack:
-                    j = len(stack) - 1
-                    # The last segment that begins lower.
-                    while j >= 0 and stack[j][2] >= left:
-                        j -= 1
-                    if j < 0 or stack[j][3] >= right:
-                        break
-                    start, left = stack[j][0], stack[j][2]
-                    del stack[j:]
-                stack.append((start, end, left, right))
-            total += value
-        return count, [(start, end, right - left) for start, end, left, right in stack]
+        values = np.fromiter(map(self.scores.__getitem__, tokens), np.float64, len(tokens))
+        seen: dict[str, int] = {}
+        for i in np.flatnonzero(values).tolist():
+            token = tokens[i]
+            times = seen[token] = seen.get(token, 0) + 1
+            values[i] /= times
+        return values - COST
+
+    def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
+        """Number of tokens, and every maximal scoring segment as (start, end, score), in text order."""
+        tokens = _TOKEN.findall(text)
+        found = maximal_segments(self.token_scores(tokens)) if self.weights else []
+        if not found:
+            return len(tokens), []
+        spans = [match.span() for match in _TOKEN.finditer(text)]
+        return len(tokens), [(spans[first][0], spans[last][1], score) for first, last, score in found]
 
     def expected(self, score: float, tokens: int) -> float:
         """Expected number of segments of at least this score in a clean text of so many tokens (Karlin and Altschul)."""
@@ -164,6 +157,31 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 
 
+def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments, in order, as (first, last, score), in one pass (Ruzzo and Tompa).
+
+    Each positive score starts a segment, which is joined to the nearest earlier
+    one that it extends to a higher total. The running total is kept at both ends
+    of each segment, and with each the place of the nearest earlier one that
+    begins lower: a search leaps over all between, which begin no lower.
+    """
+    totals = np.cumsum(scores)
+    # first, last, total before, total after, nearest that begins lower (-1 if none)
+    stack: list[tuple[int, int, float, float, int]] = []
+    for last in np.flatnonzero(scores > 0).tolist():
+        first, left, right = last, float(totals[last] - scores[last]), float(totals[last])
+        while True:
+            j = len(stack) - 1
+            while j >= 0 and stack[j][2] >= left:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= right:
+                break
+            first, left = stack[j][0], stack[j][2]
+            del stack[j:]
+        stack.append((first, last, left, right, j))
+    return [(first, last, right - left) for first, last, left, right, _ in stack]
+
+
 def _lower(text: str | None) -> str:
     return (text or "").lower()
 
@@ -310,10 +328,8 @@ def _calibrated(known: DataFrame, weights: dict[str, float], without: list[dict[
             for label, text, part in zip(*_columns(batch, "label", "text", "part"), strict=True):
                 model = models[part]
                 tokens, segments = model.segments(_lower(text))
-                bins: dict[int, int] = {}
-                for token in _TOKEN.findall(_lower(text)) if label == 0 else ():
-                    at = round(model.token_score(token) * 64)
-                    bins[at] = bins.get(at, 0) + 1
+                words = _TOKEN.findall(_lower(text)) if label == 0 else []
+                bins = dict(zip(*(x.tolist() for x in np.unique(np.round(model.token_scores(words) * 64).astype(int), return_counts=True)), strict=True))
                 best = sorted((s[2] for s in segments), reverse=True)[:_SAMPLED_SEGMENTS]
                 rows.append((label, tokens, best, list(bins), list(bins.values())))
             kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
@@ -340,19 +356,21 @@ _SAMPLED_SEGMENTS = 64
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Learn from all labelled documents, ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0/1).
+    """Learn from labelled documents, ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0/1).
 
-    Features are counted over every labelled document; at most FEATURES of them
-    make the model. The extreme-value law and the odds are fitted on about
-    CALIBRATION_ROWS documents, chosen by a hash. A document with contradicting
+    About TRAINING_ROWS of them teach, at most FEATURES features make the model,
+    and the extreme-value law and the odds are fitted on about CALIBRATION_ROWS;
+    documents are chosen by a hash. A document with contradicting
     labels, a null label or a null id teaches nothing; equal texts of one label count once.
     Without documents of both labels every score is one half; without a feature
     that tells the labels apart it is about the share of label 1.
     """
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id")
     known = known.agg(F.min("label").alias("label"), F.max("label").alias("_high")).where("label = _high")
-    known = docs.select("doc_id", "text").join(known.select("doc_id", F.col("label").cast("int").alias("label")), "doc_id")
-    known = known.where("label in (0, 1)").select(F.coalesce("text", F.lit("")).alias("text"), "label").distinct()
+    known = known.where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
+    # The sample holds about TRAINING_ROWS small rows, so it may be broadcast.
+    known = docs.select("doc_id", "text").join(F.broadcast(hash_sample(known, TRAINING_ROWS, "doc_id")), "doc_id")
+    known = known.select(F.coalesce("text", F.lit("")).alias("text"), "label").distinct()
     part = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(PARTS)).cast("int")
     known = stored(known.withColumn("part", part), "toxicity-known")
     labels_there = {r["label"] for r in known.select("label").distinct().collect()}

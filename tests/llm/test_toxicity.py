@@ -17,6 +17,7 @@ from cueloom.llm.toxicity import (
     chance_rate,
     features,
     log_odds,
+    maximal_segments,
     score_toxicity,
     train_toxicity,
     without_main,
@@ -56,14 +57,16 @@ def _maximal(scores):
 @pytest.mark.parametrize("seed", range(20))
 def test_segments_equal_all_ranges(seed):
     rng = random.Random(seed)
-    # Every token its own, so that repeats earn their full score; powers of two keep sums exact.
-    letters = [chr(0x4E00 + i) for i in range(40)]
-    scores = [rng.choice([-3, -2, -1, 1, 2, 3]) / 4 for _ in letters]
-    model = ToxicityModel({"x": 1.0})
-    model.token_score = dict(zip(letters, scores, strict=True)).__getitem__
-    count, found = model.segments(" ".join(letters))
-    assert count == len(letters)
-    assert [(a // 2, (b + 1) // 2, round(s, 6)) for a, b, s in found] == [(a, b, round(s, 6)) for a, b, s in _maximal(scores)]
+    scores = [rng.choice([-3, -2, -1, 1, 2, 3]) / 4 for _ in range(40)]
+    found = maximal_segments(np.array(scores))
+    assert [(a, b + 1, s) for a, b, s in found] == _maximal(scores)
+
+
+def test_passages_are_places_in_the_lower_cased_text():
+    model = ToxicityModel({"scum$": 2.0, "vile$": 2.0})
+    text = "A fine day, SCUM and Vile \u00e9t\u00e9!".lower()
+    assert model.segments(text) == (7, [(12, 25, pytest.approx(4 - 3 * COST))])
+    assert text[12:25] == "scum and vile"
 
 
 def test_repeated_tokens_earn_less_and_long_texts_take_linear_time():
@@ -74,6 +77,9 @@ def test_repeated_tokens_earn_less_and_long_texts_take_linear_time():
     rng = random.Random(1)
     text = " ".join(rng.choices(["scum", "fine", "scums"], k=300_000))
     assert model.segments(text)[0] == 300_000
+    # Totals that fall, rise and stay level, with many segments open.
+    for scores in ([1, -2], [2, -1], [1, -1]):
+        assert maximal_segments(np.tile(np.array(scores, float), 300_000))
 
 
 def test_features_and_their_counts():

@@ -343,6 +343,26 @@ def oracle_sql() -> dict[str, str]:
       select audio_id, cue_no, 0::bigint as part_no,
         {_fixed("signal[start_ms * 64 // 1000 + 1 : end_ms * 64 // 1000]")} as samples
       from cues join signals using (audio_id)"""
+    sql["cut_uneven_frames"] = f"""with
+      sizes as (select vec_id // 50 as audio_id, vec_id % 50 as frame_no, embedding,
+        unnest(range(1, 64 + (vec_id % 50) % 2)) as i from embeddings where vec_id % 50 not in (17, 18, 40)),
+      signal as (select audio_id, frame_no * 25 * 2540 // 1000 + i - 1 as place, embedding[i] as x from sizes),
+      total as (select audio_id, max(place) + 1 as total from signal group by audio_id),
+      cues as (select case when vec_id % 29 = 0 then -1 else vec_id // 50 end as audio_id, vec_id % 50 as cue_no,
+        vec_id % 50 * 26 + 7 as s, vec_id % 50 * 26 + 7 + (vec_id * 37) % 520 - 20 as e from embeddings),
+      spans as (select *, greatest(s, 0) * 2540 // 1000 as lo, if(total is null, 0, least(greatest(e, 0) * 2540 // 1000, total)) as hi
+        from cues left join total using (audio_id)),
+      parts as (select *, unnest(case when hi > lo then range(0, (hi - lo - 1) // 254 + 1) else [0] end) as part_no from spans),
+      cut as (select *, lo + part_no * 254 as a, least(hi, lo + part_no * 254 + 254) as b from parts),
+      clips as (select c.audio_id, c.cue_no, c.s, c.e, c.part_no, c.total, c.lo, c.hi, c.a, c.b,
+          coalesce(list(x order by place) filter (x is not null), []) as samples
+        from cut c left join signal g on g.audio_id = c.audio_id and g.place >= c.a and g.place < c.b group by all)
+      select audio_id, cue_no, part_no::bigint as part_no,
+        case when total is null then 'no_audio' when not hi > lo then 'empty'
+          when len(samples) < b - a then 'gap' else 'ok' end as status,
+        (case when hi > lo then b - a - len(samples) else 0 end)::bigint as missing,
+        {_fixed("samples")} as samples
+      from clips"""
     sql["cut_clips"] = f"""with {CUE_LINES}, {FRAMES},
       mono_signals as (
         select audio_id, flatten(list({_STEREO_DOWN} order by frame_no)) as mono from frames group by audio_id)

@@ -144,6 +144,13 @@ def cut_frames(spark, sf):
     return _cut(spark, sf).select("audio_id", "cue_no", F.col("part_no").cast("long"), _fixed())
 
 
+@_query
+def cut_uneven_frames(spark, sf):
+    """Uneven frames with gaps, cut into parts of 100 ms."""
+    cut = audio.cut_frames(t.uneven_frames(spark, sf), t.uneven_cues(spark, sf), part_ms=100)
+    return cut.select("audio_id", "cue_no", "part_no", "status", "missing", _fixed())
+
+
 @_query
 def write_clips(spark, sf):
     out = scratch_path(spark, "clips")

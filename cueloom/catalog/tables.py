@@ -167,6 +167,29 @@ def frame_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def uneven_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of 25 ms at 2,540 Hz, 63 and 64 samples in turn; frames 17, 18 and 40 of each recording are missing."""
+    there = frames(spark, sf_dir).where("frame_no not in (17, 18, 40)")
+    return there.selectExpr(
+        "audio_id",
+        "frame_no",
+        "25 as frame_ms",
+        "2540 as sample_rate",
+        "1 as channels",
+        "slice(samples, 1, 63 + cast(frame_no % 2 as int)) as samples",
+    )
+
+
+def uneven_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cues of up to 500 ms; some meet missing frames, pass the end, are inverted, or name no recording."""
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "if(vec_id % 29 = 0, -1L, vec_id div 50) as audio_id",
+        "vec_id % 50 as cue_no",
+        "vec_id % 50 * 26 + 7 as start_ms",
+        "vec_id % 50 * 26 + 7 + (vec_id * 37) % 520 - 20 as end_ms",
+    )
+
+
 def named_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stereo recordings under file names: 64 values are half a second of two channels."""
     return frames(spark, sf_dir).selectExpr(

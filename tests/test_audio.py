@@ -75,3 +75,80 @@ def test_duration_rate_and_mixdown(spark):
     assert {r.channels for r in mono.collect()} == {1}
     assert audio.rate_check(frames).first().rate_status == "needs_resample"
     assert audio.rate_check(frames, RATE).first().rate_status == "ok"
+
+
+def placed_frames(spark, audio_id, sizes, frame_ms=25, rate=8820, skip=()):
+    """Frames of the given sizes, cut one after the other from one signal."""
+    signal, rows = [], []
+    for k, size in enumerate(sizes):
+        samples = [float(len(signal) + i) for i in range(size)]
+        signal += samples
+        if k not in skip:
+            rows.append((audio_id, k, frame_ms, rate, 1, samples))
+    return signal, spark.createDataFrame(rows, FRAMES)
+
+
+def rows_of(frames, cues, **options):
+    cut = audio.cut_frames(frames, cues, **options).collect()
+    return {(r.audio_id, r.cue_no, r.part_no): (r.status, r.missing, list(r.samples)) for r in cut}
+
+
+def test_uneven_frames_add_up_to_the_signal(spark):
+    for sizes in ([220, 221] * 20, [221, 220] * 20, [220] * 3 + [221] * 5 + [100]):
+        signal, frames = placed_frames(spark, 1, sizes)
+        cues = [(1, i, s, e) for i, (s, e) in enumerate([(0, 10**9), (50, 100), (24, 26), (25, 50), (0, 500), (333, 777)])]
+        got = rows_of(frames.repartition(5), spark.createDataFrame(cues, CUES))
+        for a, c, s, e in cues:
+            want = signal[s * 8820 // 1000 : e * 8820 // 1000]
+            assert got[a, c, 0] == (("ok" if want else "empty"), 0, want)
+
+
+def test_a_gap_is_told_and_what_follows_keeps_its_place(spark):
+    sizes = [220, 221] * 5
+    signal, frames = placed_frames(spark, 1, sizes, skip=(4,))
+    got = rows_of(frames, spark.createDataFrame([(1, 1, 0, 100), (1, 2, 0, 200), (1, 3, 125, 200)], CUES))
+    assert got[1, 1, 0] == ("ok", 0, signal[:882])
+    assert got[1, 2, 0] == ("gap", 220, signal[:882] + signal[1102:1764])
+    assert got[1, 3, 0] == ("ok", 0, signal[1102:1764])
+    # A frame cut short in the middle is a gap as well; the last one may be short.
+    short = [220, 221, 100, 221, 100]
+    _, frames = placed_frames(spark, 2, short)
+    got = rows_of(frames, spark.createDataFrame([(2, 1, 0, 10_000), (2, 2, 75, 100)], CUES))
+    assert got[2, 1, 0][:2] == ("gap", 120) and len(got[2, 1, 0][2]) == sum(short)
+    assert got[2, 2, 0][2] == [541.0 + i for i in range(221)]
+
+
+def test_a_whole_part_may_be_missing(spark):
+    signal, frames = placed_frames(spark, 1, [100] * 10, frame_ms=100, rate=1000, skip=(2, 3, 4))
+    got = rows_of(frames, spark.createDataFrame([(1, 1, 50, 900)], CUES), part_ms=200)
+    assert [(p, *got[1, 1, p][:2], len(got[1, 1, p][2])) for p in range(5)] == [
+        (0, "gap", 50, 150), (1, "gap", 200, 0), (2, "gap", 50, 150), (3, "ok", 0, 200), (4, "ok", 0, 50)
+    ]
+    assert [x for p in range(5) for x in got[1, 1, p][2]] == signal[50:200] + signal[500:900]
+
+
+def test_rates_audio_and_cues_that_cannot_be_cut(spark):
+    _, one = placed_frames(spark, 1, [220, 221])
+    _, other = placed_frames(spark, 1, [220, 221, 200, 200], rate=8000, skip=(0, 1))
+    _, two = placed_frames(spark, 2, [220, 221])
+    cues = [(1, 1, 0, 50), (2, 1, 10, 10), (2, 2, 30, 5), (2, 3, None, 5), (2, 4, 10**17, 10**18), (9, 1, 0, 50), (None, 1, 0, 50)]
+    got = rows_of(one.union(other).union(two), spark.createDataFrame(cues, CUES))
+    assert {k: v[0] for k, v in got.items()} == {
+        (1, 1, 0): "mixed_rate", (2, 1, 0): "empty", (2, 2, 0): "empty", (2, 3, 0): "empty", (2, 4, 0): "empty",
+        (9, 1, 0): "no_audio", (None, 1, 0): "no_audio",
+    }
+    assert all(v[1:] == (0, []) for v in got.values())
+
+
+def test_equal_cues_give_a_clip_each(spark):
+    signal, frames = recording(spark, 1, 400)
+    cut = audio.cut_frames(frames, spark.createDataFrame([(1, 1, 0, 4000)] * 2, CUES)).collect()
+    assert [list(r.samples) for r in cut] == [signal[:160]] * 2
+
+
+def test_blocks_of_frames_carry_on(spark, monkeypatch):
+    monkeypatch.setattr(audio, "FRAMES_IN_BLOCK", 4)
+    sizes = [220, 221] * 12
+    _, frames = placed_frames(spark, 1, sizes, skip=(5, 13, 14))
+    placed = {r.frame_no: r.first_sample for r in audio.place_frames(frames.repartition(3)).collect()}
+    assert placed == {k: sum(sizes[:k]) for k in range(24) if k not in (5, 13, 14)}

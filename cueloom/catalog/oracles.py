@@ -259,9 +259,8 @@ def oracle_sql() -> dict[str, str]:
 
     # Sources and sinks
     sql["read_manifest"] = f"with {MANIFEST} select * from manifest"
-    sql["list_objects"] = (
-        """select lang as "language", sum(strlen(text) + 1)::bigint as bytes from documents group by lang"""
-    )
+    sql["list_objects"] = """select lang as "language", source || '%20 a' as source,
+        sum(strlen(text) + 1)::bigint as bytes from documents group by lang, source"""
     sql["read_lines"] = """select row_number() over (order by doc_id, pos) - 1 as line_no, value
       from (select doc_id, unnest(string_split(text, chr(10))) as value,
               generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)"""
@@ -325,6 +324,10 @@ def oracle_sql() -> dict[str, str]:
       where position % 100 = 10"""
 
     # Joins
+    sql["exclude_listed"] = f"""with {LISTING},
+      listed as (select 'clip_' || doc_id || case when doc_id % 3 = 0 then '.' else '/' end as text from documents
+        union all select '_' || s_suppkey || 'x.mp3' from supplier)
+      select * from listing where not exists (select 1 from listed where contains(path, text))"""
     sql["resolve_names"] = f"with {RESOLVED} select * from resolved"
     sql["resolve_exact"] = f"""with {MANIFEST}, {LISTING}
       select m.*, (select min(path) from listing where {_basename("path")} = m.media_file) as media_path,

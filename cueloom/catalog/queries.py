@@ -71,11 +71,15 @@ def read_manifest(spark, sf):
 
 @_query
 def list_objects(spark, sf):
+    """Files written in folders of two levels, listed into a table; each path is found by the row it was written for."""
     root = scratch_path(spark, "objects")
-    t.table(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").text(root)
-    files = listing.list_objects(spark, root)
-    language = F.regexp_extract("path", "/lang=([^/]+)/", 1)
-    return files.groupBy(language.alias("language")).agg(F.sum("length").alias("bytes")).where("language <> ''")
+    files = t.table(spark, sf, "documents").selectExpr("lang", "concat(source, '%20 a') as source", "text")
+    files.repartition("lang", "source").write.partitionBy("lang", "source").text(f"{root}/in")
+    found = listing.write_listing(spark, f"{root}/in", f"{root}/listed", prefixes=16)
+    parts = F.regexp_extract("path", "/in/lang=([^/]+)/source=([^/]+)/part-[^/]+$", 1)
+    source = F.regexp_extract("path", "/in/lang=([^/]+)/source=([^/]+)/part-[^/]+$", 2)
+    named = found.select(parts.alias("language"), F.regexp_replace(source, "%2520", "%20").alias("source"), "length")
+    return named.groupBy("language", "source").agg(F.sum("length").alias("bytes")).where("language <> ''")
 
 
 @_query
@@ -155,7 +159,10 @@ def cut_uneven_frames(spark, sf):
 def write_clips(spark, sf):
     out = scratch_path(spark, "clips")
     language = F.expr(t.LANGUAGE_OF_ID.format("audio_id"))
-    datasets.write_clips(_cut(spark, sf).withColumn("language", language), out)
+    cut = _cut(spark, sf).withColumn("language", language)
+    # Two batches, and the first one once more.
+    for batch, rest in (("even", 0), ("odd", 1), ("even", 0)):
+        datasets.write_clips(cut.where(F.col("cue_no") % 2 == rest), out, batch)
     return spark.read.parquet(out).select("audio_id", "cue_no", "language", _fixed())
 
 
@@ -274,6 +281,17 @@ def exclude_names(spark, sf):
     return manifest.exclude_names(t.listing(spark, sf), ["path"], ["m.th"], _EXCLUDED_DOMAINS)
 
 
+@_query
+def exclude_listed(spark, sf):
+    """Paths against a long list: parts of other paths, most of which occur in none of these."""
+    paths = t.listing(spark, sf)
+    texts = t.table(spark, sf, "documents").selectExpr(
+        "concat('clip_', doc_id, if(doc_id % 3 = 0, '.', '/'))  as text"
+    )
+    more = t.table(spark, sf, "supplier").selectExpr("concat('_', s_suppkey, 'x', '.mp3') as text")
+    return manifest.exclude_listed(paths, ["path"], texts.union(more))
+
+
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.resolve_names(t.manifest(spark, sf), t.listing(spark, sf), _NAMES)
 

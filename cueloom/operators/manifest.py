@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cueloom.functions.paths import audio_target, manifest_audio_name, path_basename, transcript_kind
-from cueloom.runtime import BROADCAST_BYTES, fits_broadcast
+from cueloom.functions.python import once
+from cueloom.runtime import BROADCAST_BYTES, checkpointed, fits_broadcast
+
+#: Texts that every worker may hold; names of up to a few dozen characters each.
+MAX_LISTED_TEXTS = 1_000_000
 
 
 def manifest_complete(manifest: DataFrame) -> DataFrame:
@@ -33,6 +39,98 @@ def exclude_names(rows: DataFrame, columns: list[str], emails: list[str] = (), d
     return rows.where(~F.coalesce(hit, F.lit(False)))
 
 
+class ListedTexts:
+    """A list of texts that is searched in one pass over a name.
+
+    The texts are filed by their first characters, up to ``_HEAD`` of them, with
+    the lengths that occur under each head. At every place of a name the head is
+    looked up, and only under a known one the few lengths. Texts with one head
+    cost no more than their lengths, however many they are. The index is built
+    where it is first used, once in the life of a worker.
+    """
+
+    _HEAD = 4
+
+    def __init__(self, texts: list[str]):
+        self.texts, self._index = texts, None
+
+    def _built(self) -> tuple[set[str], list[tuple[int, dict[str, list[int]]]], bool]:
+        if self._index is None:
+            texts = set(self.texts)
+            heads: dict[int, dict[str, set[int]]] = {}
+            for text in texts - {""}:
+                head = text[: self._HEAD]
+                heads.setdefault(len(head), {}).setdefault(head, set()).add(len(text))
+            filed = [(size, {h: sorted(n) for h, n in by.items()}) for size, by in sorted(heads.items())]
+            self._index = texts, filed, "" in texts
+        return self._index
+
+    def found_in(self, name: str | None) -> bool | None:
+        """Whether any of the texts stands anywhere in ``name``."""
+        if name is None:
+            return None
+        texts, filed, always = self._built()
+        if always:
+            return True
+        for size, lengths in filed:
+            for at in range(len(name) - size + 1):
+                for length in lengths.get(name[at : at + size], ()):
+                    if name[at : at + length] in texts:
+                        return True
+        return False
+
+
+def _listed_texts(texts: DataFrame) -> DataFrame:
+    return texts.toDF("text").where("text is not null").distinct()
+
+
+def contains_listed(rows: DataFrame, column: str, texts: list[str]) -> Column:
+    """Whether ``column`` contains any of ``texts``, which every worker holds."""
+    shared = rows.sparkSession.sparkContext.broadcast(ListedTexts(texts))
+
+    @once
+    @F.arrow_udf(T.BooleanType())
+    def search(names: pa.Array) -> pa.Array:
+        listed = shared.value
+        return pa.array([listed.found_in(name) for name in names.to_pylist()], pa.bool_())
+
+    return search(F.col(column))
+
+
+def exclude_listed(
+    rows: DataFrame, columns: list[str], texts: DataFrame, max_texts: int = MAX_LISTED_TEXTS
+) -> DataFrame:
+    """Drop rows in which any of ``columns`` contains any text of a long list.
+
+    ``texts`` has one column; nulls in it are ignored, an empty text excludes all
+    rows with a name. Up to ``max_texts`` of them go to every worker and each name
+    is read once. A longer list stays distributed: every name is cut to pieces of
+    each length that a text has, which meet the texts by equality; that costs a
+    row for each place and length, so it is meant for lists no worker can hold.
+    Both ways give what ``contains`` gives, and keep repeated rows.
+    """
+    listed = _listed_texts(texts)
+    held = listed.limit(max_texts + 1).toArrow()["text"].to_pylist()
+    if len(held) <= max_texts:
+        hit = reduce(lambda a, b: a | b, [F.coalesce(contains_listed(rows, c, held), F.lit(False)) for c in columns])
+        return rows.where(~hit)
+    listed = checkpointed(listed)
+    lengths = listed.agg(F.collect_set(F.length("text"))).scalar()
+    names = reduce(DataFrame.union, [rows.select(F.col(c).alias("name")) for c in columns])
+    names = names.where("name is not null").distinct()
+    starts = F.filter(F.sequence(F.lit(1), F.length("name") + 1), lambda at: at + F.col("size") <= F.length("name") + 1)
+    pieces = (
+        names.select("name", F.explode(lengths).alias("size"))
+        .where(F.col("size") <= F.length("name"))
+        .select("name", "size", F.explode(starts).alias("at"))
+        .select("name", F.substring("name", F.col("at"), F.col("size")).alias("text"))
+    )
+    hits = pieces.distinct().join(listed, "text", "left_semi").select("name").distinct()
+    for column in columns:
+        rows = rows.join(hits.select(F.col("name").alias(column)), column, "left_anti").select(*rows.columns)
+    return rows
+
+
 def _resolved(names: DataFrame, listing: DataFrame, max_bytes: int) -> DataFrame:
     """``(name, path)``: the smallest listed path that ends with each name.
 

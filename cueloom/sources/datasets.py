@@ -21,14 +21,29 @@ def _by_language(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "language")
 
 
-def write_clips(clips: DataFrame, out: str) -> None:
-    """Append clips and their texts, one folder per language.
-
-    Pass cues through ``skip_done_clips`` before cutting to leave finished ones
-    alone. Clips are not rebalanced: they are the bulk of the data, and cutting
-    has just shuffled them.
+def write_clips(clips: DataFrame, out: str, batch: str) -> None:
+    """Write one batch of clips and their texts, below a folder per language.
+
+    ``batch`` names what was cut together, such as a manifest's version. A batch
+    is replaced as a whole wherever it has rows, and other batches stay as they
+    are, so a run that is started twice, or again after a failure, leaves one copy
+    of each clip. Skip the clips of other batches before cutting, with
+    ``skip_done_clips`` and ``other_clips``. Rows are rebalanced by language, so a
+    language has as many files as its bytes ask for, not one from every task.
     """
-    clips.write.mode("append").partitionBy("language").parquet(out)
+    (
+        _by_language(clips.withColumn("batch", F.lit(batch)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("language", "batch")
+        .parquet(out)
+    )
+
+
+def other_clips(spark: SparkSession, out: str, batch: str) -> DataFrame:
+    """Clips that batches other than ``batch`` have left below ``out``."""
+    found = spark.read.parquet(out)
+    return found.where(F.col("batch").cast("string") != batch)
 
 
 def write_dataset(dataset: DataFrame, out: str) -> None:

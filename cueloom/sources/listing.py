@@ -1,20 +1,160 @@
+"""Files below a folder: listed on the executors, or read whole."""
+
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from datetime import UTC, datetime
+from urllib.parse import urlparse
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+# Stores that a worker can list by itself; Spark lists the others.
+_LISTED = ("", "file", "s3", "s3a", "gs", "hdfs")
+
+# Folder names at which splitting stops, so that the driver holds few of them.
+MAX_PREFIXES = 10_000
+
+_SCHEMA = "path string, length bigint, modificationTime timestamp"
+_FILES_IN_BATCH = 10_000
+
+
+def _is_local(root: str) -> bool:
+    return urlparse(root).scheme in ("", "file")
+
+
+def _base(root: str) -> str:
+    """The root's path within its store."""
+    url = urlparse(root)
+    path = root if not url.scheme else url.path if _is_local(root) else url.netloc + url.path
+    return path.rstrip("/") or "/"
+
+
+def _entries(root: str, folder: str) -> Iterator[tuple[str, int | None, datetime]]:
+    """``(path, length, changed)`` of what a folder holds, or of a single file; folders have no length."""
+    if _is_local(root):
+        if os.path.isfile(folder):
+            found = os.stat(folder)
+            yield folder, found.st_size, datetime.fromtimestamp(found.st_mtime, UTC)
+            return
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                found = entry.stat()
+                length = None if entry.is_dir() else found.st_size
+                yield entry.path, length, datetime.fromtimestamp(found.st_mtime, UTC)
+        return
+    import pyarrow.fs as fs
+
+    store, _ = fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+    single = store.get_file_info(folder)
+    for info in [single] if single.type == fs.FileType.File else store.get_file_info(fs.FileSelector(folder)):
+        length = None if info.type == fs.FileType.Directory else info.size
+        yield info.path, length, info.mtime or datetime(1970, 1, 1, tzinfo=UTC)
+
+
+def _named(root: str, path: str) -> str:
+    """A listed path as Spark names it."""
+    return f"file:{path}" if _is_local(root) else root.rstrip("/") + path[len(_base(root)) :]
+
+
+def _hidden(path: str) -> bool:
+    name = path.rsplit("/", 1)[-1]
+    return name.startswith((".", "_"))
+
+
+class Prefix(InputPartition):
+    """A folder, listed with all below it or by itself."""
 
+    def __init__(self, path: str, deep: bool):
+        self.path, self.deep = path, deep
 
-def list_objects(spark: SparkSession, root: str) -> DataFrame:
+
+class ObjectListing(DataSource):
+    """Batch source ``objects``: ``(path, length, modificationTime)`` of the files below ``path``.
+
+    The driver lists folders only, level by level, until there are ``prefixes`` of
+    them or none is left; each is a partition, and the executors list the files.
+    Names that begin with a dot or underscore are left out, as Spark leaves them out.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "objects"
+
+    def schema(self) -> str:
+        return _SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return _ObjectReader(self.options)
+
+
+class _ObjectReader(DataSourceReader):
+    def __init__(self, options):
+        self.root = options["path"]
+        self.wanted = min(int(options.get("prefixes", "64")), MAX_PREFIXES)
+
+    def partitions(self) -> list[Prefix]:
+        whole, level = [], [_base(self.root)]
+        # A folder that is split stays as a partition of its own files.
+        while level and len(whole) + len(level) < self.wanted:
+            below = []
+            for folder in level:
+                whole.append(Prefix(folder, False))
+                below += [p for p, length, _ in _entries(self.root, folder) if length is None and not _hidden(p)]
+            level = below
+        return whole + [Prefix(folder, True) for folder in level]
+
+    def read(self, partition: Prefix) -> Iterator[pa.RecordBatch]:
+        rows, folders = [], [partition.path]
+
+        def batch() -> pa.RecordBatch:
+            paths, lengths, times = zip(*rows, strict=True)
+            arrays = [pa.array(paths), pa.array(lengths, pa.int64()), pa.array(times, pa.timestamp("us", "UTC"))]
+            return pa.RecordBatch.from_arrays(arrays, ["path", "length", "modificationTime"])
+
+        while folders:
+            for path, length, changed in _entries(self.root, folders.pop()):
+                if _hidden(path):
+                    continue
+                if length is None:
+                    if partition.deep:
+                        folders.append(path)
+                    continue
+                rows.append((_named(self.root, path), length, changed))
+                if len(rows) >= _FILES_IN_BATCH:
+                    yield batch()
+                    rows = []
+        if rows:
+            yield batch()
+
+
+def list_objects(spark: SparkSession, root: str, prefixes: int = 64) -> DataFrame:
     """``(path, length, modificationTime)`` of every file below ``root``.
 
-    ``content`` is not selected, so no file is opened.
+    Files are listed by the executors, folder by folder, and none is opened; the
+    driver sees at most about ``prefixes`` folder names. Stores that the workers
+    have no client for are listed by Spark's own file index. Save the result with
+    ``write_listing`` if it is used more than once: each use lists anew.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "length", "modificationTime")
-    )
+    if urlparse(root).scheme in _LISTED:
+        spark.dataSource.register(ObjectListing)
+        return spark.read.format("objects").option("prefixes", prefixes).load(root)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return found.select("path", "length", "modificationTime")
+
+
+def write_listing(spark: SparkSession, root: str, out: str, prefixes: int = 64) -> DataFrame:
+    """List ``root`` once into a table at ``out``, which replaces an earlier listing, and return that table."""
+    list_objects(spark, root, prefixes).write.mode("overwrite").parquet(out)
+    return read_listing(spark, out)
+
+
+def read_listing(spark: SparkSession, out: str) -> DataFrame:
+    """A saved listing."""
+    return spark.read.schema(_SCHEMA).parquet(out)
 
 
 def read_transcripts(spark: SparkSession, root: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,33 @@ def test_manifest_columns_go_by_name(spark, tmp_path):
     assert len({r.manifest_id for r in rows}) == 2
     with pytest.raises(ManifestError):
         read_manifest(spark, str(tmp_path / "m.csv"))
+
+
+def _left(spark, names, texts, **options):
+    rows = spark.createDataFrame([(n, None) for n in names], "path string, other string")
+    listed = spark.createDataFrame([(x,) for x in texts], "pattern string")
+    return sorted(repr(r.path) for r in manifest.exclude_listed(rows, ["path", "other"], listed, **options).collect())
+
+
+@pytest.mark.parametrize("max_texts", [0, 10**6])
+def test_long_exclusion_lists_equal_contains(spark, max_texts):
+    rng = random.Random(7)
+    names = ["".join(rng.choices("ab@.\U0001f600é", k=rng.randrange(0, 30))) for _ in range(300)] + [None, "", "a", "same", "same"]
+    texts = ["".join(rng.choices("ab@.\U0001f600é", k=rng.randrange(1, 9))) for _ in range(60)] + [None, "z", "z", "x" * 50]
+    texts = [x for x in texts if x is None or len(x) > 3 or x == "z"]
+    expected = sorted(repr(n) for n in names if n is None or not any(x in n for x in texts if x is not None))
+    assert _left(spark, names, texts, max_texts=max_texts) == expected
+    assert 0 < len(expected) < len(names)
+
+
+@pytest.mark.parametrize("max_texts", [0, 10**6])
+def test_exclusion_lists_that_are_empty_or_hold_an_empty_text(spark, max_texts):
+    assert _left(spark, ["a", None, ""], [], max_texts=max_texts) == sorted(["'a'", "None", "''"])
+    assert _left(spark, ["a", None, ""], ["", "b"], max_texts=max_texts) == ["None"]
+
+
+def test_many_listed_texts_of_one_head_cost_no_more():
+    listed = manifest.ListedTexts([f"user{i}@mail.org" for i in range(100_000)])
+    names = [f"in/user{i}@mail.com/user{i}@mail.orx/{i}.wav" for i in range(20_000)]
+    assert not any(map(listed.found_in, names))
+    assert listed.found_in("x/user99999@mail.org.wav") and listed.found_in(None) is None

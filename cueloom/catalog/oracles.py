@@ -319,7 +319,7 @@ def oracle_sql() -> dict[str, str]:
     sql["length_range"] = f"""with {LABELS} select row_id, "language", input_length, {_JOINED} from in_range"""
     sql["nonempty_pairs"] = f"with {STRICT_PAIRS} select conv_id, turn, reference, hypothesis from strict_pairs"
     sql["progress_sample"] = f"""with {STRICT_PAIRS}
-      select conv_id, turn, "language", position from (
+      select conv_id, turn, "language", position, reference from (
         select *, row_number() over (partition by "language" order by conv_id, turn) - 1 as position from strict_pairs)
       where position % 100 = 10"""
 
@@ -413,6 +413,9 @@ def oracle_sql() -> dict[str, str]:
         as position from pairs"""
     sql["train_eval_split"] = f"""with {PAIRS}
       select conv_id, turn, "language", case when {_HASH_100} < 80 then 'train' else 'eval' end as split from pairs"""
+    sql["exact_split"] = """select row_id, "language", case when place <= n * 73 // 100 then 'train' else 'eval' end as split
+      from (select doc_id as row_id, lang as "language", count(*) over (partition by lang) as n,
+        row_number() over (partition by lang order by md5('22:' || doc_id), doc_id) as place from documents)"""
     sql["language_summary"] = f"""select lang as "language", count(*) as clips,
       sum(len({_words("text")}))::bigint as words, round(sum(n_chars / 15::double), 4) as seconds
       from documents group by lang"""

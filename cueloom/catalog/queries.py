@@ -426,8 +426,8 @@ def nonempty_pairs(spark, sf):
 
 @_query
 def progress_sample(spark, sf):
-    sample = pairs.progress_sample(_strict_pairs(spark, sf).select("language", *_PAIR_KEY), _PAIR_KEY)
-    return sample.select(*_PAIR_KEY, "language", "position")
+    sample = pairs.progress_sample(_strict_pairs(spark, sf), _PAIR_KEY)
+    return sample.select(*_PAIR_KEY, "language", "position", "reference")
 
 
 # Dataset
@@ -444,6 +444,13 @@ def train_eval_split(spark, sf):
     return split.select(*_PAIR_KEY, "language", "split")
 
 
+@_query
+def exact_split(spark, sf):
+    """Exact shares of documents whose languages differ much in size."""
+    rows = t.sentences(spark, sf).select("row_id", "language")
+    return dataset.exact_split(rows, ["row_id"], 73, seed=SHUFFLE_SEED)
+
+
 @_query
 def language_summary(spark, sf):
     rows = t.sentences(spark, sf)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SRT_CLOCK = r"\d{1,6}:\d{1,6}:\d{1,6}[,.]\d{1,6}"
-_VTT_CLOCK = r"(?:\d{1,6}:)?\d{1,6}:\d{1,6}\.\d{1,6}"
+# Any number of digits, as long as the milliseconds fit a long integer.
+_DIGITS = r"0*\d{1,11}"
+_SRT_CLOCK = rf"{_DIGITS}:{_DIGITS}:{_DIGITS}[,.]{_DIGITS}"
+_VTT_CLOCK = rf"(?:{_DIGITS}:)?{_DIGITS}:{_DIGITS}\.{_DIGITS}"
 
 
 def _timing(clock: str) -> str:

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cueloom.functions.python import once
 
-# Each word becomes one code point of five hex digits. Words of only one side
-# share one code per side, as they can match nothing; shared words follow.
-_REFERENCE_ONLY, _HYPOTHESIS_ONLY, _BEFORE_SHARED = 0x10000, 0x10001, 0x10001
-
 EDIT_COUNTS_TYPE = T.StructType(
     [T.StructField(name, T.LongType()) for name in ("edits", "substitutions", "deletions", "insertions", "hits")]
 )
@@ -35,48 +30,71 @@ _SHORT_WORDS = 1 << _SHORT_BITS
 _STEP_CELLS = 1 << 15
 _LONE_PAIR_CELLS = 1 << 20
 
-# Shared words that one character each can stand for.
-_MOST_SHARED = 980_000
+# Words of a side up to which a pair is aligned by bit sets of that size.
+_BIT_WORDS = 1 << 12
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _distance(left: list[int], right: list[int]) -> int:
+    """Fewest edits between two code lists: a whole row of the alignment table in a few operations on big integers.
 
+    A row is kept as two bit sets, the places where the cost rises and where it
+    falls by one against the place before (Myers; Hyyro for whole strings).
+    """
+    if len(left) < len(right):
+        left, right = right, left
+    start, end = 0, len(right)
+    while start < end and left[start] == right[start]:
+        start += 1
+    shift = len(left) - end
+    while end > start and left[end - 1 + shift] == right[end - 1]:
+        end -= 1
+    left, right = left[start : end + shift], right[start:end]
+    if not right:
+        return len(left)
+    there: dict[int, int] = dict.fromkeys(right, 0)
+    for i, code in enumerate(left):
+        if code in there:
+            there[code] |= 1 << i
+    every, last, cost = (1 << len(left)) - 1, 1 << (len(left) - 1), len(left)
+    rises, falls = every, 0
+    for code in right:
+        equal = there[code]
+        vertical = equal | falls
+        horizontal = (((equal & rises) + rises) ^ rises) | equal
+        up = (falls | ~(horizontal | rises)) & every
+        down = rises & horizontal
+        cost += 1 if up & last else -1 if down & last else 0
+        up, down = (up << 1) | 1, down << 1
+        rises = (down | ~(vertical | up)) & every
+        falls = up & vertical & every
+    return cost
 
-def _as_text(words: Column, shared: Column, lone_code: int) -> Column:
-    """One character per word, equal characters for equal shared words."""
-
-    def code(word: Column) -> Column:
-        position = F.array_position(shared, word)
-        point = F.when(position > 0, position + _BEFORE_SHARED).otherwise(F.lit(lone_code).cast("long"))
-        return F.concat(F.lit("000"), F.hex(point))
 
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
+@once
+@F.arrow_udf(T.LongType())
+def _edit_distance(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
+    codes, ref_at, hyp_at = _coded(reference, hypothesis)
+    ref, hyp = codes[: ref_at[-1]], codes[ref_at[-1] :]
+    ref_list, hyp_list = ref.tolist(), hyp.tolist()
+    found = []
+    for i, null in enumerate(pc.or_(reference.is_null(), hypothesis.is_null()).to_pylist()):
+        a, b, c, d = ref_at[i], ref_at[i + 1], hyp_at[i], hyp_at[i + 1]
+        if null:
+            found.append(None)
+        elif max(b - a, d - c) <= _BIT_WORDS:
+            found.append(_distance(ref_list[a:b], hyp_list[c:d]))
+        else:
+            found.append(_banded_cost(ref[a:b], hyp[c:d]) >> _BITS)
+    return pa.array(found, pa.int64())
 
 
 def edit_distance(reference: Column, hypothesis: Column) -> Column:
-    """Fewest word edits between two word arrays, without leaving the JVM.
+    """Fewest word edits between two word arrays of any length; null if either is null.
 
-    Words are recoded as characters so that the built-in ``levenshtein`` counts
-    words. Characters run out beyond 980,000 distinct shared words; such a pair
-    raises, and ``edit_counts`` aligns it. For bulk
-    scoring ``edit_counts`` costs less: it aligns pairs together and bands long ones.
+    Words become numbers, and pairs of up to _BIT_WORDS words a side are aligned
+    by operations on bit sets, longer ones in a widening band.
     """
-    return _let(
-        F.struct(reference.alias("r"), hypothesis.alias("h")),
-        lambda pair: _let(
-            F.array_intersect(pair["r"], pair["h"]),
-            lambda shared: F.when(
-                F.size(shared) >= _MOST_SHARED, F.raise_error(F.lit("too many shared words; use edit_counts"))
-            ).otherwise(
-                F.levenshtein(
-                    _as_text(pair["r"], shared, _REFERENCE_ONLY),
-                    _as_text(pair["h"], shared, _HYPOTHESIS_ONLY),
-                ).cast("long")
-            ),
-        ),
-    )
+    return _edit_distance(reference, hypothesis)
 
 
 def _padded_costs(ref: np.ndarray, hyp: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -166,13 +184,19 @@ def _padded(values: np.ndarray, offsets: np.ndarray, block: np.ndarray, filler:
     return out
 
 
-@once
-@F.arrow_udf(EDIT_COUNTS_TYPE)
-def _edit_counts(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
+def _coded(reference: pa.Array, hypothesis: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers for the words of both sides, one after the other, and the list offsets of each."""
     words = pa.concat_arrays([reference.flatten(), hypothesis.flatten()]).dictionary_encode()
     codes = words.indices.to_numpy(zero_copy_only=False)
     sizes = [np.asarray(side.value_lengths().fill_null(0)) for side in (reference, hypothesis)]
     ref_at, hyp_at = (np.concatenate(([0], np.cumsum(s))).astype(np.int64) for s in sizes)
+    return codes, ref_at, hyp_at
+
+
+@once
+@F.arrow_udf(EDIT_COUNTS_TYPE)
+def _edit_counts(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
+    codes, ref_at, hyp_at = _coded(reference, hypothesis)
     cost = _pair_costs(codes[: ref_at[-1]], ref_at, codes[ref_at[-1] :], hyp_at)
     n, m = np.diff(ref_at), np.diff(hyp_at)
     edits, deletions = cost >> _BITS, cost & (_EDIT - 1)

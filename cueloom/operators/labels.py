@@ -22,26 +22,61 @@ from cueloom.constants import (
     UNKNOWN_ID,
 )
 from cueloom.functions.python import once
-from cueloom.operators.ordering import seeded_shuffle
+from cueloom.operators.ordering import seeded_shuffle, with_position
+from cueloom.runtime import checkpointed
 
 # A vocabulary is shipped to every Python worker, so its size is bounded.
 MAX_VOCABULARY = 1_000_000
 
 
+def _count_bin() -> Column:
+    """Sixteen bins to each doubling of a count; small counts have one each."""
+    return F.floor(F.log2("n") * 16).cast("int")
+
+
+def _cut_off(counts: DataFrame, size: int) -> tuple[int, int] | None:
+    """The least count among the ``size`` most frequent words, and how many of that count belong to them.
+
+    None if all words do. A histogram of counts by bins, of at most a thousand
+    rows, says in which bin the cut lies; the counts in that bin are then told
+    apart, of which there are no more than it has words.
+    """
+    bins = counts.groupBy(_count_bin().alias("bin")).agg(F.count("*").alias("words"))
+    left = size
+    for row in sorted(bins.collect(), key=lambda r: -r["bin"]):
+        if left < row["words"]:
+            break
+        left -= row["words"]
+    else:
+        return None
+    exact = counts.where(_count_bin() == row["bin"]).groupBy("n").agg(F.count("*").alias("words"))
+    running = F.sum("words").over(Window.orderBy(F.desc("n")))
+    least = exact.withColumn("upto", running).where(F.col("upto") > left).orderBy(F.desc("n")).first()
+    return least["n"], left - (least["upto"] - least["words"])
+
+
 def build_vocab(rows: DataFrame, words: Column, size: int) -> DataFrame:
     """``(word, n, id)`` of the ``size`` most frequent words.
 
-    Ids rise from ``FIRST_WORD_ID`` by falling count, then by word. Counting is
-    partial before the shuffle, and only the ``size`` kept words are ranked in
-    one place. Checkpoint or save the result if it is used more than once, or
-    each use counts the corpus again.
+    Ids rise from ``FIRST_WORD_ID`` by falling count, then by word. Words are
+    counted once, and the counts checkpointed. A histogram of counts gives the
+    count at which the list ends, so only words beyond it, fewer than ``size``,
+    are ranked in one place. Those of just that count, which may be most of all
+    words, are numbered by ranges of words, and the first ones fill the list.
+    Checkpoint or save the result if it is used more than once.
     """
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"vocabulary size must be in 1..{MAX_VOCABULARY}")
-    by_rank = [F.desc("n"), F.asc("word")]
     counts = rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.orderBy(*by_rank).limit(size)
-    rank = F.row_number().over(Window.orderBy(*by_rank))
+    top = counts = checkpointed(counts)
+    cut = _cut_off(counts, size)
+    if cut:
+        least, missing = cut
+        top = counts.where(F.col("n") > least)
+        if missing:
+            ties = with_position(counts.where(F.col("n") == least), ["word"], "n").where(F.col("position") < missing)
+            top = top.union(ties.select("word", "n"))
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc("word")))
     return top.select("word", "n", (rank + (FIRST_WORD_ID - 1)).cast("long").alias("id"))
 
 
@@ -53,19 +88,35 @@ def _collected_words(vocab: DataFrame) -> pa.Array:
     return words
 
 
+class _WordIds:
+    """Place of each word of a vocabulary; the table is built once in the life of a worker."""
+
+    def __init__(self, words: pa.Array):
+        self.words, self._places = words, None
+
+    def places(self, words: list[str | None]) -> np.ndarray:
+        """Place of each word, -1 for others."""
+        if self._places is None:
+            self._places = {word: i for i, word in enumerate(self.words.to_pylist())}
+        return np.fromiter((self._places.get(word, -1) for word in words), np.int64, len(words))
+
+
 def word_encoder(vocab: DataFrame) -> Callable[[Column], Column]:
     """Column function from words to label ids.
 
-    One hash lookup per word on Arrow buffers, with no shuffle. The alternative,
+    One lookup per distinct word of a batch, with no shuffle. The alternative,
     exploding, joining and regrouping, would shuffle every word of the corpus.
     """
-    shared = vocab.sparkSession.sparkContext.broadcast(_collected_words(vocab))
+    shared = vocab.sparkSession.sparkContext.broadcast(_WordIds(_collected_words(vocab)))
 
     @once
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(words: pa.Array) -> pa.Array:
-        found = pc.index_in(words.flatten(), value_set=shared.value)
-        ids = pc.fill_null(pc.add(found, FIRST_WORD_ID), UNKNOWN_ID).cast(pa.int32())
+        coded = words.flatten().dictionary_encode()
+        place = shared.value.places(coded.dictionary.to_pylist())
+        known = np.append(np.where(place >= 0, place + FIRST_WORD_ID, UNKNOWN_ID), UNKNOWN_ID).astype(np.int32)
+        # A null word is unknown: it takes the entry after the last.
+        ids = pa.array(known[coded.indices.fill_null(len(place)).to_numpy(zero_copy_only=False)])
         sizes = pc.fill_null(pc.list_value_length(words), 0)
         offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), ids)

@@ -10,8 +10,9 @@ from cueloom.runtime import checkpointed
 # Row ids hold the partition in the high bits and the row's place in the rest.
 _PLACE_BITS = 33
 
-_HASH_HEX = 4
-_HASH_BUCKETS = 16**_HASH_HEX
+#: Hex digits of a hash that make a bucket.
+HASH_DIGITS = 4
+_HASH_BUCKETS = 16**HASH_DIGITS
 
 
 def _running(total: str, order: list[str], by: list[str] = ()) -> Column:
@@ -57,7 +58,7 @@ def seeded_shuffle(df: DataFrame, key: list[str], seed: int) -> DataFrame:
     even buckets whatever the data looks like; the running total over that fixed
     number of buckets gives each its start, and ranking happens inside buckets.
     """
-    hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn("_bucket", F.left("_hash", F.lit(_HASH_HEX)))
+    hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn("_bucket", F.left("_hash", F.lit(HASH_DIGITS)))
     sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     starts = sizes.select("_bucket", _running("_n", ["_bucket"]).alias("_start"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *key)) - 1

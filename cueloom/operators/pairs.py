@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +87,16 @@ def nonempty_pairs(
 
 
 def progress_sample(scored: DataFrame, order: list[str], by: str = "language") -> DataFrame:
-    """Rows to report while scoring: positions 10, 110, 210, … of each language."""
-    numbered = with_position(scored, order, by)
-    return numbered.where(F.col("position") % PROGRESS_EVERY == PROGRESS_OFFSET)
+    """Rows to report while scoring: positions 10, 110, 210, … of each language.
+
+    ``order`` must identify a row within its language. Only the columns of the
+    order are sorted and numbered; whole rows are then fetched for the one in a
+    hundred that is reported.
+    """
+    numbered = with_position(scored.select(by, *order), order, by)
+    chosen = numbered.where(F.col("position") % PROGRESS_EVERY == PROGRESS_OFFSET)
+    if set(scored.columns) == {by, *order}:
+        return chosen.select(*scored.columns, "position")
+    named = chosen.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate([by, *order])], "position")
+    same = [scored[c].eqNullSafe(named[f"_{i}"]) for i, c in enumerate([by, *order])]
+    return scored.join(named, reduce(lambda a, b: a & b, same)).select(*scored.columns, "position")

@@ -396,6 +396,13 @@ def oracle_sql() -> dict[str, str]:
       case role when 'user' then 1 else 0 end::bigint as blocks from conversations"""
     sql["stream_new_cues"] = f"with {CUE_LINES} select concat('conv_', conv_id, '_', turn, '_', cue_no) as clip_id, start_ms::bigint as start_ms, text from mixed"
 
+    sql["stream_file_status"] = """select concat('conv_', conv_id, '_', turn,
+        case role when 'user' then '.srt' when 'assistant' then '.vtt' else '.txt' end) as file,
+      case role when 'user' then 'bad_blocks' when 'assistant' then 'parsed' else 'unsupported' end as status,
+      case role when 'user' then 1 else 0 end::bigint as blocks,
+      case when role in ('user', 'assistant') then len(string_split(text, chr(10))) else 0 end::bigint as cues
+      from conversations"""
+
     # Signals
     sql["mixdown_mono"] = f"with {FRAMES} select audio_id, frame_no, {_fixed(_MIXED_DOWN)} as samples from frames"
     sql["clip_duration"] = f"""with {FRAMES}
@@ -428,6 +435,11 @@ def oracle_sql() -> dict[str, str]:
       from (select row_id, pos, v.word from spread s join vocab v using (id)) right join doc_words using (row_id)
       group by row_id"""
     sql["assign_batches"] = f"with {BATCHES} select row_id, batch_id, row_in_batch from batches"
+    sql["batches_by_split"] = f"""with {PAIRS},
+      split as (select conv_id, turn, case when {_HASH_100} < 80 then 'train' else 'eval' end as split from pairs),
+      placed as (select *, row_number() over
+        (partition by split order by md5(concat('22:', conv_id, ':', turn)), conv_id, turn) - 1 as place from split)
+      select conv_id, turn, split, place // {BATCH} as batch_id, place % {BATCH} as row_in_batch from placed"""
     sql["pad_batches"] = f"with {BATCHES} select row_id, batch_id, row_in_batch, {_JOINED} from padded"
     sql["strip_bos"] = f"""with {BATCHES}
       select row_id, batch_id, row_in_batch, array_to_string(labels[2:], ',') as labels from padded"""

@@ -371,15 +371,26 @@ def skip_done_clips(spark, sf):
     return cues.skip_done_clips(found, done, [*_PAIR_KEY, "cue_no"]).drop("path")
 
 
-@_query
-def stream_new_cues(spark, sf):
-    """Two runs over a growing folder: the second parses only the new file set."""
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Subtitle files on disk, in two parts; the second run reads only the new files, a third finds none."""
     root = scratch_path(spark, "stream")
-    files = t.subtitle_files(spark, sf).select("path", "body")
-    for ending in (".srt", ".vtt"):
-        files.where(F.col("path").endswith(ending)).write.mode("append").parquet(f"{root}/in")
+    files = t.subtitle_files(spark, sf)
+    for part in (0, 1, None):
+        if part is not None:
+            t.write_files(files.where(F.col("turn") % 2 == part), f"{root}/in")
         incremental.append_new_cues(spark, f"{root}/in", f"{root}/out", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("clip_id", "start_ms", "text")
+    return spark.read.parquet(f"{root}/out")
+
+
+@_query
+def stream_new_cues(spark, sf):
+    return _streamed(spark, sf).where("cue_no is not null").select("clip_id", "start_ms", "text")
+
+
+@_query
+def stream_file_status(spark, sf):
+    status = incremental.file_status(_streamed(spark, sf))
+    return status.select(paths.path_basename(F.col("path")).alias("file"), "status", "blocks", "cues")
 
 
 # Signals
@@ -514,6 +525,13 @@ def assign_batches(spark, sf):
     return _batches(spark, sf).select("row_id", "batch_id", "row_in_batch")
 
 
+@_query
+def batches_by_split(spark, sf):
+    """Train and eval rows shuffled and batched apart."""
+    split = dataset.train_eval_split(t.pairs(spark, sf), _PAIR_KEY, 80).select(*_PAIR_KEY, "split")
+    return labels.assign_batches(split, _PAIR_KEY, by=["split"])
+
+
 @_query
 def pad_batches(spark, sf):
     padded = labels.pad_batches(_batches(spark, sf))

@@ -140,6 +140,25 @@ def subtitle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _subtitles(spark, sf_dir, extension, body)
 
 
+def write_files(files: DataFrame, root: str) -> None:
+    """Write each ``(path, body)`` as a file of that name below ``root``; every task writes its own rows."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.fs as fs
+
+        store, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        for batch in batches:
+            for path, body in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                target = f"{base}/{path}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(target) as out:
+                    out.write(body.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    files.select("path", "body").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 one-second frames at 64 Hz per recording; even rows are mono, odd ones stereo."""
     return table(spark, sf_dir, "embeddings").selectExpr(

@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cueloom.functions.python import once
 
-def mixdown(samples: Column, channels: Column) -> Column:
-    """Interleaved channels averaged to one; a mono frame is passed through."""
-    steps = F.floor(F.size(samples) / channels).cast("int")
-    mixed = F.transform(
-        F.sequence(F.lit(0), F.greatest(steps - 1, F.lit(0))),
-        lambda i: (
-            F.aggregate(
-                F.slice(samples, i * channels + 1, channels),
-                F.lit(0.0),
-                lambda total, x: total + x.cast("double"),
-            )
-            / channels
-        ).cast("float"),
+
+@once
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def _averaged(samples: pa.Array, channels: pa.Array) -> pa.Array:
+    """Interleaved channels averaged, all frames of a batch together by their number of channels."""
+    counts = np.maximum(np.asarray(channels.fill_null(1)), 1)
+    sizes = np.asarray(samples.value_lengths().fill_null(0))
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    flat = samples.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    steps = sizes // counts
+    offsets = np.concatenate(([0], np.cumsum(steps)))
+    out = np.empty(offsets[-1], np.float32)
+    for count in np.unique(counts):
+        rows = np.flatnonzero((counts == count) & (steps > 0))
+        total = steps[rows]
+        # Place of each averaged sample within its frame.
+        inside = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
+        first = np.repeat(starts[rows], total) + inside * count
+        sums = flat[first]
+        for channel in range(1, count):
+            sums = sums + flat[first + channel]
+        out[np.repeat(offsets[rows], total) + inside] = sums / count
+    null = samples.is_null().to_numpy(zero_copy_only=False)
+    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out))
+    return lists if not null.any() else pa.ListArray.from_arrays(
+        pa.array(offsets.astype(np.int32), mask=np.append(null, False)), pa.array(out)
     )
-    return F.when(channels == 1, samples).when(steps > 0, mixed).otherwise(F.slice(samples, 1, 0))
+
+
+def mixdown(samples: Column, channels: Column) -> Column:
+    """Interleaved channels averaged to one; an incomplete last group is cut. A mono frame keeps its samples."""
+    return _averaged(samples, channels)

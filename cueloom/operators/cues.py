@@ -34,6 +34,22 @@ def _by_kind(kind: Column, pick) -> Column:
     return F.when(kind == "vtt", pick("vtt")).otherwise(pick("srt"))
 
 
+def _cue_columns(kind: Column, block: Column) -> list[Column]:
+    """Number, times and text of a block at place ``_at``."""
+    text = _by_kind(
+        kind,
+        lambda k: strip_tags(cue_text(block, _TIMING[k])) if k == "vtt" else cue_text(block, _TIMING[k]),
+    )
+    return [
+        (F.col("_at") + 1).cast("long").alias("cue_no"),
+        *[
+            clock_ms(_by_kind(kind, lambda k, i=i: cue_clocks(block, _TIMING[k])[i])).alias(name)
+            for i, name in enumerate(("start_ms", "end_ms"))
+        ],
+        text.alias("text"),
+    ]
+
+
 def parse_cues(files: DataFrame, kind: Column, body: str = "body") -> DataFrame:
     """Cues of every file in one pass: ``cue_no`` from 1, times in ms, ``text``.
 
@@ -46,20 +62,7 @@ def parse_cues(files: DataFrame, kind: Column, body: str = "body") -> DataFrame:
         kind.alias("_kind"),
         F.posexplode(_by_kind(kind, lambda k: _kind_blocks(body, k))).alias("_at", "_block"),
     )
-    block, is_kind = F.col("_block"), F.col("_kind")
-    text = _by_kind(
-        is_kind,
-        lambda k: strip_tags(cue_text(block, _TIMING[k])) if k == "vtt" else cue_text(block, _TIMING[k]),
-    )
-    return blocks.select(
-        *keep,
-        (F.col("_at") + 1).cast("long").alias("cue_no"),
-        *[
-            clock_ms(_by_kind(is_kind, lambda k, i=i: cue_clocks(block, _TIMING[k])[i])).alias(name)
-            for i, name in enumerate(("start_ms", "end_ms"))
-        ],
-        text.alias("text"),
-    )
+    return blocks.select(*keep, *_cue_columns(F.col("_kind"), F.col("_block")))
 
 
 def srt_cues(files: DataFrame, body: str = "body") -> DataFrame:
@@ -78,12 +81,8 @@ def all_cues(files: DataFrame, path: str = "path", body: str = "body") -> DataFr
     return parse_cues(files.where(kind != "unsupported"), kind, body)
 
 
-def rejected_blocks(files: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
-    """``(…, status, blocks)`` per file: blocks that are no cue, unsupported files.
-
-    A bad block never costs the file its other cues.
-    """
-    kind = transcript_kind(F.col(path))
+def _file_status(kind: Column, body: str) -> tuple[Column, Column]:
+    """Status of a file and how many of its blocks are no cue."""
     plain = subtitle_blocks(F.col(body))
     srt_bad = F.size(F.filter(plain, lambda b: ~is_cue(b, SRT_TIMING)))
     vtt_bad = F.size(
@@ -92,10 +91,46 @@ def rejected_blocks(files: DataFrame, path: str = "path", body: str = "body") ->
         )
     )
     bad = F.when(kind == "srt", srt_bad).when(kind == "vtt", vtt_bad).otherwise(0).cast("long")
+    status = F.when(kind == "unsupported", "unsupported").when(bad > 0, "bad_blocks").otherwise("parsed")
+    return status, bad
+
+
+def rejected_blocks(files: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
+    """``(…, status, blocks)`` per file: blocks that are no cue, unsupported files.
+
+    A bad block never costs the file its other cues.
+    """
+    status, bad = _file_status(transcript_kind(F.col(path)), body)
+    return files.withColumn("status", status).withColumn("blocks", bad).drop(body)
+
+
+def cues_and_status(files: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
+    """Cues of a mixed set of files with each file's ``status`` and ``blocks``, in one pass.
+
+    A file that gives no cue has one row with null cue columns and says why:
+    ``unsupported``, ``unreadable`` (no body), ``no_cue``. Others are ``parsed``, or
+    ``bad_blocks`` with the number of blocks left out.
+    """
+    keep = [c for c in files.columns if c != body]
+    kind = transcript_kind(F.col(path))
+    status, bad = _file_status(kind, body)
+    found = F.when(kind != "unsupported", _by_kind(kind, lambda k: _kind_blocks(body, k)))
     status = (
-        F.when(kind == "unsupported", "unsupported").when(bad > 0, "bad_blocks").otherwise("parsed")
+        F.when(kind == "unsupported", "unsupported")
+        .when(F.col(body).isNull(), "unreadable")
+        .when(F.size(found) == 0, "no_cue")
+        .otherwise(status)
     )
-    return files.withColumn("status", status).withColumn("blocks", bad).drop(body)
+    blocks = files.select(
+        *keep,
+        kind.alias("_kind"),
+        status.alias("status"),
+        F.coalesce(bad, F.lit(0).cast("long")).alias("blocks"),
+        F.posexplode_outer(found).alias("_at", "_block"),
+    )
+    parsed = blocks.select(*keep, "status", "blocks", "_at", *_cue_columns(F.col("_kind"), F.col("_block")))
+    there = [F.when(F.col("_at").isNotNull(), F.col(c)).alias(c) for c in ("cue_no", "start_ms", "end_ms", "text")]
+    return parsed.select(*keep, "status", "blocks", *there)
 
 
 def clip_ids(cues: DataFrame, path: str = "path") -> DataFrame:

@@ -167,33 +167,37 @@ def decode_labels(rows: DataFrame, vocab: DataFrame, labels: str = "labels", int
 
 
 def assign_batches(
-    rows: DataFrame, key: list[str], size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED
+    rows: DataFrame, key: list[str], size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED, by: list[str] = ()
 ) -> DataFrame:
-    """Shuffle rows and add ``batch_id`` and ``row_in_batch``; only the last batch may be short."""
+    """Shuffle rows and add ``batch_id`` and ``row_in_batch``; only the last batch may be short.
+
+    ``by``, such as ``["split"]``, names groups that are shuffled and batched apart,
+    each from batch 0.
+    """
     return (
-        seeded_shuffle(rows, key, seed)
+        seeded_shuffle(rows, key, seed, by)
         .withColumn("batch_id", F.expr(f"position div {size}"))
         .withColumn("row_in_batch", F.col("position") % size)
         .drop("position")
     )
 
 
-def _over_batch(value: Column) -> Column:
-    return value.over(Window.partitionBy("batch_id"))
+def _over_batch(value: Column, by: list[str]) -> Column:
+    return value.over(Window.partitionBy(*by, "batch_id"))
 
 
-def pad_batches(rows: DataFrame, filler: int = IGNORED_LABEL) -> DataFrame:
+def pad_batches(rows: DataFrame, filler: int = IGNORED_LABEL, by: list[str] = ()) -> DataFrame:
     """Labels padded to the longest of their batch."""
-    missing = _over_batch(F.max(F.size("labels"))) - F.size("labels")
+    missing = _over_batch(F.max(F.size("labels")), by) - F.size("labels")
     return rows.withColumn("labels", F.concat("labels", F.array_repeat(F.lit(filler), missing)))
 
 
-def strip_bos(rows: DataFrame, bos: int = BOS_ID) -> DataFrame:
+def strip_bos(rows: DataFrame, bos: int = BOS_ID, by: list[str] = ()) -> DataFrame:
     """Drop the first label of a batch if every row of it begins with ``bos``."""
     begins = F.coalesce(F.get("labels", F.lit(0)) == bos, F.lit(False))
     rest = F.slice("labels", F.lit(2), F.size("labels"))
     return (
-        rows.withColumn("_all", _over_batch(F.bool_and(begins)))
+        rows.withColumn("_all", _over_batch(F.bool_and(begins), by))
         .withColumn("labels", F.when(F.col("_all"), rest).otherwise(F.col("labels")))
         .drop("_all")
     )

@@ -50,20 +50,29 @@ def hash_order(key: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *[F.col(c).cast("string") for c in key]))
 
 
-def seeded_shuffle(df: DataFrame, key: list[str], seed: int) -> DataFrame:
-    """Add ``position``: each row's place in a seeded permutation of all rows.
+def seeded_shuffle(df: DataFrame, key: list[str], seed: int, by: list[str] = ()) -> DataFrame:
+    """Add ``position``: each row's place in a seeded permutation of all rows, or of all rows of its ``by`` group.
 
     ``key`` must identify a row. The order is by a hash of seed and key, so it is
-    the same for every partitioning and rerun. Equal hash prefixes form 65,536
-    even buckets whatever the data looks like; the running total over that fixed
-    number of buckets gives each its start, and ranking happens inside buckets.
+    the same for every partitioning and rerun. Rows are checkpointed, so that
+    costly columns are computed once. Equal hash prefixes form 65,536 even buckets
+    whatever the data looks like; the running total over that number of buckets
+    gives each its start, and ranking happens inside buckets.
     """
+    by = list(by)
     hashed = df.withColumn("_hash", hash_order(key, seed)).withColumn("_bucket", F.left("_hash", F.lit(HASH_DIGITS)))
-    sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    starts = sizes.select("_bucket", _running("_n", ["_bucket"]).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *key)) - 1
-    return (
-        hashed.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_bucket")  # at most _HASH_BUCKETS rows
-        .select(*df.columns, (F.col("_start") + F.col("_rank")).cast("long").alias("position"))
+    hashed = checkpointed(hashed)
+    sizes = hashed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
+    starts = sizes.select(
+        *[F.col(c).alias(f"_of{i}") for i, c in enumerate(by)],
+        F.col("_bucket").alias("_start_of"),
+        _running("_n", ["_bucket"], by).alias("_start"),
     )
+    rank = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_hash", *key)) - 1
+    same = F.col("_bucket") == F.col("_start_of")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"_of{i}"))
+    # At most 65,536 rows without groups; with them the join is Spark's own choice.
+    starts = starts if by else F.broadcast(starts)
+    joined = hashed.withColumn("_rank", rank).join(starts, same)
+    return joined.select(*df.columns, (F.col("_start") + F.col("_rank")).cast("long").alias("position"))

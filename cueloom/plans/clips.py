@@ -23,15 +23,19 @@ def manifest_cues(
     """Named cues of every manifest row whose files exist, less the clips in ``done``.
 
     ``audio`` is a listing, ``transcripts`` has ``(path, body)``. A cue's
-    ``audio_id`` is the audio file's name. Repeated manifest rows count once.
+    ``audio_id`` is the audio file's name. Repeated manifest rows count once. Of
+    several transcripts of one name in different folders the one of the smallest
+    path is meant, as everywhere that a manifest names a file.
     """
     ready = both_files_exist(manifest_complete(manifest), audio, transcripts).select(
         "language",
         manifest_audio_name(F.col("media_file")).alias("audio_id"),
         "transcript_file",
     ).distinct()
-    bodies = transcripts.select(path_basename(F.col("path")).alias("transcript_file"), "body")
-    cues = all_cues(ready.join(bodies, "transcript_file"), path="transcript_file")
+    named = transcripts.select(path_basename(F.col("path")).alias("transcript_file"), "path")
+    first = named.groupBy("transcript_file").agg(F.min("path").alias("path"))
+    bodies = transcripts.select("path", "body").join(first, "path")
+    cues = all_cues(ready.join(bodies, "transcript_file").drop("path"), path="transcript_file")
     named = clip_ids(cues, path="audio_id")
     return named if done is None else skip_done_clips(named, done, CLIP_KEY)
 

@@ -27,7 +27,7 @@ def labels_in_range(
 
 
 def training_batches(
-    labels: DataFrame, key: list[str], size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED
+    labels: DataFrame, key: list[str], size: int = BATCH_SIZE, seed: int = SHUFFLE_SEED, by: list[str] = ()
 ) -> DataFrame:
-    """Seeded batches, padded, with the shared begin token cut."""
-    return strip_bos(pad_batches(assign_batches(labels, key, size, seed)))
+    """Seeded batches, padded, with the shared begin token cut; those of each ``by`` group, such as a split, apart."""
+    return strip_bos(pad_batches(assign_batches(labels, key, size, seed, by), by=by), by=by)

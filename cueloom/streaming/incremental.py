@@ -1,32 +1,56 @@
-"""Skip-what-is-done as a file stream: only new subtitle files are parsed."""
+"""Skip-what-is-done as a file stream: only new subtitle files are read and parsed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cueloom.operators.cues import all_cues, clip_ids
+from cueloom.operators.cues import clip_ids, cues_and_status
 
-FILES_SCHEMA = "path string, body string"
+_BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def new_cues(spark: SparkSession, files: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Stream of cues with clip names from a folder of Parquet ``(path, body)`` files."""
-    source = spark.readStream.schema(FILES_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(files)
-    return clip_ids(all_cues(source))
+def new_files(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Stream ``(path, modified, body)`` of the files that appear anywhere below ``root``.
+
+    Files without a byte give no row, as Spark plans no split for them; a listing shows them.
+    """
+    source = (
+        spark.readStream.format("binaryFile")
+        .schema(_BINARY_FILES)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .load(root)
+    )
+    return source.select(
+        "path", F.col("modificationTime").alias("modified"), F.col("content").cast("string").alias("body")
+    )
 
 
-def append_new_cues(spark: SparkSession, files: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Parse what arrived since the last run, append it to ``out``, and stop.
+def new_cues(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Stream of cues with clip names, and a row with its status for each file that has none."""
+    named = clip_ids(cues_and_status(new_files(spark, root, files_per_trigger)))
+    return named.withColumn("clip_id", F.when(F.col("cue_no").isNotNull(), F.col("clip_id")))
+
+
+def append_new_cues(spark: SparkSession, root: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Parse the files that arrived below ``root`` since the last run, append to ``out``, and stop.
 
     The stream checkpoint plays the part of the existence test: a file is read
-    once, also after a failure, and the file sink commits each batch whole.
+    once, also after a failure, and the file sink commits each batch whole. A file
+    that is written anew under its old name is not read again.
     """
     return (
-        new_cues(spark, files)
+        new_cues(spark, root)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def file_status(cues: DataFrame) -> DataFrame:
+    """``(path, status, blocks, cues)``: one row a file of what ``append_new_cues`` has left."""
+    return cues.groupBy("path", "status", "blocks").agg(F.count("cue_no").alias("cues"))

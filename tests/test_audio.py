@@ -152,3 +152,10 @@ def test_blocks_of_frames_carry_on(spark, monkeypatch):
     _, frames = placed_frames(spark, 1, sizes, skip=(5, 13, 14))
     placed = {r.frame_no: r.first_sample for r in audio.place_frames(frames.repartition(3)).collect()}
     assert placed == {k: sum(sizes[:k]) for k in range(24) if k not in (5, 13, 14)}
+
+
+def test_mixdown_of_many_channels_nulls_and_odd_sizes(spark):
+    rows = [(i, c, x) for i, (c, x) in enumerate([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 6.0, 9.0]), (3, [1.0, 2.0, 6.0]), (2, [7.0]), (2, []), (2, None), (1, None), (6, [float(k) for k in range(12)])])]
+    frames = spark.createDataFrame(rows, "i int, channels int, samples array<float>")
+    found = {r.i: r.samples for r in audio.mixdown_mono(frames).collect()}
+    assert found == {0: [1.0, 2.0], 1: [1.5, 4.5], 2: [3.0], 3: [], 4: [], 5: None, 6: None, 7: [2.5, 8.5]}

@@ -32,3 +32,10 @@ def test_clips_to_dataset(spark):
     texts = spark.createDataFrame([("en", "t/a b.txt", " one\r\ntwo "), ("fi", "t/a%20b.txt", "x")], "language string, path string, body string")
     got = sorted((r.language, r.audio.path, r.audio.sample_rate, r.sentence) for r in clips.paired_dataset(media, texts).collect())
     assert got == [("en", "m/a%20b.wav", 16000, "one two"), ("fi", "m/a b.wav", 16000, "x")]
+
+
+def test_transcripts_of_one_name_in_two_folders_give_one_cue_each(spark):
+    manifest, audio, texts, _ = inputs(spark)
+    other = spark.createDataFrame([("s/a.srt", "1\n00:00:00,000 --> 00:00:01,000\nother\n")], "path string, body string")
+    cues = clips.manifest_cues(manifest, audio, texts.union(other)).collect()
+    assert [(r.clip_id, r.text) for r in cues] == [("a_1", "other")]

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from cueloom.operators import cues
-from cueloom.streaming.incremental import append_new_cues
+from cueloom.streaming.incremental import append_new_cues, file_status
 
 SRT = (
     "﻿1\r\n00:00:01,000 --> 00:00:02,500\r\nFirst line\r\nsecond <i>line</i>\r\n\r\n"
@@ -74,11 +74,36 @@ def test_done_clips_are_skipped_by_recording(spark):
     assert sorted(r.cue_no for r in left.collect()) == [2, 3, 4]
 
 
-def test_stream_parses_each_file_once(spark, tmp_path):
-    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
-    for path in ("d/a.srt", "d/b.vtt"):
-        files(spark).where(F.col("path") == path).coalesce(1).write.mode("append").parquet(source)
-        append_new_cues(spark, source, out, state).awaitTermination()
-    append_new_cues(spark, source, out, state).awaitTermination()
-    assert spark.read.parquet(out).groupBy("clip_id").count().where("count <> 1").count() == 0
-    assert spark.read.parquet(out).count() == 6
+def test_stream_reads_new_files_and_tells_the_status_of_each(spark, tmp_path):
+    root, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run(files):
+        for name, body in files.items():
+            (root / name).parent.mkdir(parents=True, exist_ok=True)
+            (root / name).write_bytes(body)
+        append_new_cues(spark, str(root), out, state).awaitTermination()
+        rows = file_status(spark.read.parquet(out)).collect()
+        return {r.path.split("/in/")[1]: (r.status, r.blocks, r.cues) for r in rows}
+
+    good = b"1\n00:00:01,000 --> 00:00:02,000\nhi\n"
+    first = run({"a/one.srt": good, "b/one.srt": good + b"\nno cue\n", "empty.vtt": b"\n", "notes.txt": b"x"})
+    assert first == {
+        "a/one.srt": ("parsed", 0, 1),
+        "b/one.srt": ("bad_blocks", 1, 1),
+        "empty.vtt": ("no_cue", 0, 0),
+        "notes.txt": ("unsupported", 0, 0),
+    }
+    assert run({}) == first
+    second = run({"c/two%20.vtt": b"WEBVTT\n\n00:01.000 --> 00:02.500\nhello\n\xff\n"})
+    assert second == first | {"c/two%20.vtt": ("parsed", 0, 1)}
+    rows = {r.clip_id: (r.start_ms, r.end_ms) for r in spark.read.parquet(out).collect()}
+    assert rows == {"one_1": (1000, 2000), "two%20_1": (1000, 2500), None: (None, None)}
+
+
+def test_files_without_cues_keep_a_row(spark):
+    rows = [("a.srt", None), ("b.srt", "junk"), ("c.txt", None), ("d.vtt", "WEBVTT\n")]
+    files = spark.createDataFrame(rows, "path string, body string")
+    found = {r.path: (r.status, r.blocks, r.cue_no) for r in cues.cues_and_status(files).collect()}
+    assert found == {
+        "a.srt": ("unreadable", 0, None), "b.srt": ("no_cue", 1, None), "c.txt": ("unsupported", 0, None), "d.vtt": ("no_cue", 0, None)
+    }

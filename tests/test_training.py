@@ -243,3 +243,34 @@ def test_checkpoints(spark):
 def test_nonempty_is_null_safe(spark):
     rows = spark.createDataFrame([(None, "a"), ("a", "b")], "reference string, hypothesis string")
     assert nonempty_pairs(rows).count() == 1
+
+
+def test_splits_are_batched_apart_and_labels_made_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def costly(n):
+        calls.add(1)
+        return [1] + [5] * (n % 4)
+
+    rows = spark.range(100).selectExpr("id", "if(id % 3 = 0, 'eval', 'train') as split")
+    rows = rows.withColumn("labels", costly.asNondeterministic()(F.col("id").cast("int")))
+    batches = labels.assign_batches(rows, ["id"], size=8, by=["split"])
+    found = batches.collect()
+    assert calls.value == 100
+    for split, n in (("train", 66), ("eval", 34)):
+        places = sorted((r.batch_id, r.row_in_batch) for r in found if r.split == split)
+        assert places == [(i // 8, i % 8) for i in range(n)]
+    padded = labels.pad_batches(batches, by=["split"]).collect()
+    widths = {}
+    for r in padded:
+        widths.setdefault((r.split, r.batch_id), set()).add(len(r.labels))
+    assert all(len(w) == 1 for w in widths.values())
+    assert all(r.labels[0] == 5 or r.labels[0] == -100 for r in labels.strip_bos(labels.pad_batches(batches, by=["split"]), by=["split"]).collect() if r.labels)
+
+
+def test_null_words_are_unknown(spark):
+    vocab = labels.build_vocab(spark.createDataFrame([("a a b",)], "text string"), F.split("text", " "), 5)
+    rows = spark.createDataFrame([(1, ["a", None, "b", "c"]), (2, None), (3, [])], "i int, words array<string>")
+    found = rows.select("i", labels.word_encoder(vocab)(F.col("words")).alias("ids")).collect()
+    assert {r.i: r.ids for r in found} == {1: [4, 3, 5, 3], 2: [], 3: []}

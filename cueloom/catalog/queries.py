@@ -188,8 +188,7 @@ def write_pair_lists(spark, sf):
     back = []
     for language in languages:
         zipped = pairs.zip_lines(
-            lines.read_lines(spark, f"{out}/media_{language}"),
-            lines.read_lines(spark, f"{out}/transcription_{language}"),
+            *(lines.read_lines(spark, lines.list_path(out, name, language)) for name in ("media", "transcription"))
         )
         back.append(zipped.withColumn("language", F.lit(language)))
     return datasets.concat_datasets(*back)

@@ -12,6 +12,7 @@ from cueloom.errors import AlignmentError
 from cueloom.functions.paths import path_basename, path_stem, strip_extension, url_unquote
 from cueloom.functions.text import strip_ws
 from cueloom.operators.ordering import with_position
+from cueloom.runtime import checkpointed
 
 
 def _keyed_media(media: DataFrame, by: list[str]) -> DataFrame:
@@ -51,8 +52,10 @@ def zip_lines(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("medi
     """Line *i* of one list with line *i* of the other.
 
     Lists of different length are refused: every pair after a missing line
-    would be wrong.
+    would be wrong. The numbering of both is checkpointed, as it is read to count
+    and to join.
     """
+    left, right = checkpointed(left), checkpointed(right)
     sizes = [side.agg(F.count("*").alias("n"), F.lit(i).alias("side")) for i, side in enumerate((left, right))]
     counts = {row["side"]: row["n"] for row in sizes[0].union(sizes[1]).collect()}
     if counts[0] != counts[1]:

@@ -45,7 +45,7 @@ def score(pairs: DataFrame, normalise: Normaliser = norm_strict) -> DataFrame:
 
 
 def with_distance(pairs: DataFrame) -> DataFrame:
-    """Add ``ref_words`` and ``edits`` alone, by built-in expressions only."""
+    """Add ``ref_words`` and ``edits`` alone."""
     words = [word_tokens(F.col(c)) for c in ("reference", "hypothesis")]
     return pairs.withColumn("ref_words", F.size(words[0]).cast("long")).withColumn("edits", edit_distance(*words))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -74,11 +75,15 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster that does not have it installed."""
+    """Send this package to the executors of a cluster that does not have it installed.
+
+    The driver serves the archive whenever an executor starts, so it stays until the driver ends.
+    """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        archive = shutil.make_archive(os.path.join(folder, "cueloom"), "zip", root, "cueloom")
-        spark.sparkContext.addPyFile(archive)
+    folder = tempfile.mkdtemp(prefix="cueloom-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(os.path.join(folder, "cueloom"), "zip", root, "cueloom")
+    spark.sparkContext.addPyFile(archive)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -43,18 +43,27 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def write_pair_lists(
     pairs: DataFrame, out: str, languages: list[str], key: list[str], media: str, text: str
 ) -> None:
-    """Write line-aligned lists ``media_<language>`` and ``transcription_<language>``.
+    """Write line-aligned lists ``media/language=<language>`` and ``transcription/language=<language>``.
 
-    Both lists of a language are projections of one checkpointed order, so line
-    *i* of one belongs to line *i* of the other. Line breaks inside a path or text
-    become spaces.
+    Both lists are written from one checkpointed order, task by task, so line *i*
+    of one belongs to line *i* of the other in every language. Two writes make all
+    languages. Line breaks inside a path or text become spaces. Lists of other
+    languages stay.
     """
     ordered = checkpointed(
         pairs.where(F.col("language").isin(languages))
         .select("language", *key, *[fold_newlines(F.col(c)).alias(f"_{i}") for i, c in enumerate((media, text))])
         .orderBy("language", *key)
+        .withColumn("_row", F.monotonically_increasing_id())
     )
-    for language in languages:
-        rows = ordered.where(F.col("language") == language)
-        rows.select(F.col("_0").alias("value")).write.mode("overwrite").text(f"{out}/media_{language}")
-        rows.select(F.col("_1").alias("value")).write.mode("overwrite").text(f"{out}/transcription_{language}")
+    # In the order of the checkpoint, ties included, however a task has to sort.
+    ordered = ordered.sortWithinPartitions("language", "_row")
+    for column, name in (("_0", "media"), ("_1", "transcription")):
+        rows = ordered.select("language", F.coalesce(column, F.lit("")).alias("value"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("language").text(f"{out}/{name}")
+
+
+def list_path(out: str, name: str, language: str) -> str:
+    """Where ``write_pair_lists`` puts the list ``name`` of a language."""
+    return f"{out}/{name}/language={language}"

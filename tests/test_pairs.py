@@ -79,7 +79,7 @@ def test_lists_written_together_stay_aligned(spark, tmp_path):
     )
     lines.write_pair_lists(rows.repartition(11), str(tmp_path), ["0", "1"], ["key"], "media", "text")
     for language in ("0", "1"):
-        media, text = (lines.read_lines(spark, f"{tmp_path}/{kind}_{language}") for kind in ("media", "transcription"))
+        media, text = (lines.read_lines(spark, lines.list_path(tmp_path, kind, language)) for kind in ("media", "transcription"))
         zipped = pairs.zip_lines(media, text)
         assert zipped.count() == 1000
         assert zipped.where("substr(media, 2) <> substr(sentence, 2)").count() == 0
@@ -159,4 +159,4 @@ def test_lines_survive_other_splits(spark, tmp_path):
 def test_pair_lists_fold_line_breaks(spark, tmp_path):
     rows = spark.createDataFrame([("en", 1, "a.wav", "two\nlines"), ("en", 2, "b.wav", "x")], "language string, key int, media string, text string")
     lines.write_pair_lists(rows, str(tmp_path), ["en"], ["key"], "media", "text")
-    assert [r.value for r in lines.read_lines(spark, f"{tmp_path}/transcription_en").orderBy("line_no").collect()] == ["two lines", "x"]
+    assert [r.value for r in lines.read_lines(spark, lines.list_path(tmp_path, "transcription", "en")).orderBy("line_no").collect()] == ["two lines", "x"]

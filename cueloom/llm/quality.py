@@ -30,6 +30,9 @@ LATENT = 48
 NEIGHBOURS = 25
 EVEN = 0.5
 
+# Rows that are widened to single precision at a time.
+_BLOCK = 256
+
 
 def _class_table() -> np.ndarray:
     classes = np.full(256, _OTHER, np.int64)
@@ -105,18 +108,29 @@ def fit_model(weights: np.ndarray, labels: np.ndarray, latent: int = LATENT) ->
     """Latent-semantic space of labelled term vectors: inverse document frequencies, then truncated SVD.
 
     The right singular vectors come from the eigenvectors of the rows' Gram
-    matrix, whose size is the (bounded) number of rows.
+    matrix, whose size is the (bounded) number of rows. Weights may come in half
+    precision; only blocks of rows are ever widened, so that what the driver holds
+    beside them is that matrix and the projection.
     """
     if not len(labels):
         return QualityModel(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, EVEN)
-    present = (weights > 0).sum(axis=0)
-    idf = (np.log((1 + len(labels)) / (1 + present)) + 0.1).astype(np.float32)
-    scaled = weights * idf
-    values, left = np.linalg.eigh((scaled @ scaled.T).astype(np.float64))
+    count, blocks = len(labels), [slice(at, at + _BLOCK) for at in range(0, len(labels), _BLOCK)]
+    present = sum((weights[rows] > 0).sum(axis=0) for rows in blocks)
+    idf = (np.log((1 + count) / (1 + present)) + 0.1).astype(np.float32)
+    gram = np.empty((count, count))
+    for i, rows in enumerate(blocks):
+        scaled = weights[rows] * idf
+        for other in blocks[: i + 1]:
+            gram[rows, other] = scaled @ (weights[other] * idf).T
+            gram[other, rows] = gram[rows, other].T
+    values, left = np.linalg.eigh(gram)
     keep = [i for i in np.argsort(-values)[:latent] if values[i] > 1e-9] or [int(np.argmax(values))]
-    spread = np.sqrt(np.maximum(values[keep], 1e-9))
-    projection = (idf[:, None] * (scaled.T @ (left[:, keep] / spread))).astype(np.float32)
-    return QualityModel(projection, _unit(weights @ projection), labels.astype(np.float32), float(labels.mean()))
+    left = left[:, keep] / np.sqrt(np.maximum(values[keep], 1e-9))
+    del gram
+    projection = sum((weights[rows] * idf).T @ left[rows] for rows in blocks)
+    projection = (idf[:, None] * projection).astype(np.float32)
+    vectors = np.concatenate([_unit(weights[rows].astype(np.float32) @ projection) for rows in blocks])
+    return QualityModel(projection, vectors, labels.astype(np.float32), float(labels.mean()))
 
 
 def _term_rows(docs: DataFrame) -> DataFrame:
@@ -146,10 +160,12 @@ def train_quality(
     chosen = hash_sample(known.select("doc_id", F.col("label").cast("int").alias("label")), rows, "doc_id")
     # The sample holds about `rows` small rows, so it may be broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = {(r["doc_id"], r["label"], bytes(r["terms"])) for r in _term_rows(texts).toLocalIterator()}
-    ordered = sorted(found)
-    weights = np.array([np.frombuffer(r[2], np.float16) for r in ordered], np.float32).reshape(-1, TERMS)
-    return fit_model(weights, np.array([r[1] for r in ordered], np.float32), latent)
+    found = sorted({(r["doc_id"], r["label"], bytes(r["terms"])) for r in _term_rows(texts).toLocalIterator()})
+    known = np.array([r[1] for r in found], np.float32)
+    weights = np.empty((len(found), TERMS), np.float16)
+    for i in range(len(found)):
+        weights[i], found[i] = np.frombuffer(found[i][2], np.float16), None
+    return fit_model(weights, known, latent)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, neighbours: int = NEIGHBOURS) -> DataFrame:

@@ -89,6 +89,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"])).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left, as text; a cut within a character leaves a replacement mark.
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

@@ -7,7 +7,7 @@ from cueloom.llm import queries, sql
 from cueloom.llm.common import table
 from cueloom.llm.decontaminate import drop_contaminated
 
-TABLES = ("documents", "benchmark", "conversations")
+TABLES = ("documents", "benchmark", "conversations", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(sql.oracle_sql()))

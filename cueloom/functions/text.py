@@ -45,7 +45,7 @@ def norm_strict(text: Column) -> Column:
 @once
 @F.arrow_udf(T.StringType())
 def _compose(text: pa.Array) -> pa.Array:
-    """NFKC; rows of plain ASCII are passed on untouched."""
+    """NFKC; nulls and rows of plain ASCII are passed on untouched."""
     odd = pc.fill_null(pc.invert(pc.string_is_ascii(text)), False)
     composed = [unicodedata.normalize("NFKC", t) for t in text.filter(odd).to_pylist()]
     return pc.replace_with_mask(text, odd, pa.array(composed, text.type))
@@ -73,7 +73,9 @@ def norm_basic(text: Column, compose: bool = True, spans=ANNOTATION_SPANS) -> Co
     """
     out = _without_spans(text, spans)
     if compose:
-        out = _compose(out)
+        # Texts of plain ASCII, as many bytes as characters, stay in the JVM; a null crosses in their place.
+        beyond_ascii = F.octet_length(text) != F.length(text)
+        out = F.coalesce(_compose(F.when(beyond_ascii, out)), out)
     # Letters, numbers and control characters stay; the rest separates words.
     out = F.regexp_replace(out, r"[[^\p{L}\p{N}\p{C} ][\t-\r\x1c-\x1f\x85]]", " ")
     return F.trim(F.regexp_replace(F.lower(out), " {2,}", " "))

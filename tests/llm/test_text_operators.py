@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from cueloom.llm.decontaminate import decontaminate, drop_contaminated
-from cueloom.llm.html_extract import RegionWeights, extract_text, main_text, train_region_weights
+from cueloom.llm.html_extract import RegionWeights, best_region, extract_text, main_text, read_page, segment_scores, train_region_weights
 from cueloom.llm.language_id import build_trees, identify_language, train_language_id
 from cueloom.llm.quality import TERMS, fit_model, score_quality, terms, train_quality
 
@@ -181,3 +181,66 @@ def test_html_of_pages(spark, sf_dir):
         assert texts[r["page_id"]].split() == [w for w in words]
     assert train_region_weights(pages.limit(0)) == RegionWeights()
     assert extract_text(pages.limit(0), weights).count() == 0
+    clashing = pages.limit(2).selectExpr("*", "url as text", "0 as n_chars")
+    assert extract_text(clashing, weights).columns == ["page_id", "url", "text", "n_chars"]
+
+
+BODY = "<h1>Head line</h1><p>" + "One two three four five. " * 3 + "</p><p>" + "Six seven eight. " * 4 + "</p>"
+BODY_TEXT = "Head line\n" + " ".join(["One two three four five."] * 3) + "\n" + " ".join(["Six seven eight."] * 4)
+NAMED = [
+    '<article class="post popular">{}</article>',
+    '<article class="post comments-open">{}</article>',
+    '<article id="menu-planning-guide">{}</article>',
+    '<article class="entry notice">{}</article>',
+    '<main><article class="item trending">{}</article></main>',
+    '<article><div class="share-price related">{}</div></article>',
+    '<section class="hidden-gems widget-2">{}</section>',
+    '<form><nav><a href="/">Menu</a></nav><div class="row">{}</div></form>',
+    '<nav><a href="/">unclosed menu</a><article>{}</article>',
+    '<div class="related"><article><p>A teaser of some words</p></article></div><article class="post">{}</article>',
+]
+
+
+def test_names_do_not_empty_an_article(spark, sf_dir):
+    learned = train_region_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    for weights in (learned, RegionWeights()):
+        for page in NAMED:
+            assert main_text(f"<html><body>{page.format(BODY)}</body></html>", weights) == BODY_TEXT, page
+        inside = BODY + '<p class="promo-code-howto">How to use a code</p><blockquote class="reply">Said so</blockquote><aside>Not this</aside>'
+        assert main_text(f"<article>{inside}</article>", weights) == BODY_TEXT + "\nHow to use a code\nSaid so"
+    comments = '<ul class="c-list"><li><b>Joe</b><p>I agree a lot with all of it</p></li><li><b>Al</b><p>Me too, I say</p></li></ul>'
+    assert main_text(f"<html><body>{BODY}{comments}</body></html>", learned) == BODY_TEXT
+
+
+def test_pages_without_marks_lose_menus_and_notices(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    weights = train_region_weights(pages)
+    assert weights.words[(False, False, "a<li")] < -0.9 < 0.9 < weights.words[(False, False, "p<body")]
+    named = RegionWeights()  # what the list alone lets through
+    differing = 0
+    for r in pages.collect():
+        bare = re.sub(r"</?article[^>]*>", "", re.sub(r' (?:class|id|role)="[^"]*"', "", r["html"]))
+        bare = re.sub(r"<(/?)(?:nav|footer|aside|header)(?=[\s>])", r"<\1div", bare)
+        assert main_text(bare, weights) == main_text(r["html"], weights)
+        differing += main_text(bare, named) != main_text(bare, weights)
+    assert differing == pages.count()
+
+
+def test_region_equals_all_ranges():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(0, 12))
+        scores = list(zip(rng.choice([0.0, 0.5, 2.0], n).tolist(), rng.integers(-3, 4, n).astype(float).tolist(), strict=True))
+        value = lambda i, j: sum(s for _, s in scores[i:j]) - sum(c for c, _ in scores[i + 1 : j])  # noqa: E731, B023
+        every = [value(i, j) for i in range(n) for j in range(i + 1, n + 1)]
+        first, last = best_region(scores)
+        assert (value(first, last) if first < last else 0.0) == max([0.0, *every])
+
+
+def test_html_long_pages():
+    weights = RegionWeights()
+    assert main_text("<b>x " * 50_000, weights) == " ".join(["x"] * 50_000)
+    assert main_text("<div class='c'><p>y" * 20_000, weights).count("y") == 20_000
+    assert len(main_text("<article><p>" + "word " * 300_000, weights)) == 1_499_999
+    page = read_page("<p>one two<nav>three</nav>", weights)
+    assert [s for _, s in segment_scores(page, weights)] == [2.0, 0.0]

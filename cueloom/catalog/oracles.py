@@ -324,9 +324,14 @@ def oracle_sql() -> dict[str, str]:
       where position % 100 = 10"""
 
     # Joins
-    sql["exclude_listed"] = f"""with {LISTING},
-      listed as (select 'clip_' || doc_id || case when doc_id % 3 = 0 then '.' else '/' end as text from documents
-        union all select '_' || s_suppkey || 'x.mp3' from supplier)
+    listed = """listed as (select 'clip_' || doc_id || case when doc_id % 3 = 0 then '.' else '/' end as text from documents
+        union all select '_' || s_suppkey || 'x.mp3' from supplier)"""
+    sql["plan_with_list"] = f"""with {RESOLVED}, {FETCHED}, {listed},
+      plan as ({_ACQUIRED})
+      select * replace (case when status in ('present', 'to_fetch') and exists (
+        select 1 from listed where contains(media_path, text) or contains(transcript_path, text)) then 'excluded' else status end as status)
+      from plan"""
+    sql["exclude_listed"] = f"""with {LISTING}, {listed}
       select * from listing where not exists (select 1 from listed where contains(path, text))"""
     sql["resolve_names"] = f"with {RESOLVED} select * from resolved"
     sql["resolve_exact"] = f"""with {MANIFEST}, {LISTING}

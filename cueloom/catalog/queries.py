@@ -280,15 +280,19 @@ def exclude_names(spark, sf):
     return manifest.exclude_names(t.listing(spark, sf), ["path"], ["m.th"], _EXCLUDED_DOMAINS)
 
 
-@_query
-def exclude_listed(spark, sf):
-    """Paths against a long list: parts of other paths, most of which occur in none of these."""
-    paths = t.listing(spark, sf)
+def _listed(spark: SparkSession, sf: str) -> DataFrame:
+    """A long list: parts of paths, most of which occur in none of the listed ones."""
     texts = t.table(spark, sf, "documents").selectExpr(
         "concat('clip_', doc_id, if(doc_id % 3 = 0, '.', '/'))  as text"
     )
     more = t.table(spark, sf, "supplier").selectExpr("concat('_', s_suppkey, 'x', '.mp3') as text")
-    return manifest.exclude_listed(paths, ["path"], texts.union(more))
+    return texts.union(more)
+
+
+@_query
+def exclude_listed(spark, sf):
+    """Paths against a long list."""
+    return manifest.exclude_listed(t.listing(spark, sf), ["path"], _listed(spark, sf))
 
 
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,6 +330,13 @@ def acquisition_plan(spark, sf):
     return _acquisition(spark, sf)
 
 
+@_query
+def plan_with_list(spark, sf):
+    """The plan where a long list excludes, beside the short ones."""
+    rows, listing, present = t.manifest(spark, sf), t.listing(spark, sf), t.fetched(spark, sf)
+    return acquisition.acquisition_plan(rows, listing, present, domains=_EXCLUDED_DOMAINS, excluded_texts=_listed(spark, sf))
+
+
 @_query
 def run_summary(spark, sf):
     cut = acquisition.cutting_plan(t.manifest(spark, sf), t.fetched(spark, sf), t.listing(spark, sf))

@@ -34,6 +34,7 @@ def plan(spark: SparkSession, args: argparse.Namespace) -> None:
         _found(spark, args.present),
         args.exclude_email,
         args.exclude_domain,
+        spark.read.text(args.exclude_list) if args.exclude_list else None,
     )
     rows.write.mode("overwrite").parquet(f"{args.out}/plan")
     run_summary({"acquire": spark.read.parquet(f"{args.out}/plan")}).write.mode("overwrite").parquet(f"{args.out}/summary")
@@ -87,6 +88,7 @@ def parser() -> argparse.ArgumentParser:
         if stage is plan:
             one.add_argument("--exclude-email", action="append", default=[])
             one.add_argument("--exclude-domain", action="append", default=[])
+            one.add_argument("--exclude-list", help="text files with an excluded text on each line, of any number")
         if stage is clips:
             one.add_argument("--resume", action="store_true", help="skip what other batches have cut")
     return top

@@ -11,11 +11,14 @@ from pyspark.sql import types as T
 
 from cueloom.functions.paths import audio_target, manifest_audio_name, path_basename, transcript_kind
 from cueloom.functions.python import once
-from cueloom.runtime import BROADCAST_BYTES, checkpointed, fits_broadcast
+from cueloom.runtime import checkpointed
 
 #: Texts that every worker may hold; names of up to a few dozen characters each.
 MAX_LISTED_TEXTS = 1_000_000
 
+#: Bits of the filter that thins path endings before they are shuffled. Every task holds at most a row for 64 of them.
+FILTER_BITS = 1 << 26
+
 
 def manifest_complete(manifest: DataFrame) -> DataFrame:
     """Rows that name both a media and a transcript file."""
@@ -97,23 +100,23 @@ def contains_listed(rows: DataFrame, column: str, texts: list[str]) -> Column:
     return search(F.col(column))
 
 
-def exclude_listed(
-    rows: DataFrame, columns: list[str], texts: DataFrame, max_texts: int = MAX_LISTED_TEXTS
+def flag_listed(
+    rows: DataFrame, columns: list[str], texts: DataFrame, flag: str, max_texts: int = MAX_LISTED_TEXTS
 ) -> DataFrame:
-    """Drop rows in which any of ``columns`` contains any text of a long list.
+    """Add ``flag``: whether any of ``columns`` contains any text of a long list; a null contains none.
 
-    ``texts`` has one column; nulls in it are ignored, an empty text excludes all
-    rows with a name. Up to ``max_texts`` of them go to every worker and each name
-    is read once. A longer list stays distributed: every name is cut to pieces of
+    ``texts`` has one column; nulls in it are ignored, an empty text stands in
+    every name. Up to ``max_texts`` of them go to every worker and each name is
+    read once. A longer list stays distributed: every name is cut to pieces of
     each length that a text has, which meet the texts by equality; that costs a
     row for each place and length, so it is meant for lists no worker can hold.
     Both ways give what ``contains`` gives, and keep repeated rows.
     """
     listed = _listed_texts(texts)
     held = listed.limit(max_texts + 1).toArrow()["text"].to_pylist()
+    either = lambda hits: reduce(lambda a, b: a | b, hits)
     if len(held) <= max_texts:
-        hit = reduce(lambda a, b: a | b, [F.coalesce(contains_listed(rows, c, held), F.lit(False)) for c in columns])
-        return rows.where(~hit)
+        return rows.withColumn(flag, either([F.coalesce(contains_listed(rows, c, held), F.lit(False)) for c in columns]))
     listed = checkpointed(listed)
     lengths = listed.agg(F.collect_set(F.length("text"))).scalar()
     names = reduce(DataFrame.union, [rows.select(F.col(c).alias("name")) for c in columns])
@@ -126,31 +129,66 @@ def exclude_listed(
         .select("name", F.substring("name", F.col("at"), F.col("size")).alias("text"))
     )
     hits = pieces.distinct().join(listed, "text", "left_semi").select("name").distinct()
-    for column in columns:
-        rows = rows.join(hits.select(F.col("name").alias(column)), column, "left_anti").select(*rows.columns)
-    return rows
+    kept = rows.columns
+    for i, column in enumerate(columns):
+        rows = rows.join(hits.select(F.col("name").alias(column), F.lit(True).alias(f"_hit{i}")), column, "left")
+    found = either([F.coalesce(f"_hit{i}", F.lit(False)) for i in range(len(columns))])
+    return rows.select(*kept, found.alias(flag))
 
 
-def _resolved(names: DataFrame, listing: DataFrame, max_bytes: int) -> DataFrame:
-    """``(name, path)``: the smallest listed path that ends with each name.
+def exclude_listed(
+    rows: DataFrame, columns: list[str], texts: DataFrame, max_texts: int = MAX_LISTED_TEXTS
+) -> DataFrame:
+    """Drop rows in which any of ``columns`` contains any text of a long list, as ``flag_listed`` finds them."""
+    return flag_listed(rows, columns, texts, "_listed", max_texts).where("not _listed").drop("_listed")
+
+
+def _bit_of(name: str, bits: int) -> Column:
+    """The bit of a name in the filter: the same for a name and for the ending of a path that equals it."""
+    return F.pmod(F.xxhash64(name), F.lit(bits))
+
 
-    "Ends with" is turned into equality: each path is cut to its last ``k``
-    characters for every length ``k`` a name has. The lengths are a scalar
-    subquery and never exceed the longest path. While the names fit a broadcast,
-    cuts that match no name die in the scan stage; beyond that the cuts are
-    pre-aggregated before they meet the names, so a suffix that a third of the
-    objects share costs one row per map task.
+def name_filter(names: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``word, mask``: a Bloom filter of ``names`` (name) as a table, 64 bits a row.
+
+    It has at most ``bits / 64`` rows however many names there are; more names
+    only let more of other texts pass.
+    """
+    placed = names.select(_bit_of("name", bits).alias("_bit"))
+    mask = F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))"))
+    return placed.groupBy(F.expr("_bit div 64").alias("word")).agg(mask.alias("mask"))
+
+
+def path_endings(names: DataFrame, listing: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``(path, name)``: endings of listed paths that the filter of ``names`` lets pass; all true ones do.
+
+    Each path is cut to its last ``k`` characters for every length ``k`` a name
+    has. The lengths are a scalar subquery and never exceed the longest path.
+    Endings are tested where the path is read, so what matches no name is not shuffled.
     """
     lengths = names.agg(F.collect_set(F.length("name"))).scalar()
     cuts = (
         listing.select("path", F.explode(lengths).alias("k"))
         .where(F.col("k") <= F.length("path"))
         .select("path", F.right("path", F.col("k")).alias("name"))
+        .withColumn("_bit", _bit_of("name", bits))
+        .withColumn("word", F.expr("_bit div 64"))
     )
-    best = F.min("path").alias("path")
-    if fits_broadcast(names, max_bytes):
-        return cuts.join(F.broadcast(names), "name", "left_semi").groupBy("name").agg(best)
-    return cuts.groupBy("name").agg(best).join(names, "name", "left_semi")
+    shared = F.broadcast(name_filter(names, bits))  # at most bits / 64 rows
+    passed = cuts.join(shared, "word").where("mask & shiftleft(1L, cast(_bit % 64 as int)) != 0")
+    return passed.select("path", "name")
+
+
+def _resolved(names: DataFrame, listing: DataFrame, bits: int) -> DataFrame:
+    """``(name, path)``: the smallest listed path that ends with each name.
+
+    "Ends with" is turned into equality with the endings that pass the filter of
+    names. They are aggregated before they meet the names, so an ending that a
+    third of the objects share costs one row per map task. One plan for lists of
+    any length, and no job before it runs.
+    """
+    endings = path_endings(names, listing, bits)
+    return endings.groupBy("name").agg(F.min("path").alias("path")).join(names, "name", "left_semi")
 
 
 def _looked_up(manifest: DataFrame, best: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -165,16 +203,17 @@ def resolve_names(
     manifest: DataFrame,
     listing: DataFrame,
     columns: dict[str, str],
-    max_bytes: int = BROADCAST_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Add, for each ``{name column: new column}``, the listed path ending with the name.
 
     The smallest such path is taken; without one the new column is null. All
-    columns are resolved in one pass over the listing.
+    columns are resolved in one pass over the listing. ``filter_bits`` bounds what
+    every task holds of the names; the result does not depend on it.
     """
     names = reduce(DataFrame.union, [manifest.select(F.col(c).alias("name")) for c in columns])
     names = names.where("name is not null").distinct()
-    return _looked_up(manifest, _resolved(names, listing, max_bytes), columns)
+    return _looked_up(manifest, _resolved(names, listing, filter_bits), columns)
 
 
 def resolve_exact(manifest: DataFrame, listing: DataFrame, columns: dict[str, str]) -> DataFrame:

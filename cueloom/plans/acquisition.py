@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cueloom.functions.paths import audio_target, manifest_audio_name, media_kind, path_basename, transcript_kind
-from cueloom.operators.manifest import is_excluded, listed_names, resolve_names
+from cueloom.operators.manifest import flag_listed, is_excluded, listed_names, resolve_names
 
 
 def _flagged(rows: DataFrame, names: DataFrame, key: str, flag: str) -> DataFrame:
@@ -23,12 +23,14 @@ def acquisition_plan(
     present: DataFrame,
     emails: list[str] = (),
     domains: list[str] = (),
+    excluded_texts: DataFrame | None = None,
 ) -> DataFrame:
     """One ``status`` per manifest row, with the objects to fetch.
 
     The first that applies: ``incomplete``, ``unresolved``, ``excluded``,
     ``present``, ``to_fetch``. ``present`` looks at the audio alone;
-    ``transcript_present`` tells a lost transcript.
+    ``transcript_present`` tells a lost transcript. ``emails`` and ``domains`` are
+    short lists; ``excluded_texts`` (one column) adds a list of any length.
     """
     resolved = (
         resolve_names(manifest, listing, {"media_file": "media_path", "transcript_file": "transcript_path"})
@@ -40,6 +42,9 @@ def acquisition_plan(
     excluded = is_excluded(F.col("media_path"), emails, domains) | is_excluded(
         F.col("transcript_path"), emails, domains
     )
+    if excluded_texts is not None:
+        flagged = flag_listed(flagged, ["media_path", "transcript_path"], excluded_texts, "_listed")
+        excluded = excluded | F.col("_listed")
     status = (
         F.when(F.col("media_file").isNull() | F.col("transcript_file").isNull(), "incomplete")
         .when(F.col("media_path").isNull() | F.col("transcript_path").isNull(), "unresolved")

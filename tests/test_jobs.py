@@ -24,6 +24,11 @@ def test_stages_chain(spark, tmp_path, monkeypatch):
     plan = {r.media_file: r.status for r in spark.read.parquet(at("plan/plan")).collect()}
     assert plan == {"a.wav": "to_fetch", "gone.wav": "unresolved"}
     assert sum(r.n for r in spark.read.parquet(at("plan/summary")).collect()) == 2
+    (tmp_path / "excluded.txt").write_text("nobody@x.org\nx/a.s\n")
+    listed = {"exclude-list": at("excluded.txt")}
+    run("plan", manifest=at("manifest"), objects=at("listed.parquet"), present=at("present"), out=at("other"), **listed)
+    plan = {r.media_file: r.status for r in spark.read.parquet(at("other/plan")).collect()}
+    assert plan == {"a.wav": "excluded", "gone.wav": "unresolved"}
     for _ in range(2):
         run("cues", subtitles=at("store"), out=at("cues"), state=at("state"))
     assert spark.read.parquet(at("cues")).where("status = 'parsed'").count() == 2

@@ -36,9 +36,9 @@ def table(df, *columns):
     return {r["manifest_id"]: tuple(r[c] for c in columns) for r in df.collect()}
 
 
-@pytest.mark.parametrize("max_bytes", [0, 10**6])
-def test_resolve_by_suffix_on_both_ways(spark, rows, listing, max_bytes):
-    resolved = manifest.resolve_names(rows, listing, COLUMNS, max_bytes)
+@pytest.mark.parametrize("filter_bits", [64, 100, manifest.FILTER_BITS])
+def test_resolve_by_suffix_with_any_filter(spark, rows, listing, filter_bits):
+    resolved = manifest.resolve_names(rows, listing, COLUMNS, filter_bits)
     assert table(resolved, "media_path", "transcript_path") == {
         1: ("x/a.mp4", "x/a.srt"),
         2: ("x/ba.wav", "b.vtt"),
@@ -151,3 +151,39 @@ def test_many_listed_texts_of_one_head_cost_no_more():
     names = [f"in/user{i}@mail.com/user{i}@mail.orx/{i}.wav" for i in range(20_000)]
     assert not any(map(listed.found_in, names))
     assert listed.found_in("x/user99999@mail.org.wav") and listed.found_in(None) is None
+
+
+def test_endings_that_match_nothing_are_not_shuffled(spark):
+    names = spark.range(20_000).selectExpr("concat('rec_', id * 7, '.wav') as name")
+    listing = spark.range(50_000).selectExpr("concat('store/', id % 13, '/rec_', id, '.wav') as path")
+    passed = manifest.path_endings(names, listing)
+    exact = listing.count() // 7 + 1
+    assert exact <= passed.count() <= exact * 1.2  # of some 250,000 endings
+    assert manifest.name_filter(names, 6400).count() == 100
+    spark.sparkContext.setJobGroup("resolving", "")
+    manifest.resolve_names(names.withColumnRenamed("name", "a"), listing, {"a": "path"})
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("resolving")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = passed.select("name").groupBy("name").count()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("max_texts", [0, 10**6])
+def test_flags_of_listed_texts_keep_all_rows(spark, max_texts):
+    rows = spark.createDataFrame([("x/a", None), ("x/a", None), (None, "b/c"), (None, None), ("q", "q")], "a string, b string")
+    texts = spark.createDataFrame([("x/",), ("c",), (None,)], "text string")
+    flagged = manifest.flag_listed(rows, ["a", "b"], texts, "listed", max_texts)
+    assert flagged.columns == ["a", "b", "listed"]
+    assert sorted(map(str, flagged.collect())) == sorted(
+        f"Row(a={a!r}, b={b!r}, listed={hit})"
+        for a, b, hit in [("x/a", None, True), ("x/a", None, True), (None, "b/c", True), (None, None, False), ("q", "q", False)]
+    )
+
+
+def test_plan_with_a_long_exclusion_list(spark, rows, listing):
+    present = spark.createDataFrame([("l/a.wav",)], "path string")
+    texts = spark.createDataFrame([("me@x",), ("nowhere",)], "text string")
+    plan = acquisition_plan(rows, listing, present, excluded_texts=texts)
+    short = acquisition_plan(rows, listing, present, emails=["me@x", "nowhere"])
+    assert plan.columns == short.columns
+    assert sorted(map(str, plan.collect())) == sorted(map(str, short.collect()))

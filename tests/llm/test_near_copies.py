@@ -80,6 +80,11 @@ def test_simhash_groups_equal_brute_force(spark):
     assert sorted((str(r["doc_id"]), r["fp"] % 2**64, r["component_id"]) for r in found) == expected
 
 
+def test_fingerprint_of_a_very_long_text():
+    text = " ".join(f"w{i * i % 5003}" for i in range(60_000))
+    assert fingerprint(text.encode()) == _slow_print(text)
+
+
 def test_one_of_each_group_stays_with_its_columns(spark):
     rows = [(i, t, f"s{i}", 1) for i, t in _variants()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string, _kept int")

@@ -71,6 +71,13 @@ def test_decontaminate_equals_brute_force(spark):
     assert kept.count() == sum(hit == 0 for _, _, hit, _ in found)
 
 
+def test_decontaminate_very_long_texts(spark):
+    text = " ".join(f"w{i % 977}" for i in range(200_000)) + " " + PASSAGE + " end" * 50_000
+    rows = [(1, text), (1, text), (2, text.replace("Word12 ", ""))]
+    found = decontaminate(spark.createDataFrame(rows, DOCS), spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"]) for r in found.collect()) == [(1, 250_025, 25)] * 2 + [(2, 250_024, 24)]
+
+
 def test_decontaminate_of_nothing(spark):
     docs = spark.createDataFrame(TEXTS, DOCS)
     none = spark.createDataFrame([], "item_id long, text string")
@@ -111,6 +118,37 @@ def test_quality_learns_repetition(spark):
     assert score_quality(docs.limit(0), model).count() == 0
 
 
+def _votes(model, text, neighbours=25):
+    """The vote of all labelled vectors that are no further than the last neighbour, one cosine at a time."""
+    own = terms(text) @ model.projection
+    length = float(np.sqrt((own * own).sum()))
+    cosines = [round(float(own @ v) / (length or 1.0), 6) for v in model.vectors]
+    least = sorted(cosines)[max(0, len(cosines) - neighbours)]
+    votes = [(max(c, 0.0) ** 4, label) for c, label in zip(cosines, model.labels, strict=True) if c >= least]
+    total = sum(v for v, _ in votes)
+    return sum(v * label for v, label in votes) / total if total else model.prior
+
+
+def test_quality_equals_votes_of_all_labelled_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr("doc_id", "quality as label")
+    model = train_quality(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    known = {r["doc_id"]: r["label"] for r in labels.collect() if r["label"] is not None and r["doc_id"] in texts}
+    rows = np.array([terms((texts[i] or "").encode()).astype(np.float16).astype(np.float64) for i in sorted(known)])
+    scaled = rows * (np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1)
+    _, values, right = np.linalg.svd(scaled, full_matrices=False)
+    latent = rows @ ((np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1)[:, None] * right[:48].T)
+    latent /= np.linalg.norm(latent, axis=1, keepdims=True)
+    assert values[47] > 1e-3
+    np.testing.assert_allclose(model.vectors @ model.vectors.T, latent @ latent.T, atol=2e-3)
+    long_ = "Words of a very long text. " * 100_000
+    asked = docs.unionByName(spark.createDataFrame([(-1, long_), (-2, ""), (-3, None)], docs.schema))
+    texts |= {-1: long_, -2: "", -3: None}
+    for r in score_quality(asked, model).collect():
+        assert r["score"] == pytest.approx(_votes(model, (texts[r["doc_id"]] or "").encode()), abs=2e-3)
+
+
 def test_quality_ties_vote_together():
     rows = np.array([terms(b"same text here")] * 4 + [terms(b"OTHER!! THING!!")] * 2)
     model = fit_model(rows, np.array([1, 1, 0, 0, 0, 0], np.float32))
@@ -141,6 +179,58 @@ def test_language_of_texts(spark):
     assert identify_language(docs, untaught).first()["lang_pred"] == "und"
 
 
+def _ppm_bits(texts, asked, kept):
+    """Code length of ``asked`` by counting contexts of 0 to 3 bytes of ``texts``; of three bytes only ``kept`` ones count."""
+    counts = {}
+    for text in texts:
+        raw = b"\n\n\n" + text
+        for i in range(3, len(raw)):
+            for order in range(4):
+                seen = counts.setdefault(raw[i - order : i], {})
+                seen[raw[i]] = seen.get(raw[i], 0) + 1
+
+    def chance(byte, context):
+        lower = (lambda b: chance(b, context[1:])) if context else (lambda b: 1 / 256)
+        seen = counts.get(context, {})
+        if not seen or (len(context) == 3 and context not in kept):
+            return lower(byte)
+        total = sum(seen.values()) + len(seen)
+        if byte in seen:
+            return seen[byte] / total
+        return len(seen) / total * lower(byte) / max(1 - sum(lower(b) for b in seen), 1e-12)
+
+    raw = b"\n\n\n" + asked
+    return sum(-np.log2(chance(raw[i], raw[i - 3 : i])) for i in range(3, len(raw)))
+
+
+def test_code_lengths_equal_counted_contexts(spark):
+    spoken = {"en": ["the cat sat on the mat, then the cat ate", "that is the hat"] * 3, "de": ["die Katze saß da, die Matte auch", "das ist der Hut"] * 3}
+    rows = [(i, t, lang) for lang, texts in spoken.items() for i, t in enumerate(texts)]
+    trees = train_language_id(spark.createDataFrame(rows, DOCS + ", lang string"))
+    together = {}
+    for _, text, _ in rows:
+        raw = b"\n\n\n" + text.encode()
+        for i in range(3, len(raw)):
+            together[raw[i - 3 : i]] = together.get(raw[i - 3 : i], 0) + 1
+    kept = {c for c, n in together.items() if n >= 12}
+    assert 0 < len(kept) < len(together)
+    for asked in ("the cat", "die Katze", "xyz the mat on der Hut", "\u4e16!", "a"):
+        expected = [_ppm_bits([t.encode() for t in spoken[lang]], asked.encode(), kept) for lang in trees.languages]
+        np.testing.assert_allclose(trees.code_lengths(asked.encode()), expected, rtol=1e-4)
+
+
+def test_language_ties_long_texts_and_other_columns(spark):
+    both = spark.createDataFrame([(1, "same words", "bb"), (1, "same words", "aa")], DOCS + ", lang string")
+    trees = train_language_id(both)
+    assert trees.predict("same words") == ("aa", 0.5)
+    long_ = "words same " * 200_000
+    np.testing.assert_allclose(trees.code_lengths(long_.encode()), 2 * trees.code_lengths((long_[: len(long_) // 2]).encode()), rtol=1e-3)
+    clashing = spark.createDataFrame([(1, "same", "x", 3.0, "y"), (1, "same", "x", 3.0, "y")], DOCS + ", lang string, score double, lang_pred string")
+    found = identify_language(clashing, trees)
+    assert found.columns == ["doc_id", "lang_pred", "score"]
+    assert [tuple(r) for r in found.collect()] == [(1, "aa", 0.5)] * 2
+
+
 def test_held_out_language_accuracy(spark, sf_dir):
     from cueloom.llm.queries import op3_language_id
 

@@ -65,13 +65,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/cueloom/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any store that Spark writes to; nothing happens if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables below the scratch folder.
 
     For the end of a run: results that were not written yet may still read them.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/cueloom")
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    delete_path(spark, f"{scratch_dir(spark).rstrip('/')}/cueloom")
 
 
 def ship_package(spark: SparkSession) -> None:

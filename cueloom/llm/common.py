@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cueloom.runtime import scratch_path
+from cueloom.runtime import delete_path, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,15 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+#: Paths of the tables written since the innermost ``forgetting`` began.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage, survives lost executors, and makes every later reader see
     the same rows. The shuffle files behind it go when the write is done, as
-    nothing reads them again.
+    nothing reads them again. Inside ``forgetting`` the table goes at its end, unless ``keep``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    written = _WRITTEN.get()
+    if written is not None and not keep:
+        written.append(path)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -36,6 +45,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def forgetting(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the tables that ``stored`` writes inside. What is to be read later must be kept."""
+    token = _WRITTEN.set([])
+    try:
+        yield
+    finally:
+        paths = _WRITTEN.get() or []
+        _WRITTEN.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def set_aside(docs: DataFrame) -> DataFrame:
     """``doc_id, text, _rest``: all other columns in one, so that no name of theirs can clash."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]

@@ -79,7 +79,7 @@ def _plain(spark, docs, labels, rows, items):
     yield [r for r in rows if str(r[0]) not in hit]
 
 
-def test_run_equals_plain_python(spark, tmp_path):
+def test_run_equals_plain_python(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     tables = _tables(spark, folder)
     stages = list(_plain(spark, *tables))
@@ -93,7 +93,12 @@ def test_run_equals_plain_python(spark, tmp_path):
         assert order((r["doc_id"], r["text"]) for r in docs.collect()) == order(expected)
     tokenizer = Tokenizer.from_file(tokenizer_path())
     pieces = {}
-    for r in corpus_pipeline.run(spark, folder).collect():
+    monkeypatch.setattr("cueloom.runtime.scratch_dir", lambda spark: f"{folder}/scratch")
+    found = corpus_pipeline.run(spark, folder).collect()
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "scratch/cueloom").iterdir()}
+    stage_tables = {name for name, _ in corpus_pipeline.STAGES[:-1]}
+    assert stage_tables <= left and not left & {"lines", "members", "nodes", "fingerprints", "distinct-lines"}
+    for r in found:
         pieces.setdefault(r["doc_id"], []).append(r)
     assert set(pieces) == {doc_id for doc_id, _ in stages[-1]}
     places = {}

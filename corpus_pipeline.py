@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cueloom.llm.common import stored, table
+from cueloom.llm.common import forgetting, stored, table
 from cueloom.llm.decontaminate import drop_contaminated
 from cueloom.llm.line_dedup import dedup_lines
 from cueloom.llm.queries import packed, quality_scored
@@ -45,15 +45,15 @@ STAGES = [
     ("best_fit_packing", packing),
 ]
 
-#: SQL has no tokenizer, no votes and no MinHash. Line dedup, SimHash and decontamination are each compared with
-#: plain Python in the tests, the classifier is tested on separable texts, packing by its bins and ids; the chain is not compared.
+#: SQL has no tokenizer, no votes and no MinHash. ``run`` is compared with plain Python in the tests, stage by stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``. A stage's tables go when its result is written."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, name)
-    return docs
+    *filters, (_, last) = STAGES
+    for name, stage in filters:
+        with forgetting(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
+    return last(spark, docs, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
@@ -25,94 +25,171 @@ _AT_ONCE = 1 << 20
 
 
 @dataclass
-class ContextTrees:
-    """Frozen statistics of all languages: bits of a byte after a context.
+class LanguageTree:
+    """Frozen statistics of one language: bits of the bytes seen after a context, and of the escape from it.
 
-    ``bits[node, symbol, language]``; ``node_of`` finds the longest context kept
-    for the last three symbols: all pairs are nodes, triples only if frequent. The
-    last symbol stands for every byte that training never met.
+    Contexts are numbers of up to three bytes, a byte after one is ``256 * context +
+    byte``. ``short`` holds the bits of every byte after each single byte, escapes
+    included. Longer contexts list only what was seen: sorted numbers and their
+    bits. A context without an entry costs nothing to escape from.
     """
 
+    short: np.ndarray
+    pairs: np.ndarray
+    pair_bits: np.ndarray
+    pair_escape: np.ndarray
+    triples: np.ndarray
+    triple_bits: np.ndarray
+    contexts: np.ndarray
+    context_escape: np.ndarray
+
+    def bits_of(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each 4-byte string after the three before it."""
+        bits = self.short[grams & 0xFFFF]
+        bits = _longer(grams & 0xFFFFFF, self.pairs, self.pair_bits, self.pair_escape[grams >> 8 & 0xFFFF] + bits)
+        escape = _longer(grams >> 8, self.contexts, self.context_escape, np.zeros(len(grams), np.float32))
+        return _longer(grams, self.triples, self.triple_bits, escape + bits)
+
+
+def _longer(wanted: np.ndarray, known: np.ndarray, values: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    """The value of each wanted number that is known (sorted), else what ``otherwise`` has."""
+    if not len(known):
+        return otherwise
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, values[at], otherwise)
+
+
+@dataclass
+class ContextTrees:
+    """The trees of all languages. A language takes half a megabyte and 12 bytes for each context and byte it was seen with."""
+
     languages: list[str] = field(default_factory=list)
-    symbol_of: np.ndarray = field(default_factory=lambda: np.zeros(256, np.int64))
-    node_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-    bits: np.ndarray = field(default_factory=lambda: np.zeros((0, 1, 0), np.float32))
+    trees: list[LanguageTree] = field(default_factory=list)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(getattr(tree, f.name).nbytes for tree in self.trees for f in fields(tree))
+
+    @property
+    def bits(self) -> np.ndarray:
+        """``[context, byte, language]`` in full, to look at small trees: all contexts of two bytes that some language has, then
+        all of three. The last byte stands for one that no language has."""
+        met = np.unique(np.concatenate([t.pairs & 255 for t in self.trees] + [t.pairs >> 16 for t in self.trees]))
+        unmet = np.setdiff1d(np.arange(256), met)[:1]
+        pairs = np.unique(np.concatenate([t.pairs >> 8 for t in self.trees]))
+        # Before a pair goes a byte that is in no context of three, if there is one.
+        longer = np.unique(np.concatenate([t.contexts for t in self.trees]))
+        context = np.concatenate([pairs | (unmet[0] << 16 if len(unmet) else 0), longer])
+        grams = (context[:, None] << 8) | np.concatenate([met, unmet])[None, :]
+        return np.stack([t.bits_of(grams.ravel()).reshape(grams.shape) for t in self.trees], axis=2)
+
+    def lengths_of(self, texts: list[bytes]) -> np.ndarray:
+        """A row for each text: bits of the whole text in each language. A text starts after three line feeds."""
+        out = np.zeros((len(texts), len(self.languages)))
+        at = 0
+        while at < len(texts):
+            upto, size = at + 1, len(texts[at])
+            while upto < len(texts) and size + len(texts[upto]) <= _AT_ONCE:
+                size += len(texts[upto])
+                upto += 1
+            if upto > at + 1:
+                out[at:upto] = self._sums([_PAD + text for text in texts[at:upto]])
+            else:
+                text = _PAD + texts[at]
+                for start in range(0, max(1, len(texts[at])), _AT_ONCE):
+                    out[at] += self._sums([text[start : start + _AT_ONCE + _ORDER]])[0]
+            at = upto
+        return out
+
+    def _sums(self, padded: list[bytes]) -> np.ndarray:
+        raw = np.frombuffer(b"".join(padded), np.uint8).astype(np.int64)
+        sizes = np.array([len(text) - _ORDER for text in padded])
+        grams = ((raw[:-3] << 8 | raw[1:-2]) << 8 | raw[2:-1]) << 8 | raw[3:]
+        inside = np.ones(len(grams), bool)
+        for back in range(1, _ORDER + 1):  # strings that reach into the next text
+            inside[np.cumsum(sizes + _ORDER)[:-1] - back] = False
+        grams, whose = np.unique(grams[inside], return_inverse=True)
+        out = np.zeros((len(padded), len(self.languages)))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            starts = (np.cumsum(sizes) - sizes)[some]
+            for i, tree in enumerate(self.trees):
+                out[some, i] = np.add.reduceat(tree.bits_of(grams).astype(np.float64)[whose], starts)
+        return out
 
     def code_lengths(self, text: bytes) -> np.ndarray:
-        """Bits of a whole text in each language. It starts after three line feeds."""
-        symbols = self.symbol_of[np.frombuffer(_PAD + text, np.uint8)]
-        kinds, total = self.bits.shape[1], np.zeros(len(self.languages))
-        flat = self.bits.reshape(-1, len(self.languages))
-        for at in range(_ORDER, len(symbols), _AT_ONCE):
-            part = symbols[at - _ORDER : at + _AT_ONCE]
-            context = (part[:-3] * kinds + part[1:-2]) * kinds + part[2:-1]
-            total += flat[self.node_of[context] * kinds + part[3:]].sum(axis=0, dtype=np.float64)
-        return total
+        return self.lengths_of([text])[0]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language of the shortest code, and its probability if all are equally likely before.
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The language of each text's shortest code, and its probability if all are equally likely before.
 
         Of equal code lengths the first language in order wins. ``und`` with 0
         for a null text, one without a letter, and if nothing was learned.
         """
-        if not text or not self.languages or not _LETTER.search(text):
-            return UNDETERMINED, 0.0
-        bits = self.code_lengths(text.encode("utf-8", "surrogatepass"))
-        best = int(np.argmin(bits))
-        return self.languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
+        out = [(UNDETERMINED, 0.0)] * len(texts)
+        asked = [i for i, text in enumerate(texts) if text and self.languages and _LETTER.search(text)]
+        lengths = self.lengths_of([texts[i].encode("utf-8", "surrogatepass") for i in asked])
+        for i, bits in zip(asked, lengths, strict=True):
+            best = int(np.argmin(bits))
+            out[i] = self.languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
+        return out
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.predict_all([text])[0]
 
 
-def _escaped(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities of a byte after each context (PPM-C), ``lower`` being those after the context shortened.
+def _escapes(cells: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted ``256 * context + byte`` with their counts (PPM-C): bits of each, the contexts, and bits of their escapes.
 
     With n bytes of q kinds seen after a context, a seen byte has c/(n+q) and the
     escape q/(n+q), which the unseen bytes share as the shorter context has them,
-    those seen excluded. A context never seen gives way to the shorter one.
+    those seen excluded. ``lower`` are the bits that the shorter context gives.
     """
-    total = counts.sum(axis=1, keepdims=True)
-    kinds = (counts > 0).sum(axis=1, keepdims=True)
-    free = np.where(counts > 0, lower, 0).sum(axis=1, keepdims=True)
-    escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
-    unseen = escape * lower / np.maximum(1 - free, 1e-12)
-    return np.where(counts > 0, counts / np.maximum(total + kinds, 1), unseen)
+    contexts, at, kinds = np.unique(cells >> 8, return_index=True, return_counts=True)
+    if not len(contexts):
+        return np.zeros(0, np.float32), contexts, np.zeros(0, np.float32)
+    total = np.add.reduceat(counts, at) + kinds
+    bits = np.log2(np.repeat(total, kinds)) - np.log2(counts)
+    free = np.add.reduceat(np.exp2(-lower.astype(np.float64)), at)
+    escape = np.log2(np.maximum(1 - free, 1e-12)) - np.log2(kinds / total)
+    return bits.astype(np.float32), contexts, escape.astype(np.float32)
+
+
+def _summed(cells: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    known, whose = np.unique(cells, return_inverse=True)
+    return known, np.bincount(whose, weights=counts, minlength=len(known))
+
+
+def _tree(grams: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> LanguageTree:
+    """The tree of a language's counted 4-byte strings; of three bytes only ``frequent`` contexts (sorted) count."""
+    known, seen = _summed(grams & 0xFF, counts)
+    bits, _, escape = _escapes(known, seen, np.full(len(known), 8.0))
+    none = np.full(256, 8.0, np.float32) + escape
+    none[known] = bits
+    known, seen = _summed(grams & 0xFFFF, counts)
+    bits, contexts, escape = _escapes(known, seen, none[known & 255])
+    short = np.repeat(none[None, :], 256, axis=0)
+    short[contexts] += escape[:, None]
+    short = short.ravel()
+    short[known] = bits
+    pairs, seen = _summed(grams & 0xFFFFFF, counts)
+    pair_bits, contexts, escape = _escapes(pairs, seen, short[pairs & 0xFFFF])
+    pair_escape = np.zeros(1 << 16, np.float32)
+    pair_escape[contexts] = escape
+    kept = np.isin(grams >> 8, frequent)
+    triples, seen = _summed(grams[kept], counts[kept])
+    lower = pair_bits[np.searchsorted(pairs, triples & 0xFFFFFF)]  # what follows three bytes follows two
+    triple_bits, contexts, escape = _escapes(triples, seen, lower)
+    return LanguageTree(short, pairs, pair_bits, pair_escape, triples, triple_bits, contexts, escape)
 
 
 def build_trees(languages: list[str], grams: np.ndarray, whose: np.ndarray, counts: np.ndarray, least: int = LEAST_SEEN) -> ContextTrees:
     """Trees from counted 4-byte strings: ``grams`` big-endian, ``whose`` an index into ``languages``."""
-    if not languages:
-        return ContextTrees()
-    octets = np.stack([(grams >> shift) & 255 for shift in (24, 16, 8, 0)]).astype(np.int64)
-    met = np.union1d(octets, np.frombuffer(_PAD, np.uint8))
-    kinds = len(met) + 1
-    symbol_of = np.full(256, len(met), np.int64)
-    symbol_of[met] = np.arange(len(met))
-    a, b, c, d = symbol_of[octets]
-    triple = (a * kinds + b) * kinds + c
-    seen = np.bincount(triple, weights=counts, minlength=kinds**3)
-    frequent = np.flatnonzero(seen >= least)
-    pair = np.arange(kinds**3) % kinds**2
-    node_of = pair.astype(np.int32)
-    node_of[frequent] = kinds**2 + np.arange(len(frequent), dtype=np.int32)
-    place = np.full(kinds**3, -1)
-    place[frequent] = np.arange(len(frequent))
-    bits = np.empty((kinds**2 + len(frequent), kinds, len(languages)), np.float32)
-    for i in range(len(languages)):
-        own = whose == i
-
-        def table(context: np.ndarray, rows: int, own=own) -> np.ndarray:
-            cells = context[own] * kinds + d[own]
-            return np.bincount(cells, weights=counts[own], minlength=rows * kinds).reshape(rows, kinds)
-
-        flat = np.full((1, kinds), 1 / 256)
-        zero = _escaped(table(np.zeros_like(d), 1), flat)
-        one = _escaped(table(c, kinds), np.repeat(zero, kinds, axis=0))
-        two = _escaped(table(b * kinds + c, kinds**2), np.tile(one, (kinds, 1)))
-        bits[: kinds**2, :, i] = -np.log2(two)
-        kept = own & (place[triple] >= 0)
-        cells = place[triple[kept]] * kinds + d[kept]
-        rows = np.bincount(cells, weights=counts[kept], minlength=len(frequent) * kinds).reshape(-1, kinds)
-        bits[kinds**2 :, :, i] = -np.log2(_escaped(rows, two[frequent % kinds**2]))
-    return ContextTrees(list(languages), symbol_of, node_of, bits)
+    grams, counts = grams.astype(np.int64), counts.astype(np.float64)
+    contexts, seen = _summed(grams >> 8, counts)
+    frequent = contexts[seen >= least]
+    trees = [_tree(grams[whose == i], counts[whose == i], frequent) for i in range(len(languages))]
+    return ContextTrees(list(languages), trees)
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -159,7 +236,7 @@ def identify_language(docs: DataFrame, trees: ContextTrees) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            found = [shared.value.predict(text) for text in as_list(batch, "text")]
+            found = shared.value.predict_all(as_list(batch, "text"))
             columns = [pa.array(as_list(batch, "doc_id"), pa.int64())]
             columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])

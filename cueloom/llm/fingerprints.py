@@ -11,6 +11,7 @@ sketch, and only parts that got stuck are tried again.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,8 +27,13 @@ PARAGRAPH = r"[^\n]{160}[^\n.!?]{0,160}[.!?]*|[^\n]+"
 ROUNDS = 6
 FANOUT = 8
 _CHECK_SALT = 101
-_MOST_RANGES = 1000
-_RANGE_ROWS = 500
+#: Rows that a range of ids holds, about; and keys of ids that are looked at to cut one.
+RANGE_ROWS = 4096
+_SEEN_A_RANGE = 4
+#: Equal rows that make a part at least: by chance no part stays empty.
+_LEAST_PART = 64
+#: Sketches that a task makes and peels, about.
+_TASK_ROWS = 16_384
 
 
 def paragraphs(text: Column) -> Column:
@@ -118,6 +124,11 @@ def _written(cells: str, side: str) -> Column:
     return F.array_join(F.filter(texts, lambda x: F.substring(x, 3, 28) != "0" * 28), "")
 
 
+def _spread(work: DataFrame) -> DataFrame:
+    """Partitions by ``row`` of a bounded number of rows. They are small until they are made to sketches, so bytes do not tell."""
+    return work.repartition(1 + work.count() // _TASK_ROWS, "row")
+
+
 def differences(work: DataFrame) -> DataFrame:
     """``row, pair, found``: how many digests differ between ``a`` and ``b`` (arrays without repeats).
 
@@ -127,7 +138,7 @@ def differences(work: DataFrame) -> DataFrame:
     work = work.withColumn("part", F.lit(0).cast("long"))
     solved, level = [], 0
     while True:
-        work = work.repartition("row")
+        work = _spread(work)
         sketch = _sketches(work).select(
             *_KEY, _cell("cell", F.col("na") - F.col("nb"), F.col("da").bitwiseXOR(F.col("db")), F.col("ca").bitwiseXOR(F.col("cb"))).alias("x")
         )
@@ -148,37 +159,64 @@ def differences(work: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, solved).groupBy("row", "pair").agg(F.sum("found").alias("found"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, text, own, next_text, next_own``: each row with the one after it, in descending doc_id.
+def _order_key() -> Column:
+    """A text that orders rows as they follow each other: descending doc_id, null last, then the hash of their text."""
+    falling = F.bitwise_not(F.col("doc_id")).bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    id_ = F.when(F.col("doc_id").isNull(), F.lit("1" + "0" * 16)).otherwise(F.concat(F.lit("0"), F.lpad(F.hex(falling), 16, "0")))
+    return F.concat(id_, F.lpad(F.hex(F.xxhash64("text")), 16, "0"))
+
+
+def _cuts(keys: DataFrame, rows: int) -> list[str]:
+    """The keys that ranges begin with, ascending: the first key, every repeated one that fills a range, and a sample by hash.
+
+    One key in ``rows`` reaches the driver's list, 33 characters each.
+    """
+    seen = max(1, rows // _SEEN_A_RANGE)
+    sampled = keys.where(F.pmod(F.xxhash64("key"), F.lit(seen)) == 0).select("key").orderBy("key")
+    cuts = {r["key"] for r in islice(sampled.toLocalIterator(), 0, None, _SEEN_A_RANGE)}
+    cuts |= {r["key"] for r in keys.where(F.col("n") > rows).select("key").toLocalIterator()}
+    first = keys.agg(F.min("key").alias("key")).first()["key"]
+    return sorted(cuts | ({first} - {None}))
+
+
+def _last_not_above(cuts: Column, count: int, key: str) -> Column:
+    """Place of the last of the ascending ``cuts`` that is not above ``key``: a binary search."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
+    step = lambda at, by: F.when((at + by < count) & (F.get(cuts, at + by) <= F.col(key)), at + by).otherwise(at)
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def with_next(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
+    """``doc_id, text, own, next_text, next_own``: each row with the one after it, in descending doc_id.
 
     After the last row comes the first; a single row is its own next. Equal ids go
-    by descending text, null ids come last, a null text is empty. ``own`` are the
-    paragraph digests. Rows are ranked inside ranges of ids, cut at quantiles; at
-    the end of a range the next range's first row follows.
+    by the hash of their text, null ids come last, a null text is empty. ``own``
+    are the paragraph digests. Rows are ranked inside ranges of about ``rows``
+    rows, cut between ids or, where many rows share one, between their texts. A
+    range also gets a copy of the row that the next one begins with. More than
+    ``rows`` equal rows are dealt to several parts: all but those of the first part
+    are followed by their own like.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    wanted = max(1, min(_MOST_RANGES, base.count() // _RANGE_ROWS))
-    cuts = sorted(set(base.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)))) if wanted > 1 else []
-    bounds = F.array(*[F.lit(float(x)) for x in cuts]).cast("array<double>")
-    below = F.size(F.filter(bounds, lambda b: b < F.col("doc_id").cast("double")))
-    ranged = base.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(below))
-    heads = ranged.groupBy("range").agg(F.max("doc_id").alias("_top"))
-    heads = ranged.join(F.broadcast(heads.withColumnRenamed("range", "_r")), (F.col("range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_top")))
-    heads = heads.groupBy("range").agg(F.max("text").alias("text"))  # one row a range
-    heads = stored(heads.withColumn("head", F.struct("text", paragraphs(F.col("text")).alias("own"))).select("range", "head"), "heads")
-    down = Window.orderBy(F.col("range").desc())
-    ends = heads.select(
-        F.col("range").alias("_r"),
-        F.coalesce(F.lead("head").over(down), F.first("head").over(down)).alias("_after"),
-    )
-    order = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text").desc())
-    named = ranged.withColumn("own", paragraphs(F.col("text")))
-    led = named.withColumn("_next", F.lead(F.struct("text", "own")).over(order))
-    joined = led.join(F.broadcast(ends), F.col("range") == F.col("_r"), "left")  # a row for each range
-    after = F.coalesce("_next", "_after")
-    return joined.withColumn("_after", after).select(
-        "doc_id", "text", "own", F.col("_after.text").alias("next_text"), F.col("_after.own").alias("next_own")
-    )
+    base = base.withColumn("key", _order_key())
+    keys = stored(base.groupBy("key").agg(F.count("*").alias("n")), "row-keys")
+    cuts = _cuts(keys, rows) or [""]
+    count, listed = len(cuts), F.split(F.lit(",".join(cuts)), ",")
+    # At most one key for `rows` rows.
+    many = keys.where(F.col("n") > rows).select(F.col("key").alias("_many"), F.ceil(F.col("n") / max(rows, _LEAST_PART)).alias("_parts"))
+    dealt = base.join(F.broadcast(many), F.col("key") == F.col("_many"), "left")
+    part = F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")))
+    placed = dealt.withColumns({"range": _last_not_above(listed, count, "key"), "part": part})
+    begins = (F.get(listed, F.col("range")) == F.col("key")) & (F.col("part") == 0)
+    place = lambda range_, part, copy: F.struct(range_.alias("range"), part.alias("part"), F.lit(copy).alias("copy"))
+    own_place = place(F.col("range"), F.col("part"), False)
+    before = place(F.pmod(F.col("range") + (count - 1), F.lit(count)), F.lit(0).cast("long"), True)
+    places = F.when(begins, F.array(own_place, before)).otherwise(F.array(own_place))
+    spread = placed.select("doc_id", "text", "key", paragraphs(F.col("text")).alias("own"), F.explode(places).alias("place"))
+    order = Window.partitionBy("place.range", "place.part").orderBy("place.copy", "key", "text")
+    row = F.struct("text", "own")
+    led = spread.withColumn("_next", F.coalesce(F.lead(row).over(order), row)).where("not place.copy")
+    return led.select("doc_id", "text", "own", F.col("_next.text").alias("next_text"), F.col("_next.own").alias("next_own"))
 
 
 def edited(text: str = "text", next_text: str = "next_text") -> Column:
@@ -218,7 +256,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     found = differences(work)
     found = found.groupBy("row").pivot("pair", [0, 1]).agg(F.first("found"))
     first = base.select("row", F.lit(0).alias("pair"), F.lit(0).alias("part"), F.col("own").alias("a"), F.col("edit").alias("b"))
-    cells = _sketches(first.repartition("row"))
+    cells = _sketches(_spread(first))
     listed = cells.groupBy("row").agg(F.collect_list(F.struct("cell", "na", "da", "ca", "nb", "db", "cb")).alias("cells"))
     prints = listed.select("row", _written("cells", "a").alias("fingerprint"), _written("cells", "b").alias("edited_fingerprint"))
     meta = base.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(c).alias(f"_{c}") for c in ("own", "edit", "next")])

@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from xxhash import xxh64_intdigest
 
 from cueloom.llm.chat import escape, format_chat, format_turn, read_back, read_turn, text_parts, unescape
-from cueloom.llm.fingerprints import PARAGRAPH, fingerprint_edits
+from cueloom.llm.fingerprints import PARAGRAPH, fingerprint_edits, with_next
 from cueloom.llm.packing import TokenCache, fullest, pack, plan_bins
 from cueloom.llm.queries import tokenizer_path
 from cueloom.llm.substring_dedup import difference_cover, remove_repeats
@@ -113,6 +114,36 @@ def test_fingerprints_equal_brute_force(spark):
     assert all(len(p) == 1 for p in prints.values()) and len({min(p) for p in prints.values()}) == len(prints)
 
 
+def _next_texts(rows):
+    def key(row):
+        h = xxh64_intdigest((row[1] or "").encode(), 42)
+        return (row[0] is None, -(row[0] or 0), h, row[1] or "")
+
+    ordered = sorted(rows, key=key)
+    return [(i, t or "", ordered[(k + 1) % len(ordered)][1] or "") for k, (i, t) in enumerate(ordered)]
+
+
+@pytest.mark.parametrize("rows_a_range", [1, 5, 64, 4096])
+def test_next_rows_of_hot_and_null_ids(spark, rows_a_range):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), f"text {i}") for i in rng.integers(-(2**63), 2**63 - 1, 300)]
+    rows += [(7, f"one id {i}") for i in range(300)] + [(None, f"no id {i}") for i in range(300)]
+    rows += [(5, "equal rows")] * 300 + [(None, None)] * 200 + [(2**63 - 1, "first"), (-(2**63), "last")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    found = [(r["doc_id"], r["text"], r["next_text"]) for r in with_next(docs, rows_a_range).collect()]
+    assert sorted(found, key=str) == sorted(_next_texts(rows), key=str)
+
+
+def test_ten_thousand_rows_of_one_id_are_spread(spark):
+    for id_ in ("cast(3 as bigint)", "cast(null as bigint)"):
+        docs = spark.range(10_000).selectExpr(f"{id_} as doc_id", "concat('text ', id) as text")
+        found = with_next(docs, 500)
+        assert found.select("next_text").distinct().count() == 10_000
+    equal = spark.range(10_000).selectExpr("3L as doc_id", "'same' as text").unionByName(spark.createDataFrame([(2, "after")], DOCS))
+    found = with_next(equal, 500).groupBy("text", "next_text").count().collect()
+    assert sorted(map(tuple, found)) == [("after", "same", 1), ("same", "after", 1), ("same", "same", 9_999)]
+
+
 def test_fingerprints_of_few_rows(spark):
     docs = spark.createDataFrame([(1, "alone")], DOCS)
     assert fingerprint_edits(docs).first()["near_next"] == 1.0

@@ -64,14 +64,14 @@ _SIDE_PARTS = frozenset(
     "recommendations trending popular skip hidden disclaimer alert widget".split()
 )
 _PLAIN_PARTS = frozenset(
-    "area bar block body bottom box col container content count first form group header holder inner item items last left link "
-    "links list main middle outer panel posts primary reader right row secondary section site slot sr only thread top "
-    "unit wrap wrapper".split()
+    "area author bar block body bottom box col container content count date desktop first form group header holder image inner "
+    "item items large last leaderboard left link links list main meta middle mobile outer page panel posts primary reader "
+    "rectangle right row secondary section site slot small sr only text thread title top unit wrap wrapper".split()
 )
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PARTS = re.compile(r"[_\W]+")
 
-#: Names of this weight and below mark what is left out. A part listed beside one unknown word reaches -0.5.
+#: Names of this weight and below mark what is left out. A listed part before one unknown word reaches -0.5.
 SIDE = -0.6
 #: Words that a name of the list, or none, counts as having been seen with.
 _PRIOR_WORDS = 200
@@ -100,15 +100,19 @@ def names_of(element: str, attributes: str) -> tuple[bool, tuple[tuple[str, ...]
 
 @lru_cache(8192)
 def prior_of(name: str) -> float:
-    """Weight of a name before anything is learned: the share of its parts that are listed, negative."""
+    """Weight of a name before anything is learned: -1 if its last telling part is listed, else the share that is, negative.
+
+    The last part of a name says what it names: ``post-comments`` are comments, ``menu-planning-guide`` is no menu.
+    """
     if name[0] == "<":
         return -float(name[1:] in _SIDE_ELEMENTS)
     if name.startswith("role="):
         return -float(name[5:] in _SIDE_ROLES)
     parts = [p for p in _PARTS.split(name) if p and not p.isdigit()]
-    listed = sum(p in _SIDE_PARTS for p in parts)
-    telling = listed + sum(p not in _SIDE_PARTS and p not in _PLAIN_PARTS for p in parts)
-    return -listed / telling if telling else 0.0
+    telling = [p in _SIDE_PARTS for p in parts if p in _SIDE_PARTS or p not in _PLAIN_PARTS]
+    if not telling:
+        return 0.0
+    return -1.0 if telling[-1] else -sum(telling) / len(telling)
 
 
 @dataclass(slots=True)
@@ -246,10 +250,11 @@ class RegionWeights:
         return self.tag.get(marked, 0.1) * sum(self.tags.get((marked, t), 0.5) for t in tags)
 
     def name(self, groups: tuple[tuple[str, ...], ...]) -> float:
-        """The lowest mean weight of a group of names; not above 0."""
+        """The lowest weight of all names, not above 0. A name of articles beside it makes it the mean of the two's group."""
         low = 0.0
         for group in groups:
-            low = min(low, sum(self.names[n] if n in self.names else prior_of(n) for n in group) / len(group))
+            own = [self.names[n] if n in self.names else prior_of(n) for n in group]
+            low = min(low, min(own) if max(own) < -SIDE else sum(own) / len(own))
         return low
 
 
@@ -286,7 +291,8 @@ def read_page(html: str, weights: RegionWeights, trust_large: bool = False) -> P
     """Scan a page and tell its landmarks: articles, unless a ``main`` has over twice the words of them all.
 
     No name counts for the article with the most words (those that no name marks come first), for a ``main``
-    with as many, and for what holds them; with ``trust_large`` for no element with half of the page's words, but for menus, footers and the like.
+    with as many, and for what holds them (one that a name marks must have as many
+    words as the paragraphs outside of articles); with ``trust_large`` for no element with half of the page's words, but for menus, footers and the like.
     """
     elements, found = scan(html)
     trusted = {i for i, e in enumerate(elements) if trust_large and 2 * e.held >= elements[0].held and e.name not in _ALWAYS_SIDE}
@@ -295,7 +301,10 @@ def read_page(html: str, weights: RegionWeights, trust_large: bool = False) -> P
     for kind in _LANDMARKS:
         of_kind = [i for i, e in enumerate(elements) if e.name == kind and not e.unseen and e.held]
         if of_kind:
-            chosen.add(max(of_kind, key=lambda i: (low[i] > SIDE, elements[i].held, -i)))
+            most = max(of_kind, key=lambda i: (low[i] > SIDE, elements[i].held, -i))
+            outside = (e.words for i, e in enumerate(elements) if low[i] > SIDE and e.article < 0 and e.place in _PROSE - _HEADINGS)
+            if low[most] > SIDE or elements[most].held >= sum(outside):
+                chosen.add(most)
     trusted |= _ancestors(elements, chosen)
     low = _lows(elements, weights, trusted)
     in_article = [e.article >= 0 and low[i] > SIDE for i, e in enumerate(elements)]

@@ -302,6 +302,30 @@ def test_names_do_not_empty_an_article(spark, sf_dir):
     assert main_text(f"<html><body>{BODY}{comments}</body></html>", learned) == BODY_TEXT
 
 
+SIDE_MATTER = [
+    '<div class="comments clearfix"><p>I agree a lot with it</p></div>',
+    '<section id="post-comments"><h2>Comments</h2><p>I agree a lot with it</p></section>',
+    '<ol class="comment-list dark"><li class="comment-item"><p class="comment-text">I agree</p></li></ol>',
+    '<div class="ad ad-leaderboard col-md-4">Buy now</div>',
+    '<div role="dialog"><p>We use cookies here</p></div>',
+    '<p class="cookie-notice">We use cookies here</p>',
+    '<form><label>Mail</label><input><button>Send</button></form>',
+    '<div hidden><p>Not shown at all</p></div>',
+    '<article class="comment"><p>I agree a lot with it</p></article>',
+    '<aside><p>See this as well</p></aside>',
+]
+
+
+def test_side_matter_inside_and_beside_an_article(spark, sf_dir):
+    learned = train_region_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    for weights in (learned, RegionWeights()):
+        for side in SIDE_MATTER:
+            for page in (f"<article>{BODY}{side}</article>", f"<main><article>{BODY}</article>{side}</main>", f"<div>{BODY}{side}</div>"):
+                assert main_text(f"<html><body>{page}</body></html>", weights) == BODY_TEXT, page
+        kept = '<figure><figcaption class="caption-text">A caption</figcaption></figure><table><tr><td>A cell</td></tr></table>'
+        assert main_text(f"<article><header>{BODY}</header>{kept}</article>", weights) == BODY_TEXT + "\nA caption\nA cell"
+
+
 def test_pages_without_marks_lose_menus_and_notices(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     weights = train_region_weights(pages)

@@ -239,6 +239,10 @@ def _slots(bins: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray, ...
     return {n: tuple(np.array(c, np.int64) for c in zip(*r, strict=True)) for n, r in runs.items()}
 
 
+#: Columns that packing adds on its way.
+_OWN = ("_bucket", "_n", "_start", "_rank")
+
+
 def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to ``pieces`` (doc_id, piece, length from 1 to ``capacity``).
 
@@ -246,7 +250,11 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     planned from them. Pieces of a length take its places by rank: hash buckets
     get their start from their counts, and rows are ranked inside a bucket, so a
     frequent length spreads over many tasks. Places in a sequence are gapless from 0.
+    All other columns are kept; such as are named like the two added are replaced.
     """
+    pieces = pieces.drop("sequence_id", "offset")
+    hidden = {name: f"_piece{name}" for name in pieces.columns if name in _OWN}
+    pieces = pieces.withColumnsRenamed(hidden)
     bucket = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(_BUCKETS))
     keyed = stored(pieces.withColumn("_bucket", bucket), "pieces")
     sizes = stored(keyed.groupBy("length", "_bucket").agg(F.count("*").alias("_n")), "sizes")
@@ -276,7 +284,8 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     chosen = ranked.select(*names, "_rank")
-    return chosen.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    packed = chosen.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return packed.withColumnsRenamed({inner: name for name, inner in hidden.items()})
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

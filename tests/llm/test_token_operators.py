@@ -14,7 +14,7 @@ from xxhash import xxh64_intdigest
 
 from cueloom.llm.chat import escape, format_chat, format_turn, read_back, read_turn, text_parts, unescape
 from cueloom.llm.fingerprints import PARAGRAPH, fingerprint_edits, with_next
-from cueloom.llm.packing import TokenCache, fullest, pack, plan_bins
+from cueloom.llm.packing import TokenCache, assign_sequences, fullest, pack, plan_bins
 from cueloom.llm.queries import tokenizer_path
 from cueloom.llm.substring_dedup import difference_cover, remove_repeats
 
@@ -88,6 +88,20 @@ def test_pack_covers_all_ids(spark):
     assert pack(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_pieces_may_have_any_other_columns(spark):
+    rows = [(i, 0, 0, 300 + i, 7, 8, "r", 9, 1, 2) for i in range(5)] + [(0, 0, 0, 300, 7, 8, "r", 9, 1, 2), (None, 0, 0, 1, None, None, None, None, None, None)]
+    names = "doc_id long, piece int, start long, length long, sequence_id long, offset long, _rank string, _bucket long, _n int, _start int"
+    pieces = spark.createDataFrame(rows, names)
+    found = assign_sequences(pieces)
+    assert sorted(found.columns) == sorted(pieces.columns)
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    assert sorted(map(str, found.select(*kept).collect())) == sorted(map(str, pieces.select(*kept).collect()))
+    plain = assign_sequences(pieces.select("doc_id", "piece", "start", "length"))
+    place = lambda df: sorted((str(r["doc_id"]), r["sequence_id"], r["offset"]) for r in df.collect())
+    assert place(found) == place(plain)
+    assert assign_sequences(pieces.limit(0)).count() == 0
+
+
 def _paragraphs(text):
     return set(re.findall(PARAGRAPH, text))
 

@@ -148,10 +148,14 @@ def write_files(files: DataFrame, root: str) -> None:
         import pyarrow.fs as fs
 
         store, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        made = set()
         for batch in batches:
             for path, body in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 target = f"{base}/{path}"
-                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                folder = target.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(target) as out:
                     out.write(body.encode())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])

@@ -10,14 +10,32 @@ from cueloom.operators.cues import clip_ids, cues_and_status
 
 _BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
 
+#: A batch costs some fixed time, however few its files are.
+FILES_PER_TRIGGER = 20_000
+#: A small file counts as so many bytes when files are dealt to tasks.
+_OPEN_BYTES = 128 * 1024
 
-def new_files(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
+
+def _for_small_files(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` that lists and reads many files in a task, not one and a few."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    own.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
+    own.conf.set("spark.sql.files.openCostInBytes", str(_OPEN_BYTES))
+    return own
+
+
+def new_files(spark: SparkSession, root: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Stream ``(path, modified, body)`` of the files that appear anywhere below ``root``.
 
     Files without a byte give no row, as Spark plans no split for them; a listing shows them.
     """
     source = (
-        spark.readStream.format("binaryFile")
+        _for_small_files(spark)
+        .readStream.format("binaryFile")
         .schema(_BINARY_FILES)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -28,7 +46,7 @@ def new_files(spark: SparkSession, root: str, files_per_trigger: int = 1000) ->
     )
 
 
-def new_cues(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
+def new_cues(spark: SparkSession, root: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Stream of cues with clip names, and a row with its status for each file that has none."""
     named = clip_ids(cues_and_status(new_files(spark, root, files_per_trigger)))
     return named.withColumn("clip_id", F.when(F.col("cue_no").isNotNull(), F.col("clip_id")))

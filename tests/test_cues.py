@@ -107,3 +107,25 @@ def test_files_without_cues_keep_a_row(spark):
     assert found == {
         "a.srt": ("unreadable", 0, None), "b.srt": ("no_cue", 1, None), "c.txt": ("unsupported", 0, None), "d.vtt": ("no_cue", 0, None)
     }
+
+
+def test_a_file_is_judged_once_not_once_a_cue(spark, capsys):
+    cues.cues_and_status(files(spark)).explain()
+    by_row, by_file = capsys.readouterr().out.split("Generate", 1)
+    assert "WEBVTT" not in by_row and "WEBVTT" in by_file
+
+
+def test_a_batch_of_many_files_is_listed_and_read_in_few_tasks(spark, tmp_path):
+    root, count = tmp_path / "in", 300
+    root.mkdir()
+    for i in range(count):
+        (root / f"{i}.srt").write_text("1\n00:00:01,000 --> 00:00:02,000\nhi\n")
+    before = spark.conf.getAll
+    query = append_new_cues(spark, str(root), str(tmp_path / "out"), str(tmp_path / "state"))
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).select("path").distinct().count() == count
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.getAll == before

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
@@ -24,6 +23,8 @@ _FIELD = 14
 #: 64-bit words of a line's bitmap.
 _WORDS = 32
 _HASHED_AT_ONCE = 1 << 15
+#: About so many lines of a band, twice at most, are compared in one go.
+_BLOCK = 256
 #: Characters of lines whose shingle sets a task holds, some 100 bytes each.
 _CACHED = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -91,12 +92,22 @@ def bitmaps(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     A bit that one line has and another has not stands for a shingle that only one of them has.
     """
-    bits, sizes = np.zeros((len(lines), 64 * _WORDS), np.uint8), np.empty(len(lines), np.int64)
+    words, sizes = np.zeros((len(lines), _WORDS), np.uint64), np.empty(len(lines), np.int64)
     for at in range(0, len(lines), 64):
         hashes, counts = _hashes_of(lines[at : at + 64])
         sizes[at : at + 64] = counts
-        bits[at + np.repeat(np.arange(len(counts)), counts), hashes % np.uint32(64 * _WORDS)] = 1
-    return np.packbits(bits, axis=1).view(np.int64), sizes
+        bits = np.zeros((len(counts), 64 * _WORDS), np.uint8)
+        bits[np.repeat(np.arange(len(counts)), counts), hashes % np.uint32(64 * _WORDS)] = 1
+        words[at : at + 64] = np.packbits(bits, axis=1).view(np.uint64)
+    return words, sizes
+
+
+def may_be_similar(words: np.ndarray, others: np.ndarray, shingles: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether lines of these bitmaps, with so many shingles in both, can be similar; never false for lines that are.
+
+    Similarity s of sets with m and n members leaves (m + n) (1 - s) / (1 + s) that only one of them has.
+    """
+    return np.bitwise_count(words ^ others).sum(-1, dtype=np.int64) <= shingles * ((1 - similarity) / (1 + similarity) + 1e-9)
 
 
 def shingles(line: str) -> set[str]:
@@ -191,9 +202,14 @@ def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleCache()
-        for batch in batches:
-            both = zip(as_list(batch, "left"), as_list(batch, "right"), strict=True)
-            kept = [are_similar(x, y, similarity, sets) for x, y in both]
+        for batch in pieces_of(batches, 1024):
+            left, right = as_list(batch, "left"), as_list(batch, "right")
+            known: dict[str, int] = {}
+            at, to = (np.array([known.setdefault(x, len(known)) for x in side], np.int64) for side in (left, right))
+            words, sizes = bitmaps(list(known))
+            possible = may_be_similar(words[at], words[to], sizes[at] + sizes[to], similarity).tolist()
+            both = zip(possible, left, right, strict=True)
+            kept = [may and are_similar(x, y, similarity, sets) for may, x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     met = pairs.join(texts.select(F.col("line").alias("b"), F.col("content").alias("right")), "b")
@@ -201,27 +217,100 @@ def _linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _with_bitmaps(texts: DataFrame) -> DataFrame:
-    """``node, bits, size`` of ``line, content``."""
+def joining_links(
+    lines: list[str],
+    maps: tuple[np.ndarray, np.ndarray],
+    classes: np.ndarray,
+    blocks: np.ndarray,
+    similarity: float,
+    sets: ShingleCache,
+) -> list[tuple[int, int]]:
+    """Links, as places in ``lines``, that join classes: fewer than lines, however many are similar.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches):
-            words, sizes = bitmaps(as_list(batch, "content"))
-            lists = pa.ListArray.from_arrays(np.arange(len(words) + 1, dtype=np.int32) * _WORDS, words.ravel())
-            yield pa.RecordBatch.from_arrays([batch.column("line"), lists, pa.array(sizes)], ["node", "bits", "size"])
+    ``maps`` is what ``bitmaps`` has for the lines. Two lines of one class, also of one that a link
+    found before has joined, are not compared; nor are lines of one block, if there are two.
+    """
+    words, sizes = maps
+    classes, one = classes.copy(), blocks.min() == blocks.max()
+    links = []
+    for i in range(len(lines) - 1):
+        others = classes[i + 1 :] != classes[i]
+        if not one:
+            others &= blocks[i + 1 :] != blocks[i]
+        at = np.flatnonzero(others) + i + 1
+        if len(at):
+            at = at[may_be_similar(words[at], words[i], sizes[at] + sizes[i], similarity)]
+        for j in at.tolist():
+            if classes[j] != classes[i] and are_similar(lines[i], lines[j], similarity, sets):
+                links.append((i, j))
+                classes[classes == classes[j]] = classes[i]
+    return links
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Sorted batches dealt anew, so that rows that agree on ``names`` are in one, with the edges of such runs."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if held is not None and held.num_rows:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        edges = _edges(batch, names)
+        held = batch.slice(edges[-2]) if len(edges) > 1 else batch
+        if len(edges) > 2:
+            yield batch.slice(0, edges[-2]), edges[:-1]
+    if held is not None and held.num_rows:
+        yield held, [0, held.num_rows]
+
+
+def _edges(batch: pa.RecordBatch, names: list[str]) -> list[int]:
+    keys = np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in names])
+    inner = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+    return [0, *inner.tolist(), batch.num_rows] if batch.num_rows else [0]
+
+
+def _class_links(open_: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` that join the classes of a band, of ``band, blocks, node, class, content``.
+
+    A band's lines are dealt to ``blocks`` blocks, and each two blocks meet in a task of their own.
+    A block is in as many tasks as there are blocks; what they return is linear in their rows.
+    """
 
-    return texts.mapInArrow(run, "node long, bits array<long>, size long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleCache()
+        for rows, edges in _whole_runs(batches, ["band", "low", "high"]):
+            nodes, classes, blocks = (rows.column(rows.schema.get_field_index(n)).to_numpy() for n in ("node", "class", "block"))
+            lines = as_list(rows, "content")
+            words, sizes = bitmaps(lines)
+            found = []
+            for low, high in zip(edges, edges[1:]):
+                if (classes[low:high] != classes[low]).any():
+                    own = slice(low, high)
+                    maps = words[own], sizes[own]
+                    links = joining_links(lines[own], maps, classes[own], blocks[own], similarity, sets)
+                    found += [(low + i, low + j) for i, j in links]
+            a, b = np.array(found, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
+
+    block = F.pmod(F.xxhash64("node", "band"), F.col("blocks").cast("long"))
+    dealt = open_.withColumn("block", block)
+    others = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")),
+    )
+    units = dealt.select("band", "block", "node", "class", "content", F.explode(others).alias("_u"))
+    units = units.select("band", "_u.low", "_u.high", "block", "node", "class", "content")
+    units = units.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    return units.mapInArrow(run, "a long, b long")
 
 
 def line_links(members: DataFrame, texts, similarity: float) -> DataFrame:
-    """All links ``a, b`` that decide connectivity among lines that share a band.
+    """Links ``a, b`` that connect all lines that links among lines sharing a band connect.
 
     ``members`` has ``node, weight, band``, a node perhaps several times;
     ``texts(nodes)`` gives ``line, content``. Every line is compared with its band's
     heaviest one, ties falling differently in each band. Only lines that then are in
-    different classes are paired, and of these only such whose bitmaps differ in no more bits
-    than similar lines may: differing bits are at most the shingles that
-    only one of two lines has, so no link is lost and what remains is nearly all links.
+    different classes are compared further, first by bitmaps: differing bits are at most the
+    shingles that only one of two lines has, so no link is lost. A link that joins two
+    classes speaks for all links between them.
     """
     ends = members.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
     several = stored(ends.where("_low != _high").select("band"), "buckets")
@@ -234,17 +323,12 @@ def line_links(members: DataFrame, texts, similarity: float) -> DataFrame:
     first = stored(_linked(star, found, similarity), "pivot-links")
     named = members.join(components(first), "node", "left").select("band", "node", F.coalesce("root", "node").alias("class"))
     named = stored(named, "classes")
-    mixed = named.groupBy("band").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
-    mixed = stored(mixed.where("_low != _high").select("band"), "mixed")
-    open_ = stored(named.join(mixed, "band").join(_with_bitmaps(found), "node"), "open")
-    left = open_.select("band", *[F.col(c).alias(f"_{c}1") for c in ("node", "class", "bits", "size")])
-    right = open_.select("band", *[F.col(c).alias(f"_{c}2") for c in ("node", "class", "bits", "size")])
-    differing = [F.bit_count(F.get("_bits1", F.lit(i)).bitwiseXOR(F.get("_bits2", F.lit(i)))) for i in range(_WORDS)]
-    # Similarity s of sets with m and n members leaves (m + n) (1 - s) / (1 + s) that only one of them has.
-    most = (F.col("_size1") + F.col("_size2")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
-    across = left.join(right, "band").where((F.col("_class1") < F.col("_class2")) & (reduce(Column.__add__, differing) <= most))
-    pairs = across.select(F.col("_node1").alias("a"), F.col("_node2").alias("b")).distinct()
-    return first.unionByName(_linked(stored(pairs, "line-pairs"), found, similarity))
+    mixed = named.groupBy("band").agg(
+        F.min("class").alias("_low"), F.max("class").alias("_high"), F.ceil(F.count("*") / _BLOCK).alias("blocks")
+    )
+    mixed = stored(mixed.where("_low != _high").select("band", "blocks"), "mixed")
+    open_ = named.join(mixed, "band").join(found.withColumnRenamed("line", "node"), "node")
+    return first.unionByName(stored(_class_links(open_, similarity), "class-links"))
 
 
 def _same_doc(id_: str = "_id", key: str = "_k"):

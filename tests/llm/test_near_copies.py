@@ -2,13 +2,15 @@
 
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from xxhash import xxh64_intdigest
 
+from cueloom.llm import line_dedup
 from cueloom.llm.components import components
-from cueloom.llm.line_dedup import band_hashes, dedup_lines, jaccard, shingles
+from cueloom.llm.line_dedup import ShingleCache, band_hashes, bitmaps, dedup_lines, jaccard, joining_links, shingles
 from cueloom.llm.simhash import block_masks, drop_near_copies, fingerprint, simhash_groups
 
 DOCS = "doc_id long, text string"
@@ -221,3 +223,46 @@ def test_removed_lines_equal_all_pairs(spark):
     got = dedup_lines(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(rows)
     assert 4 <= sum(r["n_removed"] for r in got) < sum(r["n_lines"] for r in got) - 4
+
+
+def _crowd(n, size=60):
+    """Lines that differ from one base line in a word each: similar to some of the others, not to all."""
+    words = [f"w{i * 37 % 1009}" for i in range(size)]
+    out = []
+    for k in range(n):
+        own = list(words)
+        for step in (7, 11, 13, 17)[: 1 + k % 4]:
+            own[(k * step) % size] = f"x{k}{step}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_links_that_join_classes_connect_what_all_links_connect():
+    lines = [*_crowd(90), *(f"{LONG} {i} {i * i}" for i in range(20)), "short", "shorter"]
+    all_links = [(a, b) for a, b in combinations(range(len(lines)), 2) if jaccard(shingles(lines[a]), shingles(lines[b])) >= 0.8]
+    classes = np.arange(len(lines))
+    maps = bitmaps(lines)
+    found = joining_links(lines, maps, classes, np.zeros(len(lines), int), 0.8, ShingleCache())
+    assert _roots(range(len(lines)), found) == _roots(range(len(lines)), all_links)
+    assert len(found) < len(lines) < len(all_links)
+    assert set(found) <= set(all_links)
+    blocks = np.arange(len(lines)) % 2
+    across = joining_links(lines, maps, classes, blocks, 0.8, ShingleCache())
+    expected = [(a, b) for a, b in all_links if blocks[a] != blocks[b]]
+    assert _roots(range(len(lines)), across) == _roots(range(len(lines)), expected)
+
+
+def test_a_crowd_of_similar_lines_gives_few_links_and_loses_none(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_BLOCK", 16)
+    lines = _crowd(120)
+    rows = [(i, 0, i % 5, lines[i]) for i in range(120)]
+    open_ = spark.createDataFrame(rows, "node long, band long, class long, content string").selectExpr("*", "8L as blocks")
+    found = [(r["a"], r["b"]) for r in line_dedup._class_links(open_, 0.8).collect()]
+    names = [(a, b) for a, b in combinations(range(120), 2) if jaccard(shingles(lines[a]), shingles(lines[b])) >= 0.8]
+    same = [(i, i % 5) for i in range(120)]
+    assert _roots(range(120), found + same) == _roots(range(120), names + same)
+    assert set(map(tuple, map(sorted, found))) <= set(names)
+    assert len(found) < 36 * 5 < len(names)
+    docs = [(i, f"{line}\n{lines[(i * 7) % 120]}!") for i, line in enumerate(lines)]
+    got = dedup_lines(spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(docs)

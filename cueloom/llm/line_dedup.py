@@ -21,7 +21,7 @@ BANDS, ROWS = 14, 4
 #: Bits of a minimum that a band keeps; below the band's number.
 _FIELD = 14
 #: 64-bit words of a line's bitmap.
-_WORDS = 32
+_WORDS = 64
 _HASHED_AT_ONCE = 1 << 15
 #: About so many lines of a band, twice at most, are compared in one go.
 _BLOCK = 256

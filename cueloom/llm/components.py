@@ -8,30 +8,24 @@ from pyspark.sql import functions as F
 from cueloom.llm.common import stored
 
 
-def _signature(stars: DataFrame) -> tuple:
-    row = stars.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("child", "parent")).alias("x")).first()
-    return row["n"], row["x"]
+def _ends(both: DataFrame) -> DataFrame:
+    """Every node's smallest and largest neighbour, of links ``node, near`` in both directions.
+
+    They are stored before they are joined, so that a node with very many links is an ordinary, splittable join key.
+    """
+    return stored(both.groupBy("node").agg(F.min("near").alias("least"), F.max("near").alias("most")), "star-ends")
 
 
-def _round(stars: DataFrame) -> DataFrame:
+def _round(both: DataFrame, ends: DataFrame) -> DataFrame:
     """One large-star and one small-star step.
 
     Every node's smallest neighbour becomes the parent of its larger neighbours,
-    then of its smaller ones. The minima are stored before they are joined, so
-    that a node with very many links is an ordinary, splittable join key.
+    then of its smaller ones.
     """
-    both = stars.select(F.col("child").alias("node"), F.col("parent").alias("near")).unionByName(
-        stars.select(F.col("parent").alias("node"), F.col("child").alias("near"))
-    )
-    least = stored(both.groupBy("node").agg(F.min("near").alias("least")), "star-min")
-    least = least.select("node", F.least("node", "least").alias("least"))
-    large = stored(
-        both.join(least, "node")
-        .where("near > node")
-        .select(F.col("near").alias("child"), F.col("least").alias("parent"))
-        .distinct(),
-        "large-star",
-    )
+    least = ends.select("node", F.least("node", "least").alias("least"))
+    # A row a link at most, so repeats wait for the last step.
+    large = both.join(least, "node").where("near > node").select(F.col("near").alias("child"), F.col("least").alias("parent"))
+    large = stored(large, "large-star")
     root = stored(large.groupBy("child").agg(F.min("parent").alias("root")), "star-root")
     joined = large.join(root, "child")
     small = joined.select("child", F.col("root").alias("parent")).unionByName(
@@ -44,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (columns ``a, b``): the smallest node it is connected to.
 
     Alternating large-star and small-star steps; rounds grow with the logarithm
-    of a component's size. Stops when a round changes nothing. Links of a node to
+    of a component's size. Stops when every node with a smaller neighbour has no other one: then
+    all links lead to the smallest node. Links of a node to
     itself and null ends are ignored; a node without links is not in the result.
     """
     stars = stored(
@@ -53,15 +48,14 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _signature(stars)
-    while before[0]:
-        stars = _round(stars)
-        now = _signature(stars)
-        if now == before:
-            break
-        before = now
-    roots = stars.select(F.col("parent").alias("node"), F.col("parent").alias("root")).distinct()
-    return stored(stars.select(F.col("child").alias("node"), F.col("parent").alias("root")).unionByName(roots), "roots")
+    while True:
+        both = stars.select(F.col("child").alias("node"), F.col("parent").alias("near")).unionByName(
+            stars.select(F.col("parent").alias("node"), F.col("child").alias("near"))
+        )
+        ends = _ends(both)
+        if not ends.where("least < node and least != most").count():
+            return ends.select("node", F.least("node", "least").alias("root"))
+        stars = _round(both, ends)
 
 
 def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
@@ -96,5 +90,3 @@ def bucket_links(members: DataFrame, bucket: list[str], linked) -> DataFrame:
 
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-

@@ -25,8 +25,8 @@ _WORDS = 64
 _HASHED_AT_ONCE = 1 << 15
 #: About so many lines of a band, twice at most, are compared in one go.
 _BLOCK = 256
-#: Characters of lines whose shingle sets a task holds, some 100 bytes each.
-_CACHED = 500_000
+#: Characters of lines whose packed shingles a task holds, some 8 bytes each.
+_CACHED = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.random.default_rng(7).integers(1, 2**63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -80,11 +80,14 @@ def _hashes_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _bands_of(lines: list[str]) -> np.ndarray:
     hashes, counts = _hashes_of(lines)
     starts = np.cumsum(counts) - counts
-    bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(lines), 0)
-    for k, multiplier in enumerate(_MULTIPLIERS):
-        minima = np.minimum.reduceat(hashes * multiplier, starts) * np.uint32(0x9E3779B1)
-        bands[:, k // ROWS] = bands[:, k // ROWS] << np.uint64(_FIELD) | minima >> np.uint32(32 - _FIELD)
-    return bands
+    product, minima = np.empty_like(hashes), np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    for multiplier, least in zip(_MULTIPLIERS, minima, strict=True):
+        np.minimum.reduceat(np.multiply(hashes, multiplier, out=product), starts, out=least)
+    fields = (minima * np.uint32(0x9E3779B1) >> np.uint32(32 - _FIELD)).astype(np.uint64).reshape(BANDS, ROWS, -1)
+    bands = np.arange(BANDS, dtype=np.uint64)[:, None]
+    for row in range(ROWS):
+        bands = bands << np.uint64(_FIELD) | fields[:, row]
+    return bands.T
 
 
 def bitmaps(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,29 +124,49 @@ def jaccard(left: set[str], right: set[str]) -> float:
     return both / (len(left) + len(right) - both)
 
 
+def _packed(line: str) -> np.ndarray | None:
+    """The line's shingles, each once, as sorted numbers of a byte a character; none if it is too short or has other characters."""
+    try:
+        raw = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    if len(raw) < SHINGLE:
+        return None
+    every = np.sort(np.ndarray(len(raw) - SHINGLE + 1, "<u8", raw, strides=(1,)))
+    return every[np.append(True, every[1:] != every[:-1])]
+
+
 class ShingleCache:
-    """Shingle sets of the lines asked for last; forgets all of them when they hold too many characters."""
+    """Packed shingles of the lines asked for last; forgets all of them when they hold too many characters."""
 
     def __init__(self, characters: int = _CACHED) -> None:
         self._characters, self._held = characters, 0
-        self._sets: dict[str, set[str]] = {}
+        self._sets: dict[str, np.ndarray | None] = {}
 
-    def __getitem__(self, line: str) -> set[str]:
-        found = self._sets.get(line)
-        if found is None:
+    def __getitem__(self, line: str) -> np.ndarray | None:
+        if line not in self._sets:
             if self._held > self._characters:
                 self._sets, self._held = {}, 0
-            found = self._sets[line] = shingles(line)
+            self._sets[line] = _packed(line)
             self._held += len(line)
-        return found
+        return self._sets[line]
 
 
 def are_similar(a: str, b: str, similarity: float, sets: ShingleCache) -> bool:
     left, right = sets[a], sets[b]
+    if left is None or right is None:
+        # Two lines seldom have more than 256 different characters: numbered, they pack as well.
+        numbers = {ord(c): i for i, c in enumerate({*a, *b})}
+        if len(numbers) <= 256:
+            left, right = _packed(a.translate(numbers)), _packed(b.translate(numbers))
+        if left is None or right is None:
+            return jaccard(shingles(a), shingles(b)) >= similarity
     # Sets whose sizes differ by more than the similarity allows need no comparison.
     if min(len(left), len(right)) < similarity * max(len(left), len(right)):
         return False
-    return jaccard(left, right) >= similarity
+    every = np.sort(np.concatenate([left, right]), kind="stable")  # a merge, as both are sorted
+    both = int(np.count_nonzero(every[1:] == every[:-1]))
+    return both / (len(left) + len(right) - both) >= similarity
 
 
 _LINES = T.StructType(
@@ -268,7 +291,7 @@ def _edges(batch: pa.RecordBatch, names: list[str]) -> list[int]:
 
 
 def _class_links(open_: DataFrame, similarity: float) -> DataFrame:
-    """Links ``a, b`` that join the classes of a band, of ``band, blocks, node, class, content``.
+    """Links ``a, b`` that join the classes ``left, right`` of a band, of ``band, blocks, node, class, content``.
 
     A band's lines are dealt to ``blocks`` blocks, and each two blocks meet in a task of their own.
     A block is in as many tasks as there are blocks; what they return is linear in their rows.
@@ -288,7 +311,8 @@ def _class_links(open_: DataFrame, similarity: float) -> DataFrame:
                     links = joining_links(lines[own], maps, classes[own], blocks[own], similarity, sets)
                     found += [(low + i, low + j) for i, j in links]
             a, b = np.array(found, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
+            ends = [pa.array(x) for x in (nodes[a], nodes[b], classes[a], classes[b])]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b", "left", "right"])
 
     block = F.pmod(F.xxhash64("node", "band"), F.col("blocks").cast("long"))
     dealt = open_.withColumn("block", block)
@@ -299,36 +323,51 @@ def _class_links(open_: DataFrame, similarity: float) -> DataFrame:
     units = dealt.select("band", "block", "node", "class", "content", F.explode(others).alias("_u"))
     units = units.select("band", "_u.low", "_u.high", "block", "node", "class", "content")
     units = units.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return units.mapInArrow(run, "a long, b long")
+    return units.mapInArrow(run, "a long, b long, left long, right long")
 
 
-def line_links(members: DataFrame, texts, similarity: float) -> DataFrame:
-    """Links ``a, b`` that connect all lines that links among lines sharing a band connect.
+def _sharing(members: DataFrame) -> DataFrame:
+    """``band, node, weight`` of ``members`` (a node perhaps several times) in bands of several nodes.
+
+    Nearly all bands have one. An inner join of the same columns lets Spark shuffle members once and read them twice.
+    """
+    dealt = members.where("band is not null").repartition("band")
+    ends = dealt.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high"), F.sum("weight").alias("_all"))
+    several = ends.where("_low != _high and _all > 0").select("band")
+    return dealt.join(several.hint("shuffle_hash"), "band").groupBy("band", "node").agg(F.sum("weight").alias("weight"))
+
+
+def line_classes(members: DataFrame, texts, similarity: float) -> DataFrame:
+    """``node, root``: the components of all lines that links among lines sharing a band connect.
 
     ``members`` has ``node, weight, band``, a node perhaps several times;
     ``texts(nodes)`` gives ``line, content``. Every line is compared with its band's
     heaviest one, ties falling differently in each band. Only lines that then are in
     different classes are compared further, first by bitmaps: differing bits are at most the
     shingles that only one of two lines has, so no link is lost. A link that joins two
-    classes speaks for all links between them.
+    classes speaks for all links between them. The heaviest line itself, and so a band of two lines,
+    has nothing left to compare.
     """
-    ends = members.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
-    several = stored(ends.where("_low != _high").select("band"), "buckets")
-    members = stored(members.join(several, "band").groupBy("band", "node").agg(F.sum("weight").alias("weight")), "members")
+    members = stored(_sharing(members), "members")
     found = stored(texts(members.select(F.col("node").alias("line")).distinct()), "line-texts")
     order = F.struct("weight", F.xxhash64("node", "band"), "node")
-    pivots = stored(members.groupBy("band").agg(F.max(order)["node"].alias("pivot")), "pivots")
+    pivots = stored(members.groupBy("band").agg(F.max(order)["node"].alias("pivot"), F.count("*").alias("nodes")), "pivots")
     shared = members.join(pivots, "band").where("node != pivot")
     star = shared.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    first = stored(_linked(star, found, similarity), "pivot-links")
-    named = members.join(components(first), "node", "left").select("band", "node", F.coalesce("root", "node").alias("class"))
+    classes = components(stored(_linked(star, found, similarity), "pivot-links"))
+    named = shared.where("nodes > 2").join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("class"))
     named = stored(named, "classes")
     mixed = named.groupBy("band").agg(
         F.min("class").alias("_low"), F.max("class").alias("_high"), F.ceil(F.count("*") / _BLOCK).alias("blocks")
     )
     mixed = stored(mixed.where("_low != _high").select("band", "blocks"), "mixed")
     open_ = named.join(mixed, "band").join(found.withColumnRenamed("line", "node"), "node")
-    return first.unionByName(stored(_class_links(open_, similarity), "class-links"))
+    joined = stored(_class_links(open_, similarity), "class-links")
+    merged = components(joined.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    # A line without a link so far is a class of its own.
+    every = classes.unionByName(merged.select("node", F.col("node").alias("root"))).distinct()
+    tops = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return every.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def _same_doc(id_: str = "_id", key: str = "_k"):
@@ -357,20 +396,20 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
         wanted = known.join(ends, "line").groupBy(F.col("first.doc_id").alias("_id"), F.col("first._key").alias("_k")).agg(
             F.collect_list(F.struct("line", F.col("first.line_no").alias("no"))).alias("wanted")  # within one document
         )
-        found = base.join(wanted, _same_doc()).select(F.split("text", "\n").alias("_all"), "wanted").distinct()
+        found = base.join(wanted, _same_doc()).select(F.split("text", "\n").alias("_all"), "wanted")
         one = F.transform("wanted", lambda w: F.struct(w["line"].alias("line"), F.get(F.col("_all"), w["no"]).alias("content")))
         return found.select(F.size("_all").alias("_n"), F.explode(one).alias("t")).select("t.line", "t.content").distinct()
 
     # Batches speak for their lines; the line most frequent in one becomes a pivot.
     spoken = placed.where("here is not null").select(F.col("line").alias("node"), F.col("here").alias("weight"), "bands")
     members = spoken.select("node", "weight", F.explode("bands").alias("band"))
-    links = line_links(members, texts, similarity)
-    roots = components(links)
-    kept = known.join(roots, F.col("line") == F.col("node"), "left").select(
-        "line", "first", "weight", F.coalesce("root", "line").alias("root")
-    )
-    kept = stored(kept, "line-roots")
+    roots = line_classes(members, texts, similarity)
+    # A line that is there once and has no link stays.
+    kept = known.join(roots, F.col("line") == F.col("node"), "left").where("root is not null or weight > 1")
+    kept = stored(kept.select("line", "first", "weight", F.coalesce("root", "line").alias("root")), "line-roots")
     best = kept.groupBy("root").agg(F.min("first").alias("keep"), F.sum("weight").alias("rows")).where("rows > 1")
+    # Stored, so that a large component is a join key that Spark can split.
+    best = stored(best.select("root", "keep"), "component-lines")
     losing = stored(kept.join(best, "root").select("line", "keep"), "keepers")
     drops = (
         placed.join(losing, "line")

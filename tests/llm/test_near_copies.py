@@ -8,9 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from xxhash import xxh64_intdigest
 
+from cueloom.llm import components as star_rounds
 from cueloom.llm import line_dedup
 from cueloom.llm.components import components
-from cueloom.llm.line_dedup import ShingleCache, band_hashes, bitmaps, dedup_lines, jaccard, joining_links, shingles
+from cueloom.llm.line_dedup import ShingleCache, are_similar, band_hashes, bitmaps, dedup_lines, jaccard, joining_links, shingles
 from cueloom.llm.simhash import block_masks, drop_near_copies, fingerprint, simhash_groups
 
 DOCS = "doc_id long, text string"
@@ -266,3 +267,65 @@ def test_a_crowd_of_similar_lines_gives_few_links_and_loses_none(spark, monkeypa
     docs = [(i, f"{line}\n{lines[(i * 7) % 120]}!") for i, line in enumerate(lines)]
     got = dedup_lines(spark.createDataFrame(docs, DOCS)).collect()
     assert sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_removed"]) for r in got) == _slow_dedup(docs)
+
+
+def _labels(monkeypatch, module):
+    """The labels and row counts of the tables that a module stores from now on."""
+    labels, write = [], module.stored
+
+    def noted(df, label, *args):
+        table = write(df, label, *args)
+        labels.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(module, "stored", noted)
+    return labels
+
+
+def test_links_that_are_stars_already_need_no_round(spark, monkeypatch):
+    labels = _labels(monkeypatch, star_rounds)
+    stars = [(1, i) for i in range(2, 40)] + [(i, 50) for i in (50, 51, 52)]
+    found = dict(components(spark.createDataFrame(stars, "a long, b long")).collect())
+    assert found == {i: 1 for i in range(1, 40)} | {50: 50, 51: 50, 52: 50}
+    assert [x for x, _ in labels] == ["links", "star-ends"]
+
+
+def test_a_band_of_two_lines_is_compared_once(spark, monkeypatch):
+    labels = _labels(monkeypatch, line_dedup)
+    lines = [LONG + " one two three", LONG + "!", "something else that is not like any of the others", LONG + "?"]
+    members = [(0, 1, 7), (2, 1, 7), (2, 3, 7), (0, 1, 8), (1, 1, 8), (2, 1, 8), (3, 1, 8), (1, 1, 9)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "line long, content string")
+    found = line_dedup.line_classes(spark.createDataFrame(members, "node long, weight long, band long"), lambda _: texts, 0.8)
+    roots = {r["node"]: r["root"] for r in found.collect()}
+    links = [(a, b) for a, b in combinations(range(4), 2) if jaccard(shingles(lines[a]), shingles(lines[b])) >= 0.8]
+    assert {n: roots.get(n, n) for n in range(4)} == _roots(range(4), links)
+    # Of the bands of two and of four lines, only the second has lines left, all but its heaviest.
+    assert dict(labels)["members"] == 6 and dict(labels)["classes"] == 3
+
+
+def test_members_of_bands_are_shuffled_once(spark):
+    rows = [(node, 1, band) for node in range(50) for band in (node, node % 20 + 100)] + [(3, 2, 3), (3, 2, 103)]
+    members = spark.createDataFrame(rows, "node long, weight long, band long")
+    found = line_dedup._sharing(members)
+    got = {(r["band"], r["node"], r["weight"]) for r in found.collect()}
+    assert got == {(n % 20 + 100, n, 1 + 2 * (n == 3)) for n in range(50)}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and "SortMergeJoin" not in plan
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab\0éЖ漢😀", min_size=1, max_size=40), st.integers(0, 39), st.sampled_from(["", "a", "Ж", "😀😀"]))
+def test_packed_shingles_are_as_similar_as_sets(line, at, change):
+    other = line[:at] + change + line[at + 1 :]
+    for similarity in (0.3, 0.8):
+        expected = jaccard(shingles(line), shingles(other)) >= similarity
+        assert are_similar(line, other, similarity, ShingleCache()) == expected
+
+
+def test_lines_of_many_different_characters_are_compared_exactly():
+    line = "".join(map(chr, range(0x4E00, 0x4E00 + 400)))
+    assert are_similar(line, line[:-30], 0.8, ShingleCache())
+    assert not are_similar(line, line[::-1], 0.8, ShingleCache())
+    assert not are_similar("short", "short\0\0\0", 0.8, ShingleCache())
+    found = ShingleCache()["plain text"]
+    assert found is not None and len(found) == 3 and ShingleCache()["漢" * 9] is None

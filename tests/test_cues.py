@@ -1,6 +1,10 @@
+import os
+
 from pyspark.sql import functions as F
 
 from cueloom.operators import cues
+from cueloom.sources import listing
+from cueloom.streaming import incremental
 from cueloom.streaming.incremental import append_new_cues, file_status
 
 SRT = (
@@ -129,3 +133,86 @@ def test_a_batch_of_many_files_is_listed_and_read_in_few_tasks(spark, tmp_path):
     tasks = [tracker.getStageInfo(s).numTasks for s in stages]
     assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
     assert spark.conf.getAll == before
+
+
+GOOD = b"1\n00:00:01,000 --> 00:00:02,000\nhi\n"
+
+
+def streamed(spark, tmp_path, root=None):
+    """All rows after one more run over ``in``."""
+    at = [str(tmp_path / name) for name in ("in", "out", "state")]
+    append_new_cues(spark, root or at[0], *at[1:]).awaitTermination()
+    return sorted(map(repr, spark.read.parquet(at[1]).collect()))
+
+
+def written(tmp_path, files):
+    for name, body in files.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(body)
+
+
+def source_log(tmp_path):
+    """What the driver keeps of a stream's source: an entry a line, below a version."""
+    logs = [p for p in (tmp_path / "state" / "sources" / "0").iterdir() if not p.name.startswith(".")]
+    return [line for p in logs for line in p.read_text().splitlines()[1:]]
+
+
+def test_the_driver_keeps_a_line_a_batch_not_a_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "FILES_PER_TRIGGER", 100)
+    written(tmp_path, {f"{i % 7}/{i}.srt": GOOD for i in range(300)})
+    assert len(streamed(spark, tmp_path)) == 300
+    assert len(source_log(tmp_path)) == 3
+    written(tmp_path, {f"{i % 7}/{i}.srt": GOOD for i in range(250, 350)})
+    rows = streamed(spark, tmp_path)
+    assert len(rows) == len(set(rows)) == 350 and len(source_log(tmp_path)) == 4
+    assert streamed(spark, tmp_path) == rows
+
+
+def test_the_stream_reads_what_a_file_source_reads(spark, tmp_path, monkeypatch):
+    names = (
+        "a/b c%20+.srt", "ü/ö.srt", "x#y.srt", "q?r.srt", "new\nline.srt", "{x}.srt", ".hid.srt", "_hid.srt", "_k=v/_k=w.srt",
+        "_hidden/z.srt", ".dot/z.srt", "half.srt._COPYING_", "_metadata/m.srt", "_metadata.srt", "UP.SRT", "deep/1/2/3.vtt",
+    )
+    written(tmp_path, dict.fromkeys(names, GOOD) | {"empty.srt": b"", "blank.srt": b"\n", "bad.srt": b"\xff\x00junk"})
+    root = os.fsencode(tmp_path / "in")
+    os.symlink(root + b"/a", root + b"/folder")
+    os.symlink(root + b"/gone.srt", root + b"/broken.srt")
+    os.mkfifo(root + b"/pipe.srt")
+    with open(root + b"/\xff.srt", "wb") as file:
+        file.write(GOOD)
+    found = streamed(spark, tmp_path)
+    assert len(found) == 13 and (tmp_path / "state" / "listed").is_dir()
+    for root in (f"file://{tmp_path}/in", f"{tmp_path}//in/", f"{tmp_path}/i*"):
+        (tmp_path / "other" / str(len(root))).mkdir(parents=True)
+        assert streamed(spark, tmp_path / "other" / str(len(root)), root) == found
+    monkeypatch.setattr(incremental, "read_by_workers", lambda spark, root: False)
+    (tmp_path / "plain").mkdir()
+    assert streamed(spark, tmp_path / "plain", f"{tmp_path}/in") == found
+
+
+def test_a_checkpoint_goes_on_as_it_was_begun(spark, tmp_path, monkeypatch):
+    written(tmp_path, {"a.srt": GOOD, "b.srt": GOOD})
+    with monkeypatch.context() as only:
+        only.setattr(incremental, "read_by_workers", lambda spark, root: False)
+        assert len(streamed(spark, tmp_path)) == 2
+    written(tmp_path, {"c.srt": GOOD})
+    assert len(streamed(spark, tmp_path)) == 3 and not (tmp_path / "state" / "listed").exists()
+
+
+def test_files_listed_by_a_run_that_broke_off_are_read_once(spark, tmp_path):
+    root, listed = str(tmp_path / "in"), str(tmp_path / "state" / "listed")
+    written(tmp_path, {"a.srt": GOOD, "b.srt": GOOD, "gone.srt": GOOD, "c/d.srt": GOOD})
+    some = listing.list_files(spark, root).where(~F.col("path").endswith("/b.srt"))
+    some.repartition(2).write.parquet(listed)
+    (tmp_path / "in" / "gone.srt").unlink()
+    rows = streamed(spark, tmp_path)
+    assert [r.split("/in/")[1].split("'")[0] for r in rows] == ["a.srt", "b.srt", "c/d.srt"]
+    assert streamed(spark, tmp_path) == rows
+
+
+def test_contents_of_many_bytes_are_read_whole(spark, tmp_path):
+    sizes = {f"{i}.txt": 1 + i * 3_000_000 for i in range(6)} | {"large.txt": 20_000_000}
+    written(tmp_path, {name: b"x" * size for name, size in sizes.items()})
+    found = listing.read_files(listing.list_files(spark, str(tmp_path / "in")).coalesce(1))
+    lengths = found.select(F.substring_index("path", "/", -1), F.length("content")).collect()
+    assert sorted(map(tuple, lengths)) == sorted(sizes.items())
